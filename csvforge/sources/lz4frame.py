@@ -1,0 +1,195 @@
+"""LZ4 frame format decoder (streaming), for archive expansion inside tasks.
+
+Frame: magic, FLG/BD descriptor, optional content size / dictionary id, header
+checksum; then blocks (4-byte little-endian size, high bit = stored
+uncompressed), an end mark, an optional xxHash32 content checksum.  Blocks
+may be linked (matches reaching into the previous 64 KiB of output).
+"""
+from __future__ import annotations
+
+import struct
+
+try:
+    import xxhash
+except ImportError:  # checksums are then not verified
+    xxhash = None
+
+MAGIC = 0x184D2204
+SKIPPABLE_MASK, SKIPPABLE = 0xFFFFFFF0, 0x184D2A50
+WINDOW = 1 << 16
+
+
+class LZ4FormatError(ValueError):
+    pass
+
+
+def decompress_block(src: bytes, out: bytearray) -> None:
+    """Append the decoded LZ4 block ``src`` to ``out`` (which holds prior output
+    for matches that reach back)."""
+    i, n = 0, len(src)
+    while i < n:
+        token = src[i]
+        i += 1
+        lit = token >> 4
+        if lit == 15:
+            while True:
+                b = src[i]
+                i += 1
+                lit += b
+                if b != 255:
+                    break
+        out += src[i:i + lit]
+        i += lit
+        if i >= n:           # last sequence has literals only
+            break
+        offset = src[i] | (src[i + 1] << 8)
+        i += 2
+        if offset == 0 or offset > len(out):
+            raise LZ4FormatError("invalid match offset")
+        mlen = token & 15
+        if mlen == 15:
+            while True:
+                b = src[i]
+                i += 1
+                mlen += b
+                if b != 255:
+                    break
+        mlen += 4
+        start = len(out) - offset
+        if mlen <= offset:
+            out += out[start:start + mlen]
+        else:                # overlapping copy repeats the last `offset` bytes
+            chunk = bytes(out[start:])
+            reps, rest = divmod(mlen, offset)
+            out += chunk * reps + chunk[:rest]
+
+
+def _read_exact(f, n: int) -> bytes:
+    b = f.read(n)
+    if len(b) != n:
+        raise LZ4FormatError("truncated lz4 frame")
+    return b
+
+
+def iter_decompress(f):
+    """Yield decompressed pieces of all frames of a binary file object."""
+    while True:
+        head = f.read(4)
+        if not head:
+            return
+        if len(head) != 4:
+            raise LZ4FormatError("truncated lz4 frame")
+        magic = struct.unpack("<I", head)[0]
+        if magic & SKIPPABLE_MASK == SKIPPABLE:
+            size = struct.unpack("<I", _read_exact(f, 4))[0]
+            _read_exact(f, size)
+            continue
+        if magic != MAGIC:
+            raise LZ4FormatError("not an lz4 frame")
+        flg, bd = _read_exact(f, 2)
+        if flg >> 6 != 1:
+            raise LZ4FormatError("unsupported lz4 frame version")
+        independent = bool(flg & 0x20)
+        block_checksum = bool(flg & 0x10)
+        has_size = bool(flg & 0x08)
+        content_checksum = bool(flg & 0x04)
+        has_dict = bool(flg & 0x01)
+        if has_size:
+            _read_exact(f, 8)
+        if has_dict:
+            raise LZ4FormatError("lz4 dictionaries are not supported")
+        _read_exact(f, 1)  # header checksum
+        hasher = xxhash.xxh32(seed=0) if (content_checksum and xxhash) else None
+        history = bytearray()
+        while True:
+            size = struct.unpack("<I", _read_exact(f, 4))[0]
+            if size == 0:
+                break
+            stored = bool(size & 0x80000000)
+            size &= 0x7FFFFFFF
+            block = _read_exact(f, size)
+            if block_checksum:
+                _read_exact(f, 4)
+            if stored:
+                piece = block
+                history += block
+            else:
+                base = len(history)
+                decompress_block(block, history)
+                piece = bytes(history[base:])
+            if independent:
+                history = bytearray()
+            elif len(history) > WINDOW:
+                del history[:len(history) - WINDOW]
+            if hasher:
+                hasher.update(piece)
+            yield piece
+        if content_checksum:
+            want = struct.unpack("<I", _read_exact(f, 4))[0]
+            if hasher and hasher.intdigest() != want:
+                raise LZ4FormatError("lz4 content checksum mismatch")
+
+
+def compress_frame(data: bytes, block_size: int = 1 << 16) -> bytes:
+    """A valid LZ4 frame of ``data`` (greedy hash matcher, independent blocks).
+    Used to build test inputs; not tuned for ratio or speed."""
+    out = bytearray(struct.pack("<I", MAGIC))
+    flg, bd = 0x40 | 0x20 | (0x04 if xxhash else 0), 0x40
+    out += bytes([flg, bd])
+    hc = (xxhash.xxh32(bytes([flg, bd]), seed=0).intdigest() >> 8) & 0xFF if xxhash else 0
+    out.append(hc)
+    for pos in range(0, len(data), block_size):
+        block = _compress_block(data[pos:pos + block_size])
+        raw = data[pos:pos + block_size]
+        if len(block) >= len(raw):
+            out += struct.pack("<I", len(raw) | 0x80000000) + raw
+        else:
+            out += struct.pack("<I", len(block)) + block
+    out += struct.pack("<I", 0)
+    if xxhash:
+        out += struct.pack("<I", xxhash.xxh32(data, seed=0).intdigest())
+    return bytes(out)
+
+
+def _compress_block(src: bytes) -> bytes:
+    n = len(src)
+    out = bytearray()
+    table: dict[bytes, int] = {}
+    anchor = i = 0
+    limit = n - 12  # last 5 bytes are literals, matches end 5 bytes before the end
+    while i < limit:
+        key = src[i:i + 4]
+        cand = table.get(key)
+        table[key] = i
+        if cand is None or i - cand > 0xFFFF:
+            i += 1
+            continue
+        m = 4
+        while i + m < n - 5 and src[cand + m] == src[i + m]:
+            m += 1
+        _emit(out, src[anchor:i], i - cand, m)
+        i += m
+        anchor = i
+    _emit(out, src[anchor:], 0, 0)
+    return bytes(out)
+
+
+def _emit(out: bytearray, lits: bytes, offset: int, mlen: int) -> None:
+    ll = len(lits)
+    ml = mlen - 4 if mlen else 0
+    out.append((min(ll, 15) << 4) | (min(ml, 15) if mlen else 0))
+    if ll >= 15:
+        r = ll - 15
+        while r >= 255:
+            out.append(255)
+            r -= 255
+        out.append(r)
+    out += lits
+    if mlen:
+        out += struct.pack("<H", offset)
+        if ml >= 15:
+            r = ml - 15
+            while r >= 255:
+                out.append(255)
+                r -= 255
+            out.append(r)
