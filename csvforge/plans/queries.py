@@ -22,6 +22,9 @@ from ..operators.schema import infer_schema, merge_masks
 from ..sources.plan import candidate_starts, pair_points
 from ..sources.records import parse_csv_records
 from ..options import IngestOptions
+from ..session import new_work_dir
+from .ingest import read_tables
+from .fixtures import build_archive
 from . import oracle as O
 
 
@@ -121,7 +124,7 @@ WITH u AS (
   UNION ALL
   SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS VARCHAR), CAST(s_acctbal > 0 AS VARCHAR) FROM supplier),
 m AS (SELECT {', '.join(f'bit_or({O.bit_sql(x)}) AS {x}' for x in GLOBAL_COLS)} FROM u)
-SELECT {', '.join(f'{x} AS {x}_mask' for x in GLOBAL_COLS)}, {', '.join(f'{O.resolve_sql(x)} AS {x}' for x in GLOBAL_COLS)} FROM m"""
+SELECT {', '.join(f'CAST({x} AS INTEGER) AS {x}_mask' for x in GLOBAL_COLS)}, {', '.join(f'{O.resolve_sql(x)} AS {x}' for x in GLOBAL_COLS)} FROM m"""
 
 # --------------------------------------------------------------------------- F5 C1-C9
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -291,11 +294,11 @@ def header_normalize(spark, d):
 
 
 _DOC_LINES_SQL = """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
-ln AS (SELECT doc_id, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM l)"""
+ln AS (SELECT doc_id, CAST(unnest(range(len(lines))) AS INTEGER) AS line_no, unnest(lines) AS line FROM l)"""
 
 SQL["header_normalize"] = f"""{_DOC_LINES_SQL},
 t AS (SELECT doc_id, line_no, string_split(line, ' ') AS toks FROM ln),
-tk AS (SELECT doc_id, line_no, unnest(range(len(toks))) AS pos, unnest(toks) AS raw FROM t)
+tk AS (SELECT doc_id, line_no, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS raw FROM t)
 SELECT doc_id, line_no, pos, raw, {O.normalize_header_sql('raw')} AS name FROM tk"""
 
 
@@ -309,7 +312,7 @@ def header_validate(spark, d):
 
 SQL["header_validate"] = f"""{_DOC_LINES_SQL},
 n AS (SELECT doc_id, line_no, list_transform(string_split(line, ' '), lambda x: {O.normalize_header_sql('x')}) AS names FROM ln)
-SELECT doc_id, line_no, len(names) AS n_names,
+SELECT doc_id, line_no, CAST(len(names) AS INTEGER) AS n_names,
   NOT (len(list_filter(names, lambda x: x IS NULL OR trim(x) = '')) > 0
        OR len(list_filter(names, lambda x: {O.infer_code_sql('x')} <> {ft.STRING})) > 0
        OR len(list_distinct(names)) <> len(names)) AS valid
@@ -328,9 +331,9 @@ def regex_split_records(spark, d):
 
 SQL["regex_split_records"] = f"""
 WITH r AS (SELECT doc_id, {O.java_split_sql('text', chr(10) + '+')} AS recs FROM documents),
-rr AS (SELECT doc_id, unnest(range(len(recs))) AS rec_no, unnest(recs) AS record FROM r),
+rr AS (SELECT doc_id, CAST(unnest(range(len(recs))) AS INTEGER) AS rec_no, unnest(recs) AS record FROM r),
 f AS (SELECT doc_id, rec_no, {O.java_split_sql('record', ' +')} AS fields FROM rr)
-SELECT doc_id, rec_no, len(fields) AS n_fields, array_to_string(fields, '|') AS fields FROM f"""
+SELECT doc_id, rec_no, CAST(len(fields) AS INTEGER) AS n_fields, array_to_string(fields, '|') AS fields FROM f"""
 
 # --------------------------------------------------------------------------- K2 C12-C14
 
@@ -490,6 +493,133 @@ SQL["csv_line_parse"] = """
 SELECT CAST(conv_id AS INTEGER) AS conv_id, CAST(turn AS INTEGER) AS turn,
   NULLIF(role, '') AS role, NULLIF(text, '') AS text FROM conversations"""
 
+# --------------------------------------------------------------------------- files end to end
+def _stage_dir(spark, name: str) -> str:
+    return new_work_dir(spark, name)
+
+
+def _orders_csv(spark, d) -> str:
+    out = _stage_dir(spark, "orders-csv")
+    _t(spark, d, "orders").write.option("header", True).csv(out)
+    return out
+
+
+def ingest_end_to_end(spark, d):
+    """orders -> CSV files -> ingest (headers, exact parallel split, full-data
+    inference, typed cast) -> aggregate of the typed table."""
+    res = read_tables(spark, _orders_csv(spark, d), IngestOptions(chunk_size=1 << 20),
+                      table_name="orders")["orders"]
+    t = res.data
+    return (t.groupBy("o_orderstatus", F.year("o_orderdate").alias("o_year"))
+            .agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_totalprice"),
+                 F.min("o_orderkey").alias("min_orderkey"),
+                 F.countDistinct("o_custkey").alias("n_customers")))
+
+
+SQL["ingest_end_to_end"] = """
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS o_year, count(*) AS n_orders,
+  max(o_totalprice) AS max_totalprice, CAST(min(o_orderkey) AS INTEGER) AS min_orderkey,
+  count(DISTINCT o_custkey) AS n_customers
+FROM orders GROUP BY 1, 2"""
+
+DOC_COLS = ["doc_id", "lang", "source", "n_chars", "text"]
+
+
+def _quoted_text(text):
+    return F.concat(F.lit('"'), F.col("source"), F.lit('" wrote, "'), text, F.lit('"'))
+
+
+def csv_split_parallel(spark, d):
+    """documents (long texts with newlines, commas and quotes) -> quoted CSV ->
+    exact parallel split in 4 KiB chunks, so records span many chunks."""
+    docs = _t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars",
+                                            _quoted_text(F.col("text")).alias("text"))
+    out = _stage_dir(spark, "documents-csv")
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(out)
+    res = read_tables(spark, out, IngestOptions(chunk_size=4096), table_name="documents")
+    return res["documents"].data
+
+
+SQL["csv_split_parallel"] = """
+SELECT CAST(doc_id AS INTEGER) AS doc_id, lang, source, CAST(n_chars AS INTEGER) AS n_chars,
+  '"' || source || '" wrote, "' || text || '"' AS text FROM documents"""
+
+LINEITEM_TYPED_SQL = """
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey,
+  CAST(l_suppkey AS INTEGER) AS l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+  l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
+
+
+def csv_split_heuristic(spark, d):
+    """lineitem -> CSV -> the importer's heuristic split-point search (64 KiB
+    candidate windows) -> chunk ranges -> parse -> typed table."""
+    out = _stage_dir(spark, "lineitem-csv")
+    _t(spark, d, "lineitem").write.option("header", True).csv(out)
+    opts = IngestOptions(chunk_size=1 << 16, split_mode="heuristic")
+    return read_tables(spark, out, opts, table_name="lineitem")["lineitem"].data
+
+
+SQL["csv_split_heuristic"] = LINEITEM_TYPED_SQL
+
+CONV_TYPED_SQL = """
+SELECT CAST(conv_id AS INTEGER) AS conv_id, CAST(turn AS INTEGER) AS turn,
+  NULLIF(role, '') AS role, NULLIF(text, '') AS text FROM conversations"""
+
+
+def _conv_text_files(spark, d, sep: str) -> str:
+    """conversations as text files, one per bucket, each starting with a header
+    line; texts keep their raw newlines."""
+    conv = _t(spark, d, "conversations")
+    n_buckets = max(4, int(conv.count() // 50_000) + 1)
+    body = conv.select((F.col("conv_id") % n_buckets).alias("bucket"),
+                       F.lit(1).alias("k0"), "conv_id", "turn",
+                       F.concat_ws(sep, _s("conv_id"), _s("turn"), F.col("role"), F.col("text")).alias("value"))
+    heads = spark.range(n_buckets).select(F.col("id").alias("bucket"), F.lit(0).alias("k0"),
+                                          F.lit(-1).cast("long").alias("conv_id"),
+                                          F.lit(-1).cast("long").alias("turn"),
+                                          F.lit(sep.join(["conv_id", "turn", "role", "text"])).alias("value"))
+    out = _stage_dir(spark, "conversations-text")
+    (body.unionByName(heads).repartition(n_buckets, "bucket")
+     .sortWithinPartitions("bucket", "k0", "conv_id", "turn")
+     .select("bucket", "value").write.partitionBy("bucket").text(out))
+    return out
+
+
+def regex_parse_file(spark, d):
+    """Regex mode on files: records end at a newline followed by ``id|turn|``,
+    fields split at ``|``; split points are the first record-regex match of each
+    candidate window (Java regex, evaluated by Spark)."""
+    out = _conv_text_files(spark, d, "|")
+    opts = IngestOptions(record_regex=r"\n(?=\d+\|\d+\|)", field_regex=r"\|", chunk_size=4096)
+    return read_tables(spark, out, opts, table_name="conversations")["conversations"].data
+
+
+SQL["regex_parse_file"] = CONV_TYPED_SQL
+
+
+def archive_expand(spark, d):
+    """conversations -> CSV inside gzip, zip, tar.gz, lz4 and tar archives (one
+    archive per bucket of at most ~50k rows) -> detect, expand, ingest."""
+    conv = _t(spark, d, "conversations")
+    n_buckets = max(5, int(conv.count() // 50_000) + 1)
+    dest = _stage_dir(spark, "conversations-archives")
+    grouped = conv.withColumn("bucket", (F.col("conv_id") % n_buckets).cast("int"))
+    written = grouped.groupBy("bucket").applyInPandas(build_archive(dest), "bucket int, path string")
+    written.write.mode("overwrite").parquet(dest + "_manifest")   # runs the writer tasks once
+    res = read_tables(spark, dest, IngestOptions(), table_name="conversations")
+    return res["conversations"].data
+
+
+SQL["archive_expand"] = CONV_TYPED_SQL
+
+QUERIES_FILES = {
+    "ingest_end_to_end": ingest_end_to_end,
+    "csv_split_parallel": csv_split_parallel,
+    "csv_split_heuristic": csv_split_heuristic,
+    "regex_parse_file": regex_parse_file,
+    "archive_expand": archive_expand,
+}
+
 
 QUERIES = {
     "infer_types_orders": infer_types_orders,
@@ -510,4 +640,5 @@ QUERIES = {
     "split_ranges": split_ranges,
     "quarantine_ragged": quarantine_ragged,
     "csv_line_parse": csv_line_parse,
+    **QUERIES_FILES,
 }

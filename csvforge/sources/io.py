@@ -39,7 +39,7 @@ def open_output(path: str):
     parent = p.rsplit("/", 1)[0]
     if parent:
         fs.create_dir(parent, recursive=True)
-    return fs.open_output_stream(p)
+    return fs.open_output_stream(p, compression=None)   # bytes as given, whatever the extension
 
 
 def ship_package(spark) -> None:
