@@ -24,9 +24,8 @@ def java_split(s: Column, regex: str) -> Column:
     """``String.split(regex)`` semantics: like Spark's ``split`` but trailing
     empty strings are removed, and an empty input gives ``[""]``."""
     parts = F.split(s, regex, -1)
-    n_trailing_empty = F.coalesce(
-        F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True) - 1,
-        F.size(parts))
+    first_kept = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True)
+    n_trailing_empty = F.when(first_kept == 0, F.size(parts)).otherwise(first_kept - 1)
     keep = F.size(parts) - n_trailing_empty
     return F.when(s == F.lit(""), F.array(F.lit(""))).otherwise(
         F.slice(parts, F.lit(1), keep))

@@ -354,7 +354,7 @@ SELECT page_id,
   CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN regexp_extract(url, {O.q(_URI)}, 1) END AS scheme,
   CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN regexp_extract(url, {O.q(_URI)}, 2) END AS bucket,
   CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN {_P} END AS object_path,
-  {_BASE} AS base_name,
+  CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN {_BASE} END AS base_name,
   CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN regexp_replace({_BASE}, '\\W', '_', 'g') END AS table_name
 FROM pages"""
 

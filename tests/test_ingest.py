@@ -1,0 +1,117 @@
+import datetime as dt
+import os
+
+import pytest
+
+from csvforge.options import IngestOptions
+from csvforge.plans.ingest import ingest, read_tables
+
+from conftest import write
+
+FILL = "count,name,valid,value\n1,a,true,0.5\n0,e,true,2.71\n20,ab,false,0.1\n100,pi,false,3.14\n"
+
+
+def test_two_files_two_tables(spark, tmp):
+    write(f"{tmp}/in/fill.csv", FILL)
+    write(f"{tmp}/in/cars.csv", '"Year",Make,BIRTH.DATE\n1997,Ford,2018-11-18\n2000,"Chevy, Inc",\n')
+    res = read_tables(spark, f"{tmp}/in")
+    assert set(res) == {"fill", "cars"}
+    f = res["fill"]
+    assert f.types == ["INT", "STRING", "BOOLEAN", "DOUBLE"]
+    assert sorted(tuple(r) for r in f.data.collect()) == [
+        (0, "e", True, 2.71), (1, "a", True, 0.5), (20, "ab", False, 0.1), (100, "pi", False, 3.14)]
+    c = res["cars"]
+    assert c.columns == ["Year", "Make", "BIRTH_DATE"]
+    assert c.types == ["INT", "STRING", "DATE"]
+    assert sorted(tuple(r) for r in c.data.collect()) == [
+        (1997, "Ford", dt.date(2018, 11, 18)), (2000, "Chevy, Inc", None)]
+
+
+def test_table_name_collision(spark, tmp):
+    write(f"{tmp}/a/x.csv", FILL)
+    write(f"{tmp}/b/x.csv", FILL)
+    with pytest.raises(ValueError, match="map to table x"):
+        read_tables(spark, [f"{tmp}/a", f"{tmp}/b"])
+    res = read_tables(spark, [f"{tmp}/a", f"{tmp}/b"], table_name="x")
+    assert res["x"].data.count() == 8
+
+
+def test_invalid_header(spark, tmp):
+    write(f"{tmp}/bad.csv", "1997,Ford,E350\n1998,Ford,E350\n")
+    with pytest.raises(ValueError, match="contains invalid headers"):
+        read_tables(spark, f"{tmp}/bad.csv")
+
+
+def test_ragged_rows(spark, tmp):
+    write(f"{tmp}/r.csv", "a,b,c\n1,2,3\n4,5\n6,7,8,9\n10,11,12\n")
+    with pytest.raises(ValueError, match="do not have 3 fields"):
+        read_tables(spark, f"{tmp}/r.csv")
+    res = read_tables(spark, f"{tmp}/r.csv", IngestOptions(bad_rows="quarantine"))["r"]
+    assert res.n_bad == 2
+    assert sorted(tuple(r) for r in res.data.collect()) == [(1, 2, 3), (10, 11, 12)]
+    assert sorted(r.record for r in res.bad_rows.collect()) == ["4,5", "6,7,8,9"]
+
+
+def test_lossy_datetime_and_pipe_crlf_unicode(spark, tmp):
+    data = "when|what|note\r\n2018-11-18|x|é\r\n2018-11-18T10:00:00|y|naïve, \"ok\"\r\n|z|😀\r\n"
+    write(f"{tmp}/p.csv", data)
+    res = read_tables(spark, f"{tmp}/p.csv", IngestOptions(sep="|"))["p"]
+    assert res.types == ["DATETIME", "STRING", "STRING"]
+    rows = sorted(res.data.collect(), key=lambda r: r.what)
+    assert [r.when for r in rows] == [None, dt.datetime(2018, 11, 18, 10), None]
+    assert [r.note for r in rows] == ["é", 'naïve, "ok"', "😀"]
+
+
+def test_quoted_newlines_across_chunks(spark, tmp):
+    lines = ["id,text"] + [f'{i},"line one {i}\nline, two ""{i}"""' for i in range(500)]
+    write(f"{tmp}/q.csv", "\n".join(lines) + "\n")
+    for mode in ("exact", "heuristic"):
+        res = read_tables(spark, f"{tmp}/q.csv", IngestOptions(chunk_size=333, split_mode=mode))["q"]
+        rows = sorted(tuple(r) for r in res.data.collect())
+        assert rows == [(i, f'line one {i}\nline, two "{i}"') for i in range(500)], mode
+
+
+def test_regex_mode_file(spark, tmp):
+    recs = [f'{1990 + i % 30},Make {i},"<p class="x">desc\n{i}</p>"' for i in range(300)]
+    write(f"{tmp}/adv.csv", "YEAR,MAKE,DOCUMENT\n" + "\n".join(recs) + "\n")
+    opts = IngestOptions(record_regex=r"\n(?=\d{4},)", field_regex=r",(?=\S)", chunk_size=512)
+    res = read_tables(spark, f"{tmp}/adv.csv", opts)["adv"]
+    assert res.types == ["INT", "STRING", "STRING"]
+    rows = sorted(tuple(r) for r in res.data.collect())
+    assert len(rows) == 300
+    assert (1990, "Make 0", '"<p class="x">desc\n0</p>"') in rows
+
+
+def test_comment_lines_opt_in(spark, tmp):
+    write(f"{tmp}/c.csv", "a,b\n#1,2\n3,4\n")
+    assert read_tables(spark, f"{tmp}/c.csv")["c"].types == ["STRING", "INT"]
+    res = read_tables(spark, f"{tmp}/c.csv", IngestOptions(comment="#"))["c"]
+    assert [tuple(r) for r in res.data.collect()] == [(3, 4)]
+
+
+def test_ingest_writes_and_truncates(spark, tmp):
+    write(f"{tmp}/in/fill.csv", FILL)
+    out = f"{tmp}/out"
+    ingest(spark, f"{tmp}/in", output=out)
+    ingest(spark, f"{tmp}/in", output=out)
+    back = spark.read.parquet(f"{out}/fill")
+    assert back.count() == 4
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["int", "string", "boolean", "double"]
+
+
+def test_archive_input(spark, tmp):
+    import gzip
+    write(f"{tmp}/z/fill.csv.gz", gzip.compress(FILL.encode()))
+    res = read_tables(spark, f"{tmp}/z")
+    assert list(res) == ["fill"] and res["fill"].data.count() == 4
+
+
+def test_options_validation():
+    with pytest.raises(ValueError):
+        IngestOptions(sep=";;")
+    with pytest.raises(ValueError):
+        IngestOptions(quote="")
+    with pytest.raises(ValueError):
+        IngestOptions(record_regex="\\n")
+    with pytest.raises(ValueError):
+        IngestOptions(record_regex="(", field_regex=",")
