@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 # Importer defaults.
 DEFAULT_CHUNK_SIZE = 2 * 1024 * 1024   # target chunk size for splitting large files
+MIN_AUTO_CHUNK = 4 * 1024 * 1024        # auto chunk size bounds (like Spark's file splits)
+MAX_AUTO_CHUNK = 128 * 1024 * 1024
 MAX_COLUMNS = 8192                      # maximum number of columns per record
 
 
@@ -19,7 +21,7 @@ class IngestOptions:
     trim: bool = True               # ignore surrounding spaces of unquoted fields
     comment: str | None = None      # lines starting with it are skipped (off by default)
     encoding: str = "utf-8"
-    chunk_size: int = 64 * 1024 * 1024   # bytes per parallel read task
+    chunk_size: int | None = None   # bytes per read task; None: sized from the input, as Spark does
     split_mode: str = "exact"       # "exact" (quote parity) or "heuristic" (importer rule)
     max_columns: int = MAX_COLUMNS
     widen_int: bool = False         # INT columns as 64-bit, like the warehouse
@@ -48,9 +50,16 @@ class IngestOptions:
             raise ValueError("split_mode must be 'exact' or 'heuristic'")
         if self.bad_rows not in ("error", "quarantine"):
             raise ValueError("bad_rows must be 'error' or 'quarantine'")
-        if self.chunk_size < 1:
+        if self.chunk_size is not None and self.chunk_size < 1:
             raise ValueError("chunk_size must be positive")
 
+    def resolve_chunk_size(self, total_bytes: int, parallelism: int) -> int:
+        """Explicit chunk size, or ``min(128 MiB, max(4 MiB, total / parallelism))``."""
+        if self.chunk_size:
+            return int(self.chunk_size)
+        per_core = total_bytes // max(1, parallelism)
+        return int(min(MAX_AUTO_CHUNK, max(MIN_AUTO_CHUNK, per_core)))
+
     @property
     def regex_mode(self) -> bool:
         return self.record_regex is not None
