@@ -7,19 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as ft
-from ..functions.convert import cast_field
+from ..functions.convert import cast_field, cast_trusted
 from ..functions.infer import infer_code, is_empty
 
 
 def fill_typed(df: DataFrame, columns: Sequence[str], codes: Sequence[int],
                names: Sequence[str] | None = None, keep: Sequence[str] = (),
-               widen_int: bool = False) -> DataFrame:
-    """Typed projection of text columns; empty text becomes NULL."""
+               widen_int: bool = False, trusted: bool = False) -> DataFrame:
+    """Typed projection of text columns; empty text becomes NULL.  ``trusted``:
+    the codes were inferred from these same values (cheaper casts, same result)."""
     names = list(names or columns)
     if not (len(columns) == len(codes) == len(names)):
         raise ValueError(f"Encountered invalid input:\nheaders: {', '.join(names)}\n"
                          f"types: {', '.join(ft.TYPE_NAMES[c] for c in codes)}")
-    return df.select(*keep, *[cast_field(F.col(c), code, widen_int).alias(n)
+    cast = cast_trusted if trusted else cast_field
+    return df.select(*keep, *[cast(F.col(c), code, widen_int).alias(n)
                               for c, code, n in zip(columns, codes, names)])
 
 

@@ -27,6 +27,7 @@ class IngestOptions:
     widen_int: bool = False         # INT columns as 64-bit, like the warehouse
     bad_rows: str = "error"         # "error" or "quarantine" for records of wrong width
     case_sensitive_headers: bool = False  # Spark resolves names case-insensitively
+    infer_engine: str = "vector"    # "vector" (Arrow, in tasks) or "sql" (Column expressions)
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -48,6 +49,8 @@ class IngestOptions:
                     raise ValueError(f"invalid regex {rx!r}: {e}") from e
         if self.split_mode not in ("exact", "heuristic"):
             raise ValueError("split_mode must be 'exact' or 'heuristic'")
+        if self.infer_engine not in ("vector", "sql"):
+            raise ValueError("infer_engine must be 'vector' or 'sql'")
         if self.bad_rows not in ("error", "quarantine"):
             raise ValueError("bad_rows must be 'error' or 'quarantine'")
         if self.chunk_size is not None and self.chunk_size < 1:
