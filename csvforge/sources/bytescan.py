@@ -26,6 +26,19 @@ def even_boundaries(data: bytes, quote: int, rec: int, parity: int) -> np.ndarra
     return nl[((before + parity) & 1) == 0] + 1
 
 
+def chunk_stats(data: bytes, quote: int, rec: int) -> tuple[int, int, int, int]:
+    """``(quotes, terminators, terminators inside quotes if the chunk starts
+    outside quotes, lone CRs)`` of one chunk.  With the opposite start state the
+    inside/outside roles of the terminators swap, so one pass serves both."""
+    arr = np.frombuffer(data, dtype=np.uint8)
+    nl = np.flatnonzero(arr == rec)
+    qpos = np.flatnonzero(arr == quote)
+    inq = int((np.searchsorted(qpos, nl) & 1).sum()) if nl.size and qpos.size else 0
+    cr = np.flatnonzero(arr == CR)
+    lone = int((cr + 1 >= len(arr)).sum() + (arr[cr[cr + 1 < len(arr)] + 1] != LF).sum()) if cr.size else 0
+    return int(qpos.size), int(nl.size), inq, lone
+
+
 def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: int) -> int:
     """Absolute offset after the first terminator at or after ``pos`` that lies
     outside quotes (``parity`` = quote parity before ``pos``); ``size`` at EOF."""

@@ -115,3 +115,20 @@ def test_options_validation():
         IngestOptions(record_regex="\\n")
     with pytest.raises(ValueError):
         IngestOptions(record_regex="(", field_regex=",")
+
+
+def test_mixed_native_and_multiline_files_one_table(spark, tmp):
+    write(f"{tmp}/m/a.csv", "id,text\n1,plain\n2,\"quoted, no newline\"\n")
+    write(f"{tmp}/m/b.csv", 'id,text\n3,"two\nlines"\n4,x\n')
+    res = read_tables(spark, f"{tmp}/m", table_name="t")["t"]
+    assert res.data.count() == 4
+    assert sorted(r.id for r in res.data.select("id").collect()) == [1, 2, 3, 4]
+    assert sorted(tuple(r) for r in res.data.collect()) == [
+        (1, "plain"), (2, "quoted, no newline"), (3, "two\nlines"), (4, "x")]
+
+
+def test_quarantine_with_native_reader_counts(spark, tmp):
+    write(f"{tmp}/n/r.csv", "a,b\n1,2\n3\n4,5,6\n7,8\n")
+    res = read_tables(spark, f"{tmp}/n", IngestOptions(bad_rows="quarantine"))["r"]
+    assert res.n_bad == 2 and res.data.count() == 2 and res.bad_rows.count() == 2
+    assert sorted(r.a for r in res.data.select("a").collect()) == [1, 7]
