@@ -166,3 +166,51 @@ def partial_masks(columns: Sequence[str], flag: str | None = None):
         arrays = [pa.array([m], pa.int32()) for m in acc] + [pa.array([n_flag], pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, names=list(columns) + ["_n_flag"])
     return run
+
+
+def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str]):
+    """``mapInArrow`` function: per task, one row per key with the merged masks of
+    ``columns`` over that task's rows (the map side of a keyed ``bit_or``)."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        acc: dict[tuple, list[int]] = {}
+        key_types = None
+        for b in batches:
+            if key_types is None:
+                key_types = [b.schema.field(k).type for k in keys]
+            if b.num_rows == 0:
+                continue
+            if keys:
+                kt = pa.Table.from_batches([b.select(list(keys))])
+                groups = kt.group_by(list(keys), use_threads=False).aggregate([])
+                key_rows = groups.to_pylist()
+            else:
+                key_rows = [{}]
+            bits = {c: _BIT_OF[classify_array(b.column(c))] for c in columns}
+            if len(key_rows) == 1:
+                sel = {None: np.ones(b.num_rows, dtype=bool)}
+                kvals = [tuple(key_rows[0][k] for k in keys)]
+            else:
+                kcols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+                kvals, sel = [], {}
+                for i, kr in enumerate(key_rows):
+                    m = np.ones(b.num_rows, dtype=bool)
+                    for k, col in zip(keys, kcols):
+                        v = kr[k]
+                        m &= (col == v) if v is not None else np.array([x is None for x in col])
+                    kvals.append(tuple(kr[k] for k in keys))
+                    sel[i] = m
+            for i, kv in enumerate(kvals):
+                m = sel[None] if None in sel else sel[i]
+                row = acc.setdefault(kv, [0] * len(columns))
+                for j, c in enumerate(columns):
+                    present = np.unique(bits[c][m])
+                    if present.size:
+                        row[j] |= int(np.bitwise_or.reduce(present))
+        if not acc:
+            return
+        names = list(keys) + list(columns)
+        kv_list = list(acc)
+        arrays = [pa.array([kv[i] for kv in kv_list], key_types[i]) for i in range(len(keys))]
+        arrays += [pa.array([acc[kv][j] for kv in kv_list], pa.int32()) for j in range(len(columns))]
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
+    return run

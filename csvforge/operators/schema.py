@@ -23,14 +23,22 @@ def record_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*others, *[infer_code(F.col(c)).alias(c) for c in columns])
 
 
-def merge_masks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def merge_masks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
+                engine: str = "vector") -> DataFrame:
     """Merged type masks of text columns, one row per key (one row if no key).
 
-    All columns are aggregated in a single pass (wide form)."""
-    # Bits are projected first: the zone check of date-times calls the JVM's
-    # ZoneId (try_reflect), which Spark does not allow inside an aggregate.
-    bits = df.select(*keys, *[type_bit(F.col(c)).alias(c) for c in columns])
+    All columns are aggregated in a single pass (wide form).  ``engine="vector"``
+    classifies in Arrow batches and emits one partial row per key and task;
+    ``"sql"`` evaluates the Column-expression rules; both give the same masks."""
     aggs = [F.bit_or(F.col(c)).alias(c) for c in columns]
+    if engine == "vector":
+        from ..functions.vector import keyed_partial_masks
+        sel = df.select(*keys, *columns)
+        schema = T.StructType([sel.schema[k] for k in keys]
+                              + [T.StructField(c, T.IntegerType()) for c in columns])
+        partial = sel.mapInArrow(keyed_partial_masks(list(keys), list(columns)), schema)
+        return partial.groupBy(*keys).agg(*aggs) if keys else partial.agg(*aggs)
+    bits = df.select(*keys, *[type_bit(F.col(c)).alias(c) for c in columns])
     if keys:
         return bits.groupBy(*keys).agg(*aggs)
     return bits.agg(*aggs)
@@ -56,9 +64,9 @@ def collect_schema(masks_row) -> list[int]:
     return [ft.resolve_mask_py(int(m or 0)) for m in masks_row]
 
 
-def infer_schema(df: DataFrame, columns: Sequence[str]) -> list[int]:
+def infer_schema(df: DataFrame, columns: Sequence[str], engine: str = "vector") -> list[int]:
     """Global merged schema of the given text columns (one small action)."""
-    row = merge_masks(df, columns).first()
+    row = merge_masks(df, columns, engine=engine).first()
     return collect_schema([row[c] for c in columns])
 
 

@@ -94,3 +94,15 @@ def test_engines_agree_on_ingest(spark, tmp):
     b = read_tables(spark, f"{tmp}/e", IngestOptions(infer_engine="sql", bad_rows="quarantine"))["t"]
     assert a.codes == b.codes and a.n_bad == b.n_bad
     assert sorted(map(repr, a.data.collect())) == sorted(map(repr, b.data.collect()))
+
+
+def test_keyed_masks_engines_agree(spark):
+    from csvforge.operators.schema import merge_masks
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None, "c"]), rnd.randint(0, 2), _shaped(rnd), _gen(rnd), rnd.choice(["1", "x", ""]))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, k2 int, v1 string, v2 string, v3 string").repartition(3)
+    for keys in ([], ["k"], ["k", "k2"]):
+        a = {tuple(r) for r in merge_masks(df, ["v1", "v2", "v3"], keys, engine="vector").collect()}
+        b = {tuple(r) for r in merge_masks(df, ["v1", "v2", "v3"], keys, engine="sql").collect()}
+        assert a == b, keys
