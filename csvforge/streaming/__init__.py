@@ -1,0 +1,11 @@
+"""Streaming adapter.
+
+The importer is a bounded batch job; this package only offers the standard
+Structured Streaming way to run it continuously: new files arriving in a
+landing folder are imported micro-batch by micro-batch (``foreachBatch``), with
+the stream's checkpoint in the shared folder so that a restart resumes without
+importing a file twice.
+"""
+from .landing import ingest_arrivals
+
+__all__ = ["ingest_arrivals"]

@@ -1,0 +1,36 @@
+"""Import files as they arrive in a landing folder."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..options import IngestOptions
+from ..plans.ingest import ingest
+from ..session import new_work_dir
+
+
+def ingest_arrivals(spark: SparkSession, landing: str, output: str | None = None,
+                    database: str | None = None, options: IngestOptions = IngestOptions(),
+                    checkpoint: str | None = None, max_files_per_trigger: int = 1000,
+                    available_now: bool = True, glob: str | None = None) -> StreamingQuery:
+    """Start a stream that imports each micro-batch of newly arrived files (one
+    table per file, created if needed and truncated on write).  Only file
+    metadata flows through the stream; the import itself is the batch job."""
+    schema = ("path string, modificationTime timestamp, length bigint, content binary")
+    reader = (spark.readStream.format("binaryFile").schema(schema)
+              .option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    arrivals = reader.load(landing).select("path", "length")
+
+    def import_batch(batch: DataFrame, epoch_id: int) -> None:
+        paths = [r["path"] for r in batch.where(F.col("length") > 0).select("path").collect()]
+        if paths:
+            ingest(spark, paths, options, output=output, database=database)
+
+    writer = (arrivals.writeStream.foreachBatch(import_batch)
+              .option("checkpointLocation", checkpoint or new_work_dir(spark, "arrivals-checkpoint")))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

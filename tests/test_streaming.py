@@ -1,0 +1,17 @@
+from csvforge.streaming import ingest_arrivals
+
+from conftest import write
+
+
+def test_arrivals_are_imported_once(spark, tmp):
+    write(f"{tmp}/landing/a.csv", "xa,yb\n1,2\n3,4\n")
+    write(f"{tmp}/landing/b.csv", "name,when\nq,2018-11-18\n")
+    ckpt = f"{tmp}/ckpt"
+    q = ingest_arrivals(spark, f"{tmp}/landing", output=f"{tmp}/out", checkpoint=ckpt)
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp}/out/a").count() == 2
+    assert [f.dataType.simpleString() for f in spark.read.parquet(f"{tmp}/out/b").schema] == ["string", "date"]
+    write(f"{tmp}/landing/c.csv", "kk\n7\n")
+    q = ingest_arrivals(spark, f"{tmp}/landing", output=f"{tmp}/out", checkpoint=ckpt)
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp}/out/c").count() == 1
