@@ -19,7 +19,7 @@ from ..operators.fill import fill_typed
 from ..operators.headers import normalize_headers, valid_headers
 from ..operators.lookup import lookup_join
 from ..operators.schema import infer_schema, merge_masks
-from ..sources.plan import candidate_starts, pair_points
+from ..sources.plan import candidate_starts, pair_point_array
 from ..sources.records import parse_csv_records
 from ..options import IngestOptions
 from ..session import new_work_dir
@@ -441,9 +441,8 @@ def split_ranges(spark, d):
     points = F.concat(F.array(F.col("data_start"), F.col("size")),
                       F.transform(F.filter(found, lambda x: (x["p"] > 0) & (x["p"] <= x["end"])),
                                   lambda x: x["p"]))
-    exploded = files.select("doc_id", F.explode(points).alias("point"))
-    return pair_points(exploded, "doc_id", "point").select(
-        "doc_id", F.col("start").alias("chunk_start"), F.col("end").alias("chunk_end"))
+    pairs = files.select("doc_id", F.explode(pair_point_array(points)).alias("c"))
+    return pairs.select("doc_id", F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"))
 
 
 SQL["split_ranges"] = f"""
