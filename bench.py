@@ -59,7 +59,7 @@ def main() -> None:
         return lambda: read_tables(spark, path, IngestOptions(**kw), table_name=name)[name].data
 
     # warm-up (JVM code generation, Python workers) on the smallest tables
-    for q in ("csv_line_parse", "typed_cast_events"):
+    for q in ("csv_line_parse", "typed_cast_events", "ingest_end_to_end"):
         QUERIES[q](spark, SF_DIR.rsplit("/", 1)[0] + "/sf0.001").write.format("noop").mode("overwrite").save()
 
     run("ingest_lineitem_exact", table(li_dir, "lineitem"))
