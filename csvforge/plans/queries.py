@@ -36,6 +36,16 @@ def _s(c: str) -> F.Column:
     return F.col(c).cast("string")
 
 
+def _iso_date(c: str) -> F.Column:
+    """yyyy-MM-dd of a zone-less timestamp (no session time zone involved)."""
+    return F.to_date(F.col(c)).cast("string")
+
+
+def _iso_datetime(c: str) -> F.Column:
+    """yyyy-MM-ddTHH:mm:ss[.ffffff] of a zone-less timestamp."""
+    return F.translate(F.col(c).cast("string"), " ", "T")
+
+
 def _infer_name(c) -> F.Column:
     return ft.type_name(infer_code(c))
 
@@ -53,7 +63,7 @@ def _orders_text(spark, d):
     o = _t(spark, d, "orders")
     return o.select(_s("o_orderkey").alias("o_orderkey"), _s("o_custkey").alias("o_custkey"),
                     "o_orderstatus", _s("o_totalprice").alias("o_totalprice"),
-                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+                    _iso_date("o_orderdate").alias("o_orderdate"),
                     "o_orderpriority")
 
 
@@ -81,8 +91,7 @@ LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
 
 def _lineitem_text(spark, d):
     li = _t(spark, d, "lineitem")
-    cols = [(_s(c) if c != "l_shipdate" else
-             F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")).alias(c) for c in LINEITEM_COLS]
+    cols = [(_s(c) if c != "l_shipdate" else _iso_datetime(c)).alias(c) for c in LINEITEM_COLS]
     return li.select(F.col("l_returnflag").alias("file_key"), *cols)
 
 
@@ -133,7 +142,7 @@ EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 def typed_cast_events(spark, d):
     e = _t(spark, d, "events")
     text = e.select(_s("event_id").alias("event_id"),
-                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                    _iso_datetime("ts").alias("ts"),
                     _s("user_id").alias("user_id"), "event_type", _s("value").alias("value"),
                     "props")
     codes = infer_schema(text, EVENT_COLS)          # action 1: merged schema
@@ -176,8 +185,8 @@ FROM s GROUP BY p_brand, size_class"""
 
 
 def _lossy_text():
-    date = F.date_format("o_orderdate", "yyyy-MM-dd")
-    dt = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    date = _iso_date("o_orderdate")
+    dt = _iso_datetime("o_orderdate")
     tm = F.format_string("%02d:%02d", F.col("o_custkey") % 24, F.col("o_orderkey") % 60)
     even = (F.col("o_orderkey") % 2) == 0
     pr = F.col("o_orderpriority")
@@ -239,7 +248,7 @@ FROM s"""
 
 
 def _temporal_text():
-    date = F.date_format("l_shipdate", "yyyy-MM-dd")
+    date = _iso_date("l_shipdate")
     hm = F.format_string("%02d:%02d", F.col("l_partkey") % 24, F.col("l_suppkey") % 60)
     frac = F.format_string("%03d", F.col("l_partkey") % 1000)
     n = F.col("l_linenumber")
@@ -392,7 +401,7 @@ def header_lookup_join(spark, d):
     li = _t(spark, d, "lineitem")
     v = (F.when(F.col("l_returnflag") == "A", F.floor("l_quantity").cast("bigint").cast("string"))
          .when(F.col("l_returnflag") == "N", _s("l_extendedprice"))
-         .otherwise(F.when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyyy-MM-dd"))
+         .otherwise(F.when(F.col("l_linenumber") % 2 == 0, _iso_date("l_shipdate"))
                     .otherwise(F.concat(F.lit("x"), _s("l_linenumber")))))
     recs = li.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("file_key"), v.alias("v"))
     schema_map = (recs.select("file_key", type_bit(F.col("v")).alias("bit"))
