@@ -11,6 +11,20 @@ MAX_AUTO_CHUNK = 128 * 1024 * 1024
 MAX_COLUMNS = 8192                      # maximum number of columns per record
 
 
+def _check_regex(rx: str) -> None:
+    """Reject malformed patterns early.  The patterns run as Java regexes inside
+    Spark; the ``regex`` module accepts the same common syntax (lookaround,
+    possessive quantifiers, atomic groups), ``re`` is the fallback."""
+    try:
+        import regex as engine
+    except ImportError:  # pragma: no cover
+        engine = re
+    try:
+        engine.compile(rx)
+    except engine.error as e:
+        raise ValueError(f"invalid regex {rx!r}: {e}") from e
+
+
 @dataclass(frozen=True)
 class IngestOptions:
     sep: str = ","                  # one-character field delimiter
@@ -43,10 +57,7 @@ class IngestOptions:
             raise ValueError("field_regex and record_regex must be given together")
         for rx in (self.field_regex, self.record_regex):
             if rx is not None:
-                try:
-                    re.compile(rx)
-                except re.error as e:  # Java and Python syntax agree on common patterns
-                    raise ValueError(f"invalid regex {rx!r}: {e}") from e
+                _check_regex(rx)
         if self.split_mode not in ("exact", "heuristic"):
             raise ValueError("split_mode must be 'exact' or 'heuristic'")
         if self.infer_engine not in ("vector", "sql"):

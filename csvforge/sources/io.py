@@ -64,3 +64,13 @@ def extend_schema(schema, *fields):
     for name, typ in fields:
         out = out.add(name, typ)
     return out
+
+
+def remove_dir(path: str) -> bool:
+    """Best-effort recursive delete of a work folder (driver side)."""
+    try:
+        fs, p = filesystem(path)
+        fs.delete_dir(p)
+        return True
+    except Exception:  # missing folder or unsupported file system: leave it
+        return False

@@ -132,3 +132,14 @@ def test_quarantine_with_native_reader_counts(spark, tmp):
     res = read_tables(spark, f"{tmp}/n", IngestOptions(bad_rows="quarantine"))["r"]
     assert res.n_bad == 2 and res.data.count() == 2 and res.bad_rows.count() == 2
     assert sorted(r.a for r in res.data.select("a").collect()) == [1, 7]
+
+
+def test_ingest_cleans_its_work_folder(spark, tmp):
+    import glob
+    from csvforge.session import shared_dir
+    write(f"{tmp}/cl/fill.csv", FILL)
+    before = set(glob.glob(f"{shared_dir(spark)}/csvforge/ingest-*"))
+    ingest(spark, f"{tmp}/cl", output=f"{tmp}/clout")
+    after = set(glob.glob(f"{shared_dir(spark)}/csvforge/ingest-*"))
+    assert after == before
+    assert IngestOptions(record_regex=r"\n(?=\d++,)", field_regex=",").record_regex
