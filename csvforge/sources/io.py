@@ -42,6 +42,36 @@ def open_output(path: str):
     return fs.open_output_stream(p, compression=None)   # bytes as given, whatever the extension
 
 
+class atomic_output:
+    """Write a file from a task so that readers only ever see a complete file:
+    bytes go to an attempt-specific temporary name that is moved into place on
+    success (a retried or speculative attempt just replaces it)."""
+
+    def __init__(self, path: str):
+        self.path = path
+        try:
+            from pyspark import TaskContext
+            ctx = TaskContext.get()
+            tag = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "driver"
+        except Exception:
+            tag = "local"
+        base = path.rsplit("/", 1)
+        self.tmp = f"{base[0]}/.{base[-1]}.tmp-{tag}" if len(base) == 2 else f".{path}.tmp-{tag}"
+
+    def __enter__(self):
+        self.stream = open_output(self.tmp)
+        return self.stream
+
+    def __exit__(self, exc_type, exc, tb):
+        self.stream.close()
+        fs, tmp = filesystem(self.tmp)
+        if exc_type is None:
+            fs.move(tmp, filesystem(self.path)[1])
+        else:
+            fs.delete_file(tmp)
+        return False
+
+
 def ship_package(spark) -> None:
     """Make ``csvforge`` importable in Python workers (``addPyFile`` of a zip)."""
     sc = spark.sparkContext
