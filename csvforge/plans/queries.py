@@ -7,14 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import types as ft
 from ..functions.convert import cast_field, to_boolean, to_date, to_datetime, to_time
 from ..functions.infer import infer_code, type_bit
 from ..functions.text import (base_name, java_split, normalize_header, table_name, uri_bucket,
                               uri_path, uri_scheme)
-from ..operators.arity import with_width
 from ..operators.fill import fill_typed
 from ..operators.headers import normalize_headers, valid_headers
 from ..operators.lookup import lookup_join
