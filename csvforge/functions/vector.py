@@ -168,17 +168,33 @@ def partial_masks(columns: Sequence[str], flag: str | None = None):
     return run
 
 
-def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str]):
+def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
     """``mapInArrow`` function: per task, one row per key with the merged masks of
-    ``columns`` over that task's rows (the map side of a keyed ``bit_or``)."""
+    ``columns`` over that task's rows (the map side of a keyed ``bit_or``).  Rows
+    whose boolean ``flag`` is true are left out and counted in ``_n_flag``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         acc: dict[tuple, list[int]] = {}
+        flags: dict[tuple, int] = {}
         key_types = None
         for b in batches:
             if key_types is None:
                 key_types = [b.schema.field(k).type for k in keys]
             if b.num_rows == 0:
                 continue
+            if flag is not None:
+                fl = b.column(flag).fill_null(False)
+                if pc.any(fl).as_py():
+                    bad = b.filter(fl)
+                    kb = pa.Table.from_batches([bad.select(list(keys))]) if keys else None
+                    if keys:
+                        for r in kb.group_by(list(keys), use_threads=False).aggregate([([], "count_all")]).to_pylist():
+                            kv = tuple(r[k] for k in keys)
+                            flags[kv] = flags.get(kv, 0) + r["count_all"]
+                    else:
+                        flags[()] = flags.get((), 0) + bad.num_rows
+                    b = b.filter(pc.invert(fl))
+                    if b.num_rows == 0:
+                        continue
             if keys:
                 kt = pa.Table.from_batches([b.select(list(keys))])
                 groups = kt.group_by(list(keys), use_threads=False).aggregate([])
@@ -206,11 +222,16 @@ def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str]):
                     present = np.unique(bits[c][m])
                     if present.size:
                         row[j] |= int(np.bitwise_or.reduce(present))
+        for kv in flags:
+            acc.setdefault(kv, [0] * len(columns))
         if not acc:
             return
         names = list(keys) + list(columns)
         kv_list = list(acc)
         arrays = [pa.array([kv[i] for kv in kv_list], key_types[i]) for i in range(len(keys))]
         arrays += [pa.array([acc[kv][j] for kv in kv_list], pa.int32()) for j in range(len(columns))]
+        if flag is not None:
+            names.append("_n_flag")
+            arrays.append(pa.array([flags.get(kv, 0) for kv in kv_list], pa.int64()))
         yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run

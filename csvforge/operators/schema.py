@@ -24,21 +24,28 @@ def record_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def merge_masks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
-                engine: str = "vector") -> DataFrame:
+                engine: str = "vector", flag: str | None = None) -> DataFrame:
     """Merged type masks of text columns, one row per key (one row if no key).
 
     All columns are aggregated in a single pass (wide form).  ``engine="vector"``
     classifies in Arrow batches and emits one partial row per key and task;
-    ``"sql"`` evaluates the Column-expression rules; both give the same masks."""
+    ``"sql"`` evaluates the Column-expression rules; both give the same masks.
+    With ``flag`` (a boolean column), flagged rows are skipped and counted in
+    ``_n_flag``."""
     aggs = [F.bit_or(F.col(c)).alias(c) for c in columns]
+    if flag is not None:
+        aggs.append(F.sum("_n_flag").alias("_n_flag"))
     if engine == "vector":
         from ..functions.vector import keyed_partial_masks
-        sel = df.select(*keys, *columns)
+        sel = df.select(*keys, *columns, *([flag] if flag else []))
         schema = T.StructType([sel.schema[k] for k in keys]
-                              + [T.StructField(c, T.IntegerType()) for c in columns])
-        partial = sel.mapInArrow(keyed_partial_masks(list(keys), list(columns)), schema)
+                              + [T.StructField(c, T.IntegerType()) for c in columns]
+                              + ([T.StructField("_n_flag", T.LongType())] if flag else []))
+        partial = sel.mapInArrow(keyed_partial_masks(list(keys), list(columns), flag), schema)
         return partial.groupBy(*keys).agg(*aggs) if keys else partial.agg(*aggs)
-    bits = df.select(*keys, *[type_bit(F.col(c)).alias(c) for c in columns])
+    good = F.lit(True) if flag is None else ~F.coalesce(F.col(flag), F.lit(False))
+    bits = df.select(*keys, *[F.when(good, type_bit(F.col(c))).alias(c) for c in columns],
+                     *([F.col(flag).cast("long").alias("_n_flag")] if flag else []))
     if keys:
         return bits.groupBy(*keys).agg(*aggs)
     return bits.agg(*aggs)

@@ -143,3 +143,28 @@ def test_ingest_cleans_its_work_folder(spark, tmp):
     after = set(glob.glob(f"{shared_dir(spark)}/csvforge/ingest-*"))
     assert after == before
     assert IngestOptions(record_regex=r"\n(?=\d++,)", field_regex=",").record_regex
+
+
+def test_many_tables_of_several_widths(spark, tmp):
+    import time
+    expected = {}
+    for i in range(30):
+        w = 2 + i % 3
+        header = ",".join(f"col{j}" for j in range(w))
+        rows = [",".join([str(k * (i + 1))] + [f"v{i}_{k}_{j}" for j in range(1, w)]) for k in range(5)]
+        if i % 5 == 0:   # some files have multi-line records
+            rows.append(",".join(["99"] + ['"two\nlines"'] * (w - 1)))
+        write(f"{tmp}/many/t{i:02d}.csv", header + "\n" + "\n".join(rows) + "\n")
+        expected[f"t{i:02d}"] = (w, len(rows))
+    t0 = time.time()
+    res = read_tables(spark, f"{tmp}/many")
+    assert set(res) == set(expected)
+    for name, (w, n) in expected.items():
+        r = res[name]
+        assert r.columns == [f"col{j}" for j in range(w)]
+        assert r.types == ["INT"] + ["STRING"] * (w - 1)
+        rows = r.data.collect()
+        assert len(rows) == n
+        if name == "t05":
+            assert (99, "two\nlines", "two\nlines", "two\nlines")[:w] in [tuple(x) for x in rows]
+    assert time.time() - t0 < 120
