@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 DEFAULT_CHUNK_SIZE = 2 * 1024 * 1024   # target chunk size for splitting large files
 MIN_AUTO_CHUNK = 4 * 1024 * 1024        # auto chunk size bounds (like Spark's file splits)
 MAX_AUTO_CHUNK = 128 * 1024 * 1024
+MAX_AUTO_CHUNK_REGEX = 16 * 1024 * 1024  # regex mode holds a whole range as one string
 MAX_COLUMNS = 8192                      # maximum number of columns per record
 
 
@@ -72,7 +73,8 @@ class IngestOptions:
         if self.chunk_size:
             return int(self.chunk_size)
         per_core = total_bytes // max(1, parallelism)
-        return int(min(MAX_AUTO_CHUNK, max(MIN_AUTO_CHUNK, per_core)))
+        cap = MAX_AUTO_CHUNK_REGEX if self.regex_mode else MAX_AUTO_CHUNK
+        return int(min(cap, max(MIN_AUTO_CHUNK, per_core)))
 
     @property
     def regex_mode(self) -> bool:
