@@ -41,6 +41,7 @@ class IngestOptions:
     max_columns: int = MAX_COLUMNS
     widen_int: bool = False         # INT columns as 64-bit, like the warehouse
     bad_rows: str = "error"         # "error" or "quarantine" for records of wrong width
+    bad_headers: str = "error"      # "error" or "skip" (files without a valid header)
     case_sensitive_headers: bool = False  # Spark resolves names case-insensitively
     infer_engine: str = "vector"    # "vector" (Arrow, in tasks) or "sql" (Column expressions)
     extra: dict = field(default_factory=dict)
@@ -63,6 +64,8 @@ class IngestOptions:
             raise ValueError("split_mode must be 'exact' or 'heuristic'")
         if self.infer_engine not in ("vector", "sql"):
             raise ValueError("infer_engine must be 'vector' or 'sql'")
+        if self.bad_headers not in ("error", "skip"):
+            raise ValueError("bad_headers must be 'error' or 'skip'")
         if self.bad_rows not in ("error", "quarantine"):
             raise ValueError("bad_rows must be 'error' or 'quarantine'")
         if self.chunk_size is not None and self.chunk_size < 1:

@@ -168,3 +168,11 @@ def test_many_tables_of_several_widths(spark, tmp):
         if name == "t05":
             assert (99, "two\nlines", "two\nlines", "two\nlines")[:w] in [tuple(x) for x in rows]
     assert time.time() - t0 < 120
+
+
+def test_skip_bad_headers(spark, tmp):
+    write(f"{tmp}/sk/good.csv", FILL)
+    write(f"{tmp}/sk/bad.csv", "1997,Ford,E350\n")
+    res = read_tables(spark, f"{tmp}/sk", IngestOptions(bad_headers="skip"))
+    assert list(res) == ["good"]
+    assert [p.rsplit("/", 1)[-1] for p, _ in res.skipped_files] == ["bad.csv"]

@@ -16,3 +16,11 @@ def test_uri_helpers(spark):
     assert got["gs://bucket"] == (None, None, None, "bucket")   # no object path: not a URI, a plain name
     assert got["no-scheme/path.csv"][3] == "path"
     assert got["hdfs://nn:8020/data/a b.csv"][3] == "a_b"
+
+
+def test_split_uri_driver_side():
+    import pytest
+    assert text.split_uri("gs://b/dir/x.csv") == ("b", "dir/x.csv")
+    for bad in ["", "b/x.csv", "gs://bucket", "gs://bucket/"]:
+        with pytest.raises(ValueError):
+            text.split_uri(bad)
