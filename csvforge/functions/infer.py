@@ -108,30 +108,26 @@ def _classify(v: Column, out) -> Column:
     """The rule chain; ``out(code)`` gives the result literal of a type.
 
     The groups {boolean word}, {INT, LONG, DOUBLE}, {DATE}, {TIME}, {DATETIME}
-    can never accept the same text, so after the empty test the first
-    character selects the only groups that can match (INT before LONG before
-    DOUBLE is kept).  Most text is then settled with at most one regex."""
+    can never accept the same text, so a flat CASE may test them in any order
+    (INT before LONG before DOUBLE is kept), each regex once, and the first
+    character rules out most groups before any regex runs."""
     lit = lambda code: F.lit(out(code))
-    c0 = F.ascii(v)                       # code point of the first character
-    digits_only = _match(v, r"\d+")
+    c0 = F.ascii(v)                       # code point of the first character; 0 for ""
+    digit = (c0 >= 48) & (c0 <= 57)
+    sign = c0.isin(43, 45)                # '+' '-'
     integral = (F.when(_try_cast(v, "int").isNotNull(), lit(ft.INT))
                 .when(_try_cast(v, "bigint").isNotNull(), lit(ft.LONG))
                 .otherwise(lit(ft.DOUBLE)))   # too long for 64 bits: still a double literal
-    double_or_string = F.when(_match(v, DOUBLE_RE), lit(ft.DOUBLE)).otherwise(lit(ft.STRING))
     dash5 = F.substring(v, 5, 1) == F.lit("-")
-    digit_led = (F.when(digits_only, integral)
-                 .when(dash5 & _match(v, DATE_RE) & _valid_calendar_date(v), lit(ft.DATE))
-                 .when(dash5 & is_datetime_text(v), lit(ft.DATETIME))
-                 .when((F.substring(v, 3, 1) == F.lit(":")) & _match(v, TIME_RE), lit(ft.TIME))
-                 .otherwise(double_or_string))
-    sign_led = F.when(_match(v, INT_RE), integral).otherwise(double_or_string)
+    double_initial = digit | sign | c0.isin(46, 73, 78) | (c0 <= 32)   # '.', 'I', 'N', blanks
     word_initial = c0.isin(*[ord(ch) for ch in "tTfFyYnN"])
-    return (F.when(is_empty(v), lit(ft.UNKNOWN))
-            .when((c0 >= 48) & (c0 <= 57), digit_led)
-            .when(c0.isin(43, 45), sign_led)                      # '+' '-'
-            .when((c0 == 46) | (c0 <= 32) | (c0 == 73), double_or_string)   # '.', blanks, 'I'
+    return (F.when(v.isNull() | (c0 == 0), lit(ft.UNKNOWN))
+            .when((digit | sign) & _match(v, INT_RE), integral)
+            .when(digit & dash5 & _match(v, DATE_RE) & _valid_calendar_date(v), lit(ft.DATE))
+            .when(digit & dash5 & is_datetime_text(v), lit(ft.DATETIME))
+            .when(digit & (F.substring(v, 3, 1) == F.lit(":")) & _match(v, TIME_RE), lit(ft.TIME))
             .when(word_initial & is_boolean_word(v), lit(ft.BOOLEAN))
-            .when(c0.isin(78), double_or_string)                  # 'N' (NaN)
+            .when(double_initial & _match(v, DOUBLE_RE), lit(ft.DOUBLE))
             .otherwise(lit(ft.STRING)))
 
 
