@@ -176,3 +176,12 @@ def test_skip_bad_headers(spark, tmp):
     res = read_tables(spark, f"{tmp}/sk", IngestOptions(bad_headers="skip"))
     assert list(res) == ["good"]
     assert [p.rsplit("/", 1)[-1] for p, _ in res.skipped_files] == ["bad.csv"]
+
+
+def test_custom_record_separator_and_comments(spark, tmp):
+    write(f"{tmp}/rs/a.csv", "ka;kb\x1e1;x\x1e#c;y\x1e2;z\x1e")
+    res = read_tables(spark, f"{tmp}/rs", IngestOptions(sep=";", line_sep="\x1e", comment="#"))["a"]
+    assert sorted(tuple(r) for r in res.data.collect()) == [(1, "x"), (2, "z")]
+    write(f"{tmp}/rs2/b.csv", 'ka;kb\x1e1;"x\x1ey"\x1e2;z\x1e')   # separator inside quotes
+    res = read_tables(spark, f"{tmp}/rs2", IngestOptions(sep=";", line_sep="\x1e"))["b"]
+    assert sorted(tuple(r) for r in res.data.collect()) == [(1, "x\x1ey"), (2, "z")]
