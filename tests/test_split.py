@@ -167,3 +167,72 @@ def test_regex_points(spark, tmp):
     assert pts[0] == len(HEADER) and pts[-1] == len(data)
     for p in pts[1:-1]:
         assert data[p - 1:p] == b"\n" and data[p:p + 4].isdigit() and data[p + 4:p + 5] == b","
+
+
+def _simple_heuristic(data: bytes, start: int, end: int, n: int):
+    """Whole-buffer restatement of the importer's rule (lines via regex)."""
+    import re as _re
+    lines = [(m.start(), m.end(), m.group(1)) for m in _re.finditer(rb"([^\r\n]*)(\r\n|\r|\n|$)", data)
+             if m.start() < len(data) or m.group(0)]
+    def line_at(pos):
+        for s, e, body in lines:
+            if s == pos:
+                return e, body
+        return len(data), b""
+    pos, _ = line_at(start) if any(s == start for s, _, _ in lines) else (None, None)
+    if pos is None:   # start inside a line: skip to the end of that line
+        pos = next(e for s, e, _ in lines if s <= start < max(e, s + 1))
+    prev = None
+    while pos < end:
+        nxt, line = line_at(pos)
+        kinds = bs.quote_kinds(line, ord('"'), ord(","))
+        if not kinds:
+            if prev and bs.java_split_count(prev, ord(",")) + bs.java_split_count(line, ord(",")) > n + 1:
+                return pos
+            prev = line
+        else:
+            prev = None
+            if kinds[0] == bs.OPEN:
+                return pos
+            if kinds[-1] == bs.CLOSED:
+                return nxt
+        if nxt == pos:
+            break
+        pos = nxt
+    return None
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_heuristic_matches_simple_restatement(seed, monkeypatch):
+    monkeypatch.setattr(bs, "READ_BLOCK", 7)         # force block-boundary handling
+    rnd = random.Random(seed)
+    parts = [rnd.choice(['1,2,3', 'a,"b', 'c",d', '"q",x', 'x,y', '', 'x,"y""z",w', '7,8,9,10'])
+             + rnd.choice(["\n", "\r\n", "\r"]) for _ in range(60)]
+    data = b"h1,h2,h3\n" + "".join(parts).encode()
+    for start in range(9, len(data) - 1, 5):
+        end = min(start + rnd.randint(5, 60), len(data))
+        assert _heuristic(data, start, end) == _simple_heuristic(data, start, end, 3), (start, end)
+
+
+def test_exact_points_are_true_boundaries(spark, tmp):
+    from csvforge.sources.files import list_files
+    from csvforge.sources.splitter import split_points, read_headers
+    rows = _random_table(9, n_rows=200)
+    data = _csv_bytes(["c0", "c1", "c2", "c3"], rows)
+    path = write(os.path.join(tmp, "e.csv"), data)
+    opts = IngestOptions(chunk_size=97, trim=False)
+    files = read_headers(list_files(spark, path), opts)
+    pts = sorted(r.point for r in split_points(files, opts, mode="exact").collect())
+    true_starts = {0}
+    parity = 0
+    for i, ch in enumerate(data):
+        if ch == ord('"'):
+            parity ^= 1
+        elif ch == ord("\n") and parity == 0:
+            true_starts.add(i + 1)
+    assert pts and all(p in true_starts or p == len(data) for p in pts)
+    # every chunk start that is followed by a boundary inside its chunk yields one
+    for c in range(97, len(data), 97):
+        inside = [p for p in true_starts if c <= p < min(c + 97, len(data))]
+        if inside:
+            assert min(inside) in pts
