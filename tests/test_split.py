@@ -236,3 +236,18 @@ def test_exact_points_are_true_boundaries(spark, tmp):
         inside = [p for p in true_starts if c <= p < min(c + 97, len(data))]
         if inside:
             assert min(inside) in pts
+
+
+def test_range_bytes(spark, tmp):
+    from csvforge.sources.splitter import read_range_bytes
+    letters = b"abcdefghijklmnopqrstuvwxyz"
+    a = write(os.path.join(tmp, "rb", "a.txt"), letters)
+    b = write(os.path.join(tmp, "rb", "b.txt"), letters.upper())
+    pts = [(p, x) for p in ("file:" + a,) for x in (26, 0, 1, 14, 10, 10)] + \
+          [("file:" + b, x) for x in (0, 26, 13)]
+    df = spark.createDataFrame(pts, "path string, point bigint")
+    got = sorted((r.path.rsplit("/", 1)[-1], r.start, bytes(r.content)) for r in read_range_bytes(df).collect())
+    assert got == [("a.txt", 0, b"a"), ("a.txt", 1, b"bcdefghij"), ("a.txt", 10, b"klmn"),
+                   ("a.txt", 14, b"opqrstuvwxyz"), ("b.txt", 0, b"ABCDEFGHIJKLM"), ("b.txt", 13, b"NOPQRSTUVWXYZ")]
+    empty = spark.createDataFrame([], "path string, point bigint")
+    assert read_range_bytes(empty).count() == 0
