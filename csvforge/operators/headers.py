@@ -5,7 +5,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as ft
-from ..functions.infer import col_of, infer_code
+from ..functions.infer import BOOLEAN_WORDS, DOUBLE_RE, TIME_RE, col_of, infer_code
+
+# A separator no type pattern can match (private-use character).
+_SEP = "\ue000"
+_EASY = ("(?i:" + "|".join(BOOLEAN_WORDS) + ")|" + DOUBLE_RE + "|" + TIME_RE)
+_ANY_EASY = _SEP + "(?:" + _EASY + ")(?=" + _SEP + ")"
+_ANY_DATE_LIKE = _SEP + r"\d{4}-\d{2}-\d{2}"
+
+
+def any_non_string(names: Column) -> Column:
+    """True if some name infers to a non-STRING type.  Boolean words, numbers and
+    times are found by one regex over the joined names (code-generated); the
+    per-element rule chain (an interpreted lambda) runs only when some name looks
+    like a date, whose calendar and zone need checking."""
+    names = col_of(names)
+    joined = F.concat(F.lit(_SEP), F.array_join(names, _SEP), F.lit(_SEP))
+    empty = F.array_contains(names, "") | (F.size(F.array_compact(names)) != F.size(names))
+    easy = joined.rlike(_ANY_EASY)
+    dated = joined.rlike(_ANY_DATE_LIKE)
+    return empty | easy | (dated & F.exists(names, lambda x: infer_code(x) != F.lit(ft.STRING)))
 from ..functions.text import normalize_header
 
 
@@ -32,7 +51,7 @@ def valid_headers(names: Column, case_sensitive: bool = True) -> Column:
     found where the header should be), or names repeat."""
     names = col_of(names)
     blank = F.exists(names, lambda x: x.isNull() | (F.trim(x) == ""))
-    typed = F.exists(names, lambda x: infer_code(x) != F.lit(ft.STRING))
+    typed = any_non_string(names)
     keyed = names if case_sensitive else F.transform(names, lambda x: F.lower(x))
     dup = F.size(F.array_distinct(keyed)) != F.size(keyed)
     return ~(blank | typed | dup)

@@ -38,3 +38,19 @@ def test_quote_aware_split(spark):
     assert rows[0].c == ["a", '"b,c"', "d"]
     assert rows[1].p == ["x", "y", "z"]           # literal, not a regex alternation
     assert rows[2].c == ["one"]
+
+
+def test_any_non_string_matches_per_element_rule(spark):
+    import random
+    from csvforge.functions import types as ft
+    from csvforge.functions.infer import infer_code
+    from csvforge.operators.headers import any_non_string
+    rnd = random.Random(2)
+    pieces = ["a", "Y", "no", "12", "1e5", "0x1p3", "NaN", "10:15", "2018-11-18", "2018-02-30",
+              "2018-11-18T10:00", "x_y", " 12", "TRUE", "nan", "1_0", "", "é", "2018-11-18T10:00+05:00[Nope/X]"]
+    rows = [[rnd.choice(pieces) for _ in range(rnd.randint(1, 5))] for _ in range(400)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, names array<string>")
+    got = df.select("i", any_non_string(F.col("names")).alias("a"),
+                    F.exists("names", lambda x: infer_code(x) != F.lit(ft.STRING)).alias("b")).collect()
+    bad = [(rows[r.i], r.a, r.b) for r in got if r.a != r.b]
+    assert not bad, bad[:5]
