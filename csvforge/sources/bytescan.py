@@ -39,10 +39,13 @@ def chunk_stats(data: bytes, quote: int, rec: int) -> tuple[int, int, int, int]:
     return int(qpos.size), int(nl.size), inq, lone
 
 
-def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: int) -> int:
+def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: int,
+                        limit: int | None = None) -> int:
     """Absolute offset after the first terminator at or after ``pos`` that lies
-    outside quotes (``parity`` = quote parity before ``pos``); ``size`` at EOF."""
-    while pos < size:
+    outside quotes (``parity`` = quote parity before ``pos``); ``size`` at EOF.
+    With ``limit``, give up (ValueError) after scanning that many bytes."""
+    stop = size if limit is None else min(size, pos + limit)
+    while pos < stop:
         n = min(READ_BLOCK, size - pos)
         block = f.read_at(n, pos)
         b = even_boundaries(block, quote, rec, parity)
@@ -50,6 +53,8 @@ def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: in
             return pos + int(b[0])
         parity = (parity + count_byte(block, quote)) & 1
         pos += n
+    if stop < size:
+        raise ValueError(f"no record end outside quotes within {limit} bytes")
     return size
 
 
