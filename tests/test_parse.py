@@ -41,3 +41,24 @@ def test_java_split_semantics(spark):
     for (s, r, want) in cases:
         got = df.where((F.col("s") == s) & (F.col("r") == r)).select(java_split(F.col("s"), r).alias("x")).first().x
         assert got == want, (s, r)
+
+
+def _java_split_py(s, regex):
+    import re
+    if s == "":
+        return [""]
+    parts = re.split(regex, s)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_property(spark):
+    import random
+    rnd = random.Random(4)
+    values = ["".join(rnd.choice("ab, \n|") for _ in range(rnd.randint(0, 12))) for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    for regex in [",", " +", "\\n+", "\\|"]:
+        got = {r.i: r.x for r in df.select("i", java_split(F.col("v"), regex).alias("x")).collect()}
+        for i, v in enumerate(values):
+            assert got[i] == _java_split_py(v, regex), (v, regex)
