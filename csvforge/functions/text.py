@@ -32,7 +32,7 @@ def java_split(s: Column, regex: str) -> Column:
     exactly the trailing separators of that join."""
     parts = F.split(s, regex, -1)
     joined = F.array_join(parts, _SEP)
-    trailing = F.length(joined) - F.length(F.regexp_replace(joined, _SEP + "+$", ""))
+    trailing = F.length(joined) - F.length(F.regexp_replace(joined, _SEP + "+\\z", ""))
     all_empty = F.length(F.regexp_replace(joined, _SEP, "")) == 0
     keep = F.when(all_empty, F.lit(0)).otherwise(F.size(parts) - trailing)
     return F.when(s == F.lit(""), F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), keep))
