@@ -54,3 +54,23 @@ def test_any_non_string_matches_per_element_rule(spark):
                     F.exists("names", lambda x: infer_code(x) != F.lit(ft.STRING)).alias("b")).collect()
     bad = [(rows[r.i], r.a, r.b) for r in got if r.a != r.b]
     assert not bad, bad[:5]
+
+
+def test_quote_aware_split_property(spark):
+    import random
+    rnd = random.Random(8)
+    lines = ["".join(rnd.choice('ab,"') for _ in range(rnd.randint(0, 14))) for _ in range(400)]
+
+    def expected(line):
+        out, cur = [], ""
+        for i, ch in enumerate(line):
+            if ch == "," and line[i + 1:].count('"') % 2 == 0:
+                out.append(cur)
+                cur = ""
+            else:
+                cur += ch
+        return out + [cur]
+    df = spark.createDataFrame([(i, l) for i, l in enumerate(lines)], "i int, l string")
+    got = {r.i: r.c for r in df.select("i", split_header(F.col("l")).alias("c")).collect()}
+    for i, l in enumerate(lines):
+        assert got[i] == expected(l), l
