@@ -74,3 +74,18 @@ def test_quote_aware_split_property(spark):
     got = {r.i: r.c for r in df.select("i", split_header(F.col("l")).alias("c")).collect()}
     for i, l in enumerate(lines):
         assert got[i] == expected(l), l
+
+
+def test_normalize_headers_matches_per_element(spark):
+    import random
+    from csvforge.functions.text import normalize_header
+    from csvforge.operators.headers import normalize_headers
+    rnd = random.Random(6)
+    alphabet = ['"', "a", "Z", "9", "_", ".", " ", "é", "😀", "\n", "\r", "-", " "]
+    rows = [["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 5)))
+             for _ in range(rnd.randint(1, 4))] for _ in range(500)] + [[], ['"'], ['""'], ['a"\n']]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, names array<string>")
+    got = df.select("i", normalize_headers(F.col("names")).alias("a"),
+                    F.transform("names", lambda x: normalize_header(x)).alias("b")).collect()
+    bad = [(rows[r.i], r.a, r.b) for r in got if r.a != r.b]
+    assert not bad, bad[:5]
