@@ -185,3 +185,11 @@ def test_custom_record_separator_and_comments(spark, tmp):
     write(f"{tmp}/rs2/b.csv", 'ka;kb\x1e1;"x\x1ey"\x1e2;z\x1e')   # separator inside quotes
     res = read_tables(spark, f"{tmp}/rs2", IngestOptions(sep=";", line_sep="\x1e"))["b"]
     assert sorted(tuple(r) for r in res.data.collect()) == [(1, "x\x1ey"), (2, "z")]
+
+
+def test_staged_records_give_the_same_tables(spark, tmp):
+    write(f"{tmp}/st/a.csv", 'id,text,when\n1,"x\ny",2018-11-18\n2,z,\n3,"w",2019-01-02\n')
+    a = read_tables(spark, f"{tmp}/st", stage=True)["a"]
+    b = read_tables(spark, f"{tmp}/st", stage=False)["a"]
+    assert a.types == b.types == ["INT", "STRING", "DATE"]
+    assert sorted(map(tuple, a.data.collect())) == sorted(map(tuple, b.data.collect()))
