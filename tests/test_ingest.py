@@ -193,3 +193,13 @@ def test_staged_records_give_the_same_tables(spark, tmp):
     b = read_tables(spark, f"{tmp}/st", stage=False)["a"]
     assert a.types == b.types == ["INT", "STRING", "DATE"]
     assert sorted(map(tuple, a.data.collect())) == sorted(map(tuple, b.data.collect()))
+
+
+def test_ingest_many_tables_concurrently(spark, tmp):
+    for i in range(12):
+        write(f"{tmp}/cc/t{i}.csv", f"k{i},val\n{i},x{i}\n{i + 100},y\n")
+    res = ingest(spark, f"{tmp}/cc", output=f"{tmp}/ccout")
+    assert len(res) == 12
+    for i in range(12):
+        back = spark.read.parquet(f"{tmp}/ccout/t{i}")
+        assert sorted(r[0] for r in back.collect()) == [i, i + 100]
