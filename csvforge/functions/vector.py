@@ -168,12 +168,25 @@ def partial_masks(columns: Sequence[str], flag: str | None = None):
     return run
 
 
+def _factorize(b: pa.RecordBatch, keys: Sequence[str]):
+    """Group index of every row and the distinct key tuples, in one pass."""
+    import pandas as pd
+    if len(keys) == 1:
+        codes, uniques = pd.factorize(b.column(keys[0]).to_pandas(), use_na_sentinel=False)
+        return codes, [(None if (u is None or u != u) else u,) for u in uniques]
+    rows = list(zip(*[b.column(k).to_pylist() for k in keys]))
+    index: dict[tuple, int] = {}
+    codes = np.fromiter((index.setdefault(r, len(index)) for r in rows), dtype=np.int64, count=len(rows))
+    return codes, list(index)
+
+
 def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
     """``mapInArrow`` function: per task, one row per key with the merged masks of
     ``columns`` over that task's rows (the map side of a keyed ``bit_or``).  Rows
-    whose boolean ``flag`` is true are left out and counted in ``_n_flag``."""
+    whose boolean ``flag`` is true are left out and counted in ``_n_flag``.
+    Keys are factorized once per batch and bits folded with ``bitwise_or.at``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        acc: dict[tuple, list[int]] = {}
+        acc: dict[tuple, np.ndarray] = {}
         flags: dict[tuple, int] = {}
         key_types = None
         for b in batches:
@@ -181,55 +194,36 @@ def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str |
                 key_types = [b.schema.field(k).type for k in keys]
             if b.num_rows == 0:
                 continue
-            if flag is not None:
-                fl = b.column(flag).fill_null(False)
-                if pc.any(fl).as_py():
-                    bad = b.filter(fl)
-                    kb = pa.Table.from_batches([bad.select(list(keys))]) if keys else None
-                    if keys:
-                        for r in kb.group_by(list(keys), use_threads=False).aggregate([([], "count_all")]).to_pylist():
-                            kv = tuple(r[k] for k in keys)
-                            flags[kv] = flags.get(kv, 0) + r["count_all"]
-                    else:
-                        flags[()] = flags.get((), 0) + bad.num_rows
-                    b = b.filter(pc.invert(fl))
-                    if b.num_rows == 0:
-                        continue
             if keys:
-                kt = pa.Table.from_batches([b.select(list(keys))])
-                groups = kt.group_by(list(keys), use_threads=False).aggregate([])
-                key_rows = groups.to_pylist()
+                inv, uniq = _factorize(b, keys)
             else:
-                key_rows = [{}]
-            bits = {c: _BIT_OF[classify_array(b.column(c))] for c in columns}
-            if len(key_rows) == 1:
-                sel = {None: np.ones(b.num_rows, dtype=bool)}
-                kvals = [tuple(key_rows[0][k] for k in keys)]
-            else:
-                kcols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
-                kvals, sel = [], {}
-                for i, kr in enumerate(key_rows):
-                    m = np.ones(b.num_rows, dtype=bool)
-                    for k, col in zip(keys, kcols):
-                        v = kr[k]
-                        m &= (col == v) if v is not None else np.array([x is None for x in col])
-                    kvals.append(tuple(kr[k] for k in keys))
-                    sel[i] = m
-            for i, kv in enumerate(kvals):
-                m = sel[None] if None in sel else sel[i]
-                row = acc.setdefault(kv, [0] * len(columns))
-                for j, c in enumerate(columns):
-                    present = np.unique(bits[c][m])
-                    if present.size:
-                        row[j] |= int(np.bitwise_or.reduce(present))
+                inv, uniq = np.zeros(b.num_rows, dtype=np.int64), [()]
+            good = np.ones(b.num_rows, dtype=bool)
+            if flag is not None:
+                good = ~b.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
+                nbad = np.bincount(inv[~good], minlength=len(uniq))
+                for g in np.flatnonzero(nbad):
+                    flags[uniq[g]] = flags.get(uniq[g], 0) + int(nbad[g])
+            part = np.zeros((len(uniq), len(columns)), dtype=np.int32)
+            gi = inv[good]
+            for j, c in enumerate(columns):
+                col = b.column(c)
+                if not good.all():
+                    col = col.filter(pa.array(good))
+                np.bitwise_or.at(part[:, j], gi, _BIT_OF[classify_array(col)])
+            for g, kv in enumerate(uniq):
+                if kv in acc:
+                    acc[kv] |= part[g]
+                else:
+                    acc[kv] = part[g].copy()
         for kv in flags:
-            acc.setdefault(kv, [0] * len(columns))
+            acc.setdefault(kv, np.zeros(len(columns), dtype=np.int32))
         if not acc:
             return
         names = list(keys) + list(columns)
         kv_list = list(acc)
         arrays = [pa.array([kv[i] for kv in kv_list], key_types[i]) for i in range(len(keys))]
-        arrays += [pa.array([acc[kv][j] for kv in kv_list], pa.int32()) for j in range(len(columns))]
+        arrays += [pa.array([int(acc[kv][j]) for kv in kv_list], pa.int32()) for j in range(len(columns))]
         if flag is not None:
             names.append("_n_flag")
             arrays.append(pa.array([flags.get(kv, 0) for kv in kv_list], pa.int64()))
