@@ -184,7 +184,8 @@ def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str |
     """``mapInArrow`` function: per task, one row per key with the merged masks of
     ``columns`` over that task's rows (the map side of a keyed ``bit_or``).  Rows
     whose boolean ``flag`` is true are left out and counted in ``_n_flag``.
-    Keys are factorized once per batch and bits folded with ``bitwise_or.at``."""
+    Keys are factorized once per batch; one ``bincount`` per column tells which
+    type codes occur in which group."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         acc: dict[tuple, np.ndarray] = {}
         flags: dict[tuple, int] = {}
@@ -204,13 +205,17 @@ def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str |
                 nbad = np.bincount(inv[~good], minlength=len(uniq))
                 for g in np.flatnonzero(nbad):
                     flags[uniq[g]] = flags.get(uniq[g], 0) + int(nbad[g])
-            part = np.zeros((len(uniq), len(columns)), dtype=np.int32)
-            gi = inv[good]
+            n_groups, n_codes = len(uniq), len(_BIT_OF)
+            part = np.zeros((n_groups, len(columns)), dtype=np.int32)
+            gi = inv[good].astype(np.int64)
             for j, c in enumerate(columns):
                 col = b.column(c)
                 if not good.all():
                     col = col.filter(pa.array(good))
-                np.bitwise_or.at(part[:, j], gi, _BIT_OF[classify_array(col)])
+                # which type codes occur in which group: one bincount over (group, code)
+                seen = np.bincount(gi * n_codes + classify_array(col),
+                                   minlength=n_groups * n_codes).reshape(n_groups, n_codes) > 0
+                part[:, j] = seen.astype(np.int32) @ _BIT_OF
             for g, kv in enumerate(uniq):
                 if kv in acc:
                     acc[kv] |= part[g]

@@ -27,7 +27,19 @@ from . import oracle as O
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_parallelism(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Spread a scan that yields fewer partitions than ``per_core`` x cores.
+
+    A Parquet row group cannot be split, so a small table stored as one row
+    group is read by one task and all per-row work after it runs there.  Large
+    inputs have many row groups and pass through unchanged (no shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def _s(c: str) -> F.Column:
