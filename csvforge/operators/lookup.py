@@ -18,12 +18,26 @@ def bounded_count(df: DataFrame, limit: int) -> int:
 def lookup_join(records: DataFrame, lookup: DataFrame, on, how: str = "inner",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 unique_key: bool = True) -> DataFrame:
-    """Join a per-key map onto records; broadcast when the map is proven small."""
+    """Join a per-key map onto records; broadcast when the map is proven small.
+
+    The map is evaluated once: at most ``max_broadcast_rows + 1`` rows are
+    fetched; if that is all of it, the keys are checked on the driver and the
+    rows are broadcast as a literal table (so a map that is an aggregate over a
+    big table is not recomputed by the join).  Otherwise a shuffle join is used."""
     keys = [on] if isinstance(on, str) else list(on)
+    rows = lookup.limit(max_broadcast_rows + 1).collect()
+    if len(rows) <= max_broadcast_rows:
+        if unique_key:
+            seen = set()
+            for r in rows:
+                k = tuple(r[c] for c in keys)
+                if k in seen:
+                    raise ValueError(f"lookup keys are not unique: {dict(zip(keys, k))}")
+                seen.add(k)
+        small = records.sparkSession.createDataFrame(rows, lookup.schema)
+        return records.join(F.broadcast(small), keys, how)
     if unique_key:
         dup = lookup.groupBy(*keys).count().where("count > 1").limit(1).collect()
         if dup:
             raise ValueError(f"lookup keys are not unique: {dup[0].asDict()}")
-    if bounded_count(lookup, max_broadcast_rows) <= max_broadcast_rows:
-        lookup = F.broadcast(lookup)
     return records.join(lookup, keys, how)
