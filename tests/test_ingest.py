@@ -203,3 +203,17 @@ def test_ingest_many_tables_concurrently(spark, tmp):
     for i in range(12):
         back = spark.read.parquet(f"{tmp}/ccout/t{i}")
         assert sorted(r[0] for r in back.collect()) == [i, i + 100]
+
+
+def test_nested_archive(spark, tmp):
+    import gzip
+    import io
+    import zipfile
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("inner/fill.csv.gz", gzip.compress(FILL.encode()))
+        zf.writestr("other.csv", "name,cnt\nq,1\n")
+    write(f"{tmp}/nz/outer.zip", buf.getvalue())
+    res = read_tables(spark, f"{tmp}/nz")
+    assert set(res) == {"fill", "other"}
+    assert res["fill"].data.count() == 4 and res["other"].types == ["STRING", "INT"]
