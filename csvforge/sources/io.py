@@ -3,8 +3,6 @@ through ``pyarrow.fs``, plus shipping this package to the executors."""
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
 
 _SHIPPED: set[int] = set()
 
@@ -73,16 +71,35 @@ class atomic_output:
 
 
 def ship_package(spark) -> None:
-    """Make ``csvforge`` importable in Python workers (``addPyFile`` of a zip)."""
+    """Make ``csvforge`` importable in Python workers: the package is zipped in
+    memory, written to the shared folder (named by its content hash) and added
+    with ``addPyFile``."""
+    import hashlib
+    import io
+    import zipfile
     sc = spark.sparkContext
     key = id(sc._jsc)  # one upload per SparkContext
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    build = tempfile.mkdtemp(prefix="csvforge-pkg-")
-    archive = shutil.make_archive(os.path.join(build, "csvforge"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="csvforge")
-    sc.addPyFile(archive)
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in sorted(os.walk(pkg_dir)):
+            if "__pycache__" in folder:
+                continue
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    blob = buf.getvalue()
+    from ..session import shared_dir
+    target = f"{shared_dir(spark)}/csvforge-pkg/csvforge-{hashlib.sha1(blob).hexdigest()[:16]}.zip"
+    fs, p = filesystem(target)
+    if fs.get_file_info(p).type.name == "NotFound":
+        with atomic_output(target) as out:
+            out.write(blob)
+    sc.addPyFile(target)
     _SHIPPED.add(key)
 
 
