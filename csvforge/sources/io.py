@@ -14,12 +14,23 @@ def _uri(path: str) -> str:
 
 
 def filesystem(path: str):
-    """``(filesystem, path)`` for a Spark path (``file:``, ``hdfs://``, ``s3a://`` ...)."""
+    """``(filesystem, path)`` for a Spark path (``file:``, ``hdfs://``, ``s3a://`` ...).
+
+    Spark reports paths unencoded (``file:/a b.csv``) while ``pyarrow`` parses
+    URIs, so local paths are opened directly and the path part of other URIs is
+    percent-encoded first."""
+    import re
+    from urllib.parse import quote
+
     import pyarrow.fs as pafs
     uri = _uri(path)
-    if "://" not in uri and not uri.startswith("file:"):
+    if uri.startswith("file:"):
+        local = re.sub(r"^file:(//[^/]*)?", "", uri)
+        return pafs.LocalFileSystem(), local
+    m = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)(.*)$", uri, flags=re.S)
+    if not m:
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(m.group(1) + quote(m.group(2), safe="/"))
 
 
 def open_input(path: str):

@@ -217,3 +217,13 @@ def test_nested_archive(spark, tmp):
     res = read_tables(spark, f"{tmp}/nz")
     assert set(res) == {"fill", "other"}
     assert res["fill"].data.count() == 4 and res["other"].types == ["STRING", "INT"]
+
+
+def test_tricky_file_names(spark, tmp):
+    names = {"a b.csv": "a_b", "c+d.csv": "c_d", "e%f.csv": "e_f", "été.csv": "_t_"}
+    for fname in names:
+        write(f"{tmp}/tn/{fname}", "key,val\n1,x\n2,y\n")
+    res = read_tables(spark, f"{tmp}/tn")
+    assert set(res) == set(names.values())
+    for t in names.values():
+        assert res[t].types == ["INT", "STRING"] and res[t].data.count() == 2
