@@ -8,6 +8,7 @@ import numpy as np
 
 LF, CR = 0x0A, 0x0D
 READ_BLOCK = 1 << 20
+MAX_LINE_BYTES = 1 << 30   # a longer line cannot become one Spark string anyway
 
 
 def count_byte(data: bytes, b: int) -> int:
@@ -81,10 +82,13 @@ class LineReader:
             rel = 0
         return self._buf[rel]
 
-    def read_line(self) -> bytes:
+    def read_line(self, limit: int | None = None) -> bytes:
+        """Next line without its terminator; ValueError past ``limit`` bytes."""
         out = bytearray()
         at = self.pos
         while True:
+            if limit is not None and len(out) > limit:
+                raise ValueError(f"line at byte {self.pos} is longer than {limit} bytes")
             b = self._byte(at)
             if b is None:
                 self.pos = at
@@ -145,11 +149,11 @@ def heuristic_split_point(f, start: int, end: int, size: int, n_headers: int,
     whose field counts exceed ``n_headers + 1`` meet at a record boundary.
     Returns ``None`` when no point is found."""
     r = LineReader(f, start, size)
-    r.read_line()
+    r.read_line(MAX_LINE_BYTES)
     cur = r.pos
     prev = None
     while cur < end:
-        line = r.read_line()
+        line = r.read_line(MAX_LINE_BYTES)
         kinds = quote_kinds(line, quote, sep)
         if not kinds:
             if prev and java_split_count(prev, sep) + java_split_count(line, sep) > n_headers + 1:
