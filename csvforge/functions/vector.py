@@ -101,10 +101,13 @@ def classify_array(arr: pa.Array) -> np.ndarray:
     lengths = pc.utf8_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
     todo = lengths > 0
     codes[~todo] = ft.UNKNOWN
-    boolw = pc.is_in(pc.utf8_lower(arr), value_set=pa.array(BOOLEAN_WORDS)).fill_null(False) \
-        .to_numpy(zero_copy_only=False) & todo
-    codes[boolw] = ft.BOOLEAN
-    todo &= ~boolw
+    short = np.flatnonzero(todo & (lengths <= max(map(len, BOOLEAN_WORDS))))
+    if short.size:   # only short values can be boolean words: lower just those
+        sub = arr.take(pa.array(short, pa.int64()))
+        hit = pc.is_in(pc.utf8_lower(sub), value_set=pa.array(BOOLEAN_WORDS)).fill_null(False) \
+            .to_numpy(zero_copy_only=False)
+        codes[short[hit]] = ft.BOOLEAN
+        todo[short[hit]] = False
     m_int = _full(arr, INT_RE) & todo
     if m_int.any():
         idx = np.flatnonzero(m_int)
