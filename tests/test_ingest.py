@@ -227,3 +227,14 @@ def test_tricky_file_names(spark, tmp):
     assert set(res) == set(names.values())
     for t in names.values():
         assert res[t].types == ["INT", "STRING"] and res[t].data.count() == 2
+
+
+def test_ingest_into_database(spark, tmp):
+    write(f"{tmp}/db/fill.csv", FILL)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS csvforge_t LOCATION '{tmp}/warehouse'")
+    res = ingest(spark, f"{tmp}/db", database="csvforge_t")
+    assert res["fill"].target == "`csvforge_t`.`fill`"
+    assert spark.table("csvforge_t.fill").count() == 4
+    ingest(spark, f"{tmp}/db", database="csvforge_t")          # truncate on write
+    assert spark.table("csvforge_t.fill").count() == 4
+    spark.sql("DROP DATABASE csvforge_t CASCADE")
