@@ -93,6 +93,28 @@ WITH s AS ({_ORDERS_TEXT_SQL}),
 l AS ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS value FROM s" for c in ORDERS_TEXT_COLS)})
 SELECT column_name, {O.infer_name_sql('value')} AS field_type, count(*) AS n FROM l GROUP BY 1, 2"""
 
+# --------------------------------------------------------------------------- F7 A5
+
+
+def table_schema_orders(spark, d):
+    """Merged schema of stringified ``orders`` (whole table) -> warehouse schema rows."""
+    from ..sinks.tables import warehouse_schema
+    codes = infer_schema(_orders_text(spark, d), ORDERS_TEXT_COLS)       # one aggregate
+    rows = [(f["name"], i, ft.TYPE_NAMES[c], f["type"], f["mode"]) for i, (f, c) in
+            enumerate(zip(warehouse_schema(ORDERS_TEXT_COLS, codes), codes))]
+    return spark.createDataFrame(rows, "column_name string, position int, field_type string, "
+                                       "warehouse_type string, mode string")
+
+
+_WAREHOUSE_SQL = """CASE t WHEN 'INT' THEN 'INT64' WHEN 'LONG' THEN 'INT64' WHEN 'DOUBLE' THEN 'FLOAT64'
+  WHEN 'BOOLEAN' THEN 'BOOL' WHEN 'DATE' THEN 'DATE' WHEN 'TIME' THEN 'TIME' WHEN 'DATETIME' THEN 'DATETIME'
+  ELSE 'STRING' END"""
+SQL["table_schema_orders"] = f"""
+WITH s AS ({_ORDERS_TEXT_SQL}),
+m AS (SELECT {', '.join(f'bit_or({O.bit_sql(c)}) AS {c}' for c in ORDERS_TEXT_COLS)} FROM s),
+t AS ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, CAST({i} AS INTEGER) AS position, {O.resolve_sql(c)} AS t FROM m" for i, c in enumerate(ORDERS_TEXT_COLS))})
+SELECT column_name, position, t AS field_type, {_WAREHOUSE_SQL} AS warehouse_type, 'NULLABLE' AS mode FROM t"""
+
 # --------------------------------------------------------------------------- A2 A3
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -641,6 +663,7 @@ QUERIES_FILES = {
 
 QUERIES = {
     "infer_types_orders": infer_types_orders,
+    "table_schema_orders": table_schema_orders,
     "merge_schema_lineitem": merge_schema_lineitem,
     "merge_schema_global": merge_schema_global,
     "typed_cast_events": typed_cast_events,
