@@ -83,25 +83,32 @@ class LineReader:
         return self._buf[rel]
 
     def read_line(self, limit: int | None = None) -> bytes:
-        """Next line without its terminator; ValueError past ``limit`` bytes."""
+        """Next line without its terminator; ValueError past ``limit`` bytes.
+        Terminators are found with ``bytes.find`` on buffered blocks."""
         out = bytearray()
         at = self.pos
         while True:
+            rel = at - self._buf_start
+            if rel < 0 or rel >= len(self._buf):
+                if not self._fill(at):
+                    self.pos = at
+                    return bytes(out)
+                rel = 0
+            buf, base = self._buf, self._buf_start
+            i_lf, i_cr = buf.find(b"\n", rel), buf.find(b"\r", rel)
+            hits = [i for i in (i_lf, i_cr) if i >= 0]
+            stop = min(hits) if hits else len(buf)
+            out += buf[rel:stop]
             if limit is not None and len(out) > limit:
                 raise ValueError(f"line at byte {self.pos} is longer than {limit} bytes")
-            b = self._byte(at)
-            if b is None:
-                self.pos = at
-                return bytes(out)
-            if b == LF:
-                self.pos = at + 1
-                return bytes(out)
-            if b == CR:
-                nxt = self._byte(at + 1)
-                self.pos = at + 2 if nxt == LF else at + 1
-                return bytes(out)
-            out.append(b)
-            at += 1
+            if not hits:
+                at = base + len(buf)
+                continue
+            if buf[stop] == LF:
+                self.pos = base + stop + 1
+            else:                                   # CR, maybe followed by LF
+                self.pos = base + stop + (2 if self._byte(base + stop + 1) == LF else 1)
+            return bytes(out)
 
 
 def java_split_count(line: bytes, sep: int) -> int:
