@@ -130,11 +130,11 @@ def quote_kinds(line: bytes, quote: int, sep: int) -> list[int]:
     separator before and not after -> OPEN; not before and separator after ->
     CLOSED; else UNKNOWN.  Line ends count as separators."""
     seps = (sep, LF, CR)
+    q = bytes([quote])
     kinds = []
     n = len(line)
-    for i, b in enumerate(line):
-        if b != quote:
-            continue
+    i = line.find(q)
+    while i >= 0:
         prev = line[i - 1] if i > 0 else LF
         nxt = line[i + 1] if i < n - 1 else LF
         if prev == quote or nxt == quote:
@@ -145,6 +145,7 @@ def quote_kinds(line: bytes, quote: int, sep: int) -> list[int]:
             kinds.append(CLOSED)
         else:
             kinds.append(UNKNOWN)
+        i = line.find(q, i + 1)
     return kinds
 
 
