@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..options import IngestOptions
 from ..plans.ingest import ingest
-from ..session import new_work_dir
+from ..session import shared_dir
 
 
 def ingest_arrivals(spark: SparkSession, landing: str, output: str | None = None,
@@ -30,7 +30,11 @@ def ingest_arrivals(spark: SparkSession, landing: str, output: str | None = None
         if paths:
             ingest(spark, paths, options, output=output, database=database)
 
+    if checkpoint is None:   # same landing folder and target -> same checkpoint: restarts resume
+        import hashlib
+        key = hashlib.sha1(f"{landing}|{output}|{database}".encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark)}/csvforge/arrivals-{key}"
     writer = (arrivals.writeStream.foreachBatch(import_batch)
-              .option("checkpointLocation", checkpoint or new_work_dir(spark, "arrivals-checkpoint")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

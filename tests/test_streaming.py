@@ -15,3 +15,15 @@ def test_arrivals_are_imported_once(spark, tmp):
     q = ingest_arrivals(spark, f"{tmp}/landing", output=f"{tmp}/out", checkpoint=ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp}/out/c").count() == 1
+
+
+def test_default_checkpoint_resumes(spark, tmp):
+    write(f"{tmp}/land2/a.csv", "xa,yb\n1,2\n")
+    q = ingest_arrivals(spark, f"{tmp}/land2", output=f"{tmp}/out2")
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp}/out2/a").count() == 1
+    write(f"{tmp}/land2/b.csv", "kk\n7\n")
+    q = ingest_arrivals(spark, f"{tmp}/land2", output=f"{tmp}/out2")    # restart, no checkpoint given
+    q.awaitTermination(120)
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in progress) == 1                # only the new file
