@@ -20,7 +20,7 @@ from ..operators.schema import infer_schema, merge_masks
 from ..sources.plan import candidate_starts, pair_point_array
 from ..sources.records import parse_csv_records
 from ..options import IngestOptions
-from ..session import new_work_dir
+from ..session import default_parallelism, new_work_dir
 from .ingest import read_tables
 from .fixtures import build_archive
 from . import oracle as O
@@ -36,8 +36,11 @@ def ensure_parallelism(df: DataFrame, per_core: int = 2) -> DataFrame:
     A Parquet row group cannot be split, so a small table stored as one row
     group is read by one task and all per-row work after it runs there.  Large
     inputs have many row groups and pass through unchanged (no shuffle)."""
-    want = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= want:
+    want = default_parallelism(df.sparkSession) * per_core
+    try:
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:     # no RDD view (e.g. Spark Connect): leave the scan as it is
         return df
     return df.repartition(want)
 

@@ -45,3 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run's staged files."""
     return f"{shared_dir(spark)}/csvforge/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores Spark schedules by default (configuration fallback where the
+    session has no SparkContext, as with Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions", "8"))
