@@ -419,7 +419,7 @@ FROM documents WHERE strlen(text) > 0"""
 
 def route_by_source(spark, d):
     docs = _t(spark, d, "documents")
-    uri = F.concat(F.lit("gs://landing/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit(".csv"))
+    uri = F.concat(F.lit("s3a://landing/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit(".csv"))
     return (docs.select(table_name(uri).alias("table_name"), F.octet_length("text").alias("b"))
             .groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"),
                                        F.sum("b").cast("long").alias("n_bytes")))

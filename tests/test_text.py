@@ -4,23 +4,23 @@ from csvforge.functions import text
 
 
 def test_uri_helpers(spark):
-    uris = ["gs://bucket/dir/file.csv", "gs://bucket/file", "s3a://b/x/y.tar.gz", "gs://bucket",
+    uris = ["s3a://bucket/dir/file.csv", "s3a://bucket/file", "s3a://b/x/y.tar.gz", "s3a://bucket",
             "no-scheme/path.csv", "hdfs://nn:8020/data/a b.csv"]
     df = spark.createDataFrame([(u,) for u in uris], "u string")
     rows = df.select("u", text.uri_bucket(F.col("u")).alias("b"), text.uri_path(F.col("u")).alias("p"),
                      text.base_name(F.col("u")).alias("n"), text.table_name(F.col("u")).alias("t")).collect()
     got = {r.u: (r.b, r.p, r.n, r.t) for r in rows}
-    assert got["gs://bucket/dir/file.csv"] == ("bucket", "dir/file.csv", "file", "file")
-    assert got["gs://bucket/file"] == ("bucket", "file", "file", "file")
+    assert got["s3a://bucket/dir/file.csv"] == ("bucket", "dir/file.csv", "file", "file")
+    assert got["s3a://bucket/file"] == ("bucket", "file", "file", "file")
     assert got["s3a://b/x/y.tar.gz"] == ("b", "x/y.tar.gz", "y.tar", "y_tar")
-    assert got["gs://bucket"] == (None, None, None, "bucket")   # no object path: not a URI, a plain name
+    assert got["s3a://bucket"] == (None, None, None, "bucket")   # no object path: not a URI, a plain name
     assert got["no-scheme/path.csv"][3] == "path"
     assert got["hdfs://nn:8020/data/a b.csv"][3] == "a_b"
 
 
 def test_split_uri_driver_side():
     import pytest
-    assert text.split_uri("gs://b/dir/x.csv") == ("b", "dir/x.csv")
-    for bad in ["", "b/x.csv", "gs://bucket", "gs://bucket/"]:
+    assert text.split_uri("s3a://b/dir/x.csv") == ("b", "dir/x.csv")
+    for bad in ["", "b/x.csv", "s3a://bucket", "s3a://bucket/"]:
         with pytest.raises(ValueError):
             text.split_uri(bad)
