@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m csvforge --input PATH [--output DIR | --database DB] ...``
+"""Command line: ``python -m csvforge --input PATH [--output DIR | --database DB] ...``
 
 Maps the importer's CSV flags onto :class:`csvforge.IngestOptions` and runs
 :func:`csvforge.plans.ingest.ingest` (one table per file, created if needed,
