@@ -30,8 +30,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark=None) -> dict:
     from pyspark.sql import SparkSession
 
-    from .options import IngestOptions
-    from .plans.ingest import ingest
+    from csvforge.options import IngestOptions
+    from csvforge.plans.ingest import ingest
     a = parser().parse_args(argv)
     options = IngestOptions(sep=a.csv_delimiter, quote=a.csv_quote,
                             line_sep=a.csv_record_separator.encode().decode("unicode_escape"),
