@@ -40,6 +40,39 @@ def chunk_stats(data: bytes, quote: int, rec: int) -> tuple[int, int, int, int]:
     return int(qpos.size), int(nl.size), inq, lone
 
 
+def field_aware_boundaries(data: bytes, quote: int, sep: int, rec: int, trim: bool = True) -> np.ndarray:
+    """Record ends (offsets after each terminator) the way a CSV parser reads a
+    buffer that starts on a record boundary: a quote opens a quoted field only
+    at the start of a field (after blanks when ``trim``), a quote inside an
+    unquoted field is a plain character, and a doubled quote inside quotes is
+    an escape.  Only quote / delimiter / terminator bytes are visited."""
+    arr = np.frombuffer(data, dtype=np.uint8)
+    special = np.flatnonzero((arr == quote) | (arr == sep) | (arr == rec))
+    ends = []
+    state, field_start, qpos = 0, 0, -2          # 0: outside quotes, 1: inside, 2: after a quote inside
+    blanks = b" \t" if trim else b""
+    for i in special.tolist():
+        b = data[i]
+        if state == 2:
+            if b == quote and i == qpos + 1:      # "" inside quotes
+                state = 1
+                continue
+            state, field_start = 0, -1            # quoted field closed; rest of field is plain
+        if state == 1:
+            if b == quote:
+                state, qpos = 2, i
+            continue
+        if b == quote:
+            if field_start >= 0 and not data[field_start:i].strip(blanks):
+                state = 1
+        elif b == sep:
+            field_start = i + 1
+        else:
+            ends.append(i + 1)
+            field_start = i + 1
+    return np.asarray(ends, dtype=np.int64)
+
+
 def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: int,
                         limit: int | None = None) -> int:
     """Absolute offset after the first terminator at or after ``pos`` that lies

@@ -238,3 +238,14 @@ def test_ingest_into_database(spark, tmp):
     ingest(spark, f"{tmp}/db", database="csvforge_t")          # truncate on write
     assert spark.table("csvforge_t.fill").count() == 4
     spark.sql("DROP DATABASE csvforge_t CASCADE")
+
+
+def test_stray_quote_fails_loudly_in_exact_mode(spark, tmp):
+    # an unescaped quote inside an unquoted field breaks RFC 4180 quote parity
+    lines = ["size,name,note"] + [f"{i},item{i},ok" for i in range(20)]
+    lines[5] = '4,screen 5",ok'
+    write(f"{tmp}/sq/s.csv", "\n".join(lines) + "\n")
+    with pytest.raises(ValueError, match="do not have 3 fields"):
+        read_tables(spark, f"{tmp}/sq")
+    res = read_tables(spark, f"{tmp}/sq", IngestOptions(split_mode="heuristic"))["s"]
+    assert res.data.count() == 20

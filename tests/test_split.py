@@ -251,3 +251,12 @@ def test_range_bytes(spark, tmp):
                    ("a.txt", 14, b"opqrstuvwxyz"), ("b.txt", 0, b"ABCDEFGHIJKLM"), ("b.txt", 13, b"NOPQRSTUVWXYZ")]
     empty = spark.createDataFrame([], "path string, point bigint")
     assert read_range_bytes(empty).count() == 0
+
+
+def test_field_aware_boundaries():
+    q, c, lf = ord('"'), ord(","), ord("\n")
+    data = b'1,screen 5",x\n2,"a\nb",y\n3," q ""z"" ",w\n4,z'
+    ends = list(bs.field_aware_boundaries(data, q, c, lf))
+    assert ends == [data.index(b"2,"), data.index(b"3,"), data.index(b"4,")]
+    assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf)) == [12]          # blanks before a quote
+    assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf, trim=False)) == [7, 12]
