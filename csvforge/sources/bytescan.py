@@ -45,31 +45,35 @@ def field_aware_boundaries(data: bytes, quote: int, sep: int, rec: int, trim: bo
     buffer that starts on a record boundary: a quote opens a quoted field only
     at the start of a field (after blanks when ``trim``), a quote inside an
     unquoted field is a plain character, and a doubled quote inside quotes is
-    an escape.  Only quote / delimiter / terminator bytes are visited."""
+    an escape.  Without quotes every terminator ends a record (numpy); otherwise
+    only quote and terminator bytes are visited, and a quote's field start is
+    found by looking back to the previous delimiter or terminator."""
     arr = np.frombuffer(data, dtype=np.uint8)
-    special = np.flatnonzero((arr == quote) | (arr == sep) | (arr == rec))
+    is_quote = arr == quote
+    if not is_quote.any():
+        return np.flatnonzero(arr == rec).astype(np.int64) + 1
+    special = np.flatnonzero(is_quote | (arr == rec))
     ends = []
-    state, field_start, qpos = 0, 0, -2          # 0: outside quotes, 1: inside, 2: after a quote inside
+    state, qpos = 0, -2           # 0: outside quotes, 1: inside, 2: just after a quote inside
     blanks = b" \t" if trim else b""
+    sep_b, rec_b = bytes([sep]), bytes([rec])
     for i in special.tolist():
         b = data[i]
         if state == 2:
             if b == quote and i == qpos + 1:      # "" inside quotes
                 state = 1
                 continue
-            state, field_start = 0, -1            # quoted field closed; rest of field is plain
+            state = 0                             # quoted field closed
         if state == 1:
             if b == quote:
                 state, qpos = 2, i
             continue
         if b == quote:
-            if field_start >= 0 and not data[field_start:i].strip(blanks):
+            field_start = max(data.rfind(sep_b, 0, i), data.rfind(rec_b, 0, i)) + 1
+            if not data[field_start:i].strip(blanks):
                 state = 1
-        elif b == sep:
-            field_start = i + 1
         else:
             ends.append(i + 1)
-            field_start = i + 1
     return np.asarray(ends, dtype=np.int64)
 
 

@@ -260,3 +260,17 @@ def test_field_aware_boundaries():
     assert ends == [data.index(b"2,"), data.index(b"3,"), data.index(b"4,")]
     assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf)) == [12]          # blanks before a quote
     assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf, trim=False)) == [7, 12]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_field_aware_boundaries_match_csv_module(seed):
+    rnd = random.Random(seed)
+    text = "".join(rnd.choice(['a', 'b', ',', '"', '""', ' ', '\n', 'x"y']) for _ in range(400))
+    text = text.rstrip("\n") + "\n"
+    data = text.encode()
+    ends = list(bs.field_aware_boundaries(data, ord('"'), ord(","), ord("\n"), trim=False))
+    starts = [0] + ends[:-1]
+    pieces = [data[s:e].decode() for s, e in zip(starts, ends)]
+    whole = list(csv.reader(io.StringIO(text, newline="")))
+    per_piece = [row for p in pieces for row in csv.reader(io.StringIO(p, newline=""))]
+    assert per_piece == whole
