@@ -108,28 +108,29 @@ def _random_table(seed, n_rows=60, n_cols=4):
     return rows
 
 
-def _csv_bytes(header, rows):
+def _csv_bytes(header, rows, terminator="\n"):
     buf = io.StringIO()
-    w = csv.writer(buf, lineterminator="\n")
+    w = csv.writer(buf, lineterminator=terminator)
     w.writerow(header)
     w.writerows(rows)
     return buf.getvalue().encode("utf-8")
 
 
-@pytest.mark.parametrize("seed,chunk", [(1, 7), (2, 64), (3, 257), (4, 4096)])
-def test_exact_split_equals_whole_file_parse(spark, tmp, seed, chunk):
+@pytest.mark.parametrize("seed,chunk,term", [(1, 7, "\n"), (2, 64, "\n"), (3, 257, "\n"),
+                                             (4, 4096, "\n"), (5, 13, "\r\n"), (6, 100, "\r\n")])
+def test_exact_split_equals_whole_file_parse(spark, tmp, seed, chunk, term):
     from csvforge.sources.files import list_files
     from csvforge.sources.records import parse_csv_records
     from csvforge.sources.splitter import read_records
     header = ["c0", "c1", "c2", "c3"]
     rows = _random_table(seed)
-    path = write(os.path.join(tmp, "t.csv"), _csv_bytes(header, rows))
+    path = write(os.path.join(tmp, "t.csv"), _csv_bytes(header, rows, term))
     opts = IngestOptions(chunk_size=chunk, trim=False)
     files = list_files(spark, path)
     recs = read_records(files, opts).where("rec_start > 0")
     parsed = parse_csv_records(recs, "record", 4, opts, names=header)
     got = sorted((r.rec_start, [r.c0, r.c1, r.c2, r.c3]) for r in parsed.collect())
-    want = [r for r in csv.reader(io.StringIO(_csv_bytes(header, rows).decode(), newline=""))][1:]
+    want = [r for r in csv.reader(io.StringIO(_csv_bytes(header, rows, term).decode(), newline=""))][1:]
     assert [g[1] for g in got] == want
     assert not parsed.where("corrupt").count()
 
