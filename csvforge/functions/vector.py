@@ -152,25 +152,6 @@ def mask_of(arr: pa.Array) -> int:
     return int(np.bitwise_or.reduce(_BIT_OF[present])) if present.size else 0
 
 
-def partial_masks(columns: Sequence[str], flag: str | None = None):
-    """``mapInArrow`` function: per task, one row of merged masks of ``columns``
-    (+ the count of rows where boolean column ``flag`` is true)."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        acc = [0] * len(columns)
-        n_flag = 0
-        for b in batches:
-            if flag is not None:
-                f = b.column(flag)
-                n_flag += int(pc.sum(f.cast(pa.int64())).as_py() or 0)
-                keep = pc.invert(f.fill_null(False))
-                b = b.filter(keep)
-            for i, c in enumerate(columns):
-                acc[i] |= mask_of(b.column(c))
-        arrays = [pa.array([m], pa.int32()) for m in acc] + [pa.array([n_flag], pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=list(columns) + ["_n_flag"])
-    return run
-
-
 def _factorize(b: pa.RecordBatch, keys: Sequence[str]):
     """Group index of every row and the distinct key tuples, in one pass."""
     import pandas as pd

@@ -87,16 +87,3 @@ def merge_type_columns(a: Column, b: Column) -> Column:
     bits = F.array(*[F.lit(ft.BIT[c]) for c in range(len(ft.TYPE_NAMES))])
     bit = lambda c: F.element_at(bits, c + 1)
     return ft.resolve_mask(bit(a).bitwiseOR(bit(b)))
-
-
-def merge_masks_vectorized(df: DataFrame, columns: Sequence[str], flag: str | None = None) -> DataFrame:
-    """Global merged masks computed by the vectorized classifier: each task emits
-    one row of partial masks (rows with ``flag`` true are skipped and counted in
-    ``_n_flag``); Spark's ``bit_or`` / ``sum`` merge the partials."""
-    from ..functions.vector import partial_masks
-    cols = list(columns) + ([flag] if flag else [])
-    schema = T.StructType([T.StructField(c, T.IntegerType()) for c in columns]
-                          + [T.StructField("_n_flag", T.LongType())])
-    partial = df.select(*cols).mapInArrow(partial_masks(columns, flag), schema)
-    return partial.agg(*[F.bit_or(c).alias(c) for c in columns],
-                       F.sum("_n_flag").alias("_n_flag"))

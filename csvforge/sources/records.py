@@ -3,8 +3,7 @@
 Standard mode parses each record with Spark's own CSV parser (``from_csv``:
 RFC 4180 quoting, quote doubled to escape, newlines inside quotes kept), in
 PERMISSIVE mode with a corrupt-record column that flags short and long rows.
-Regex mode splits records with Java regexes (``split``), trailing empty
-fields removed as ``String.split`` does.
+(Regex mode splits text with ``functions.text.java_split``.)
 """
 from __future__ import annotations
 
@@ -13,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import java_split
 from ..operators.headers import split_header
 from ..options import IngestOptions
 
@@ -49,19 +47,3 @@ def parse_csv_records(df: DataFrame, record_col: str, n: int, options: IngestOpt
         out.append(F.when(corrupt, count_csv_fields(F.col(record_col), options))
                    .otherwise(F.lit(n)).alias("n_fields"))
     return parsed.select(*out)
-
-
-def regex_fields(record: Column, field_regex: str) -> Column:
-    """Fields of one record in regex mode (``array<string>``)."""
-    return java_split(record, field_regex)
-
-
-def regex_records(text: Column, record_regex: str) -> Column:
-    """Records of a chunk of text in regex mode (``array<string>``)."""
-    return java_split(text, record_regex)
-
-
-def fields_to_columns(df: DataFrame, fields: str, names: Sequence[str],
-                      keep: Sequence[str] = ()) -> DataFrame:
-    """``array<string>`` -> one string column per name (missing -> NULL)."""
-    return df.select(*keep, *[F.get(F.col(fields), i).alias(nm) for i, nm in enumerate(names)])

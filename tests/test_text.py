@@ -24,3 +24,10 @@ def test_split_uri_driver_side():
     for bad in ["", "b/x.csv", "s3a://bucket", "s3a://bucket/"]:
         with pytest.raises(ValueError):
             text.split_uri(bad)
+
+
+def test_generate_uri_and_pretty(spark):
+    df = spark.createDataFrame([("b", "dir/x.csv", ["a", "b", "c"])], "b string, p string, l array<string>")
+    r = df.select(text.generate_uri("s3a", F.col("b"), F.col("p")).alias("u"),
+                  text.pretty(F.col("l")).alias("s")).first()
+    assert r.u == "s3a://b/dir/x.csv" and r.s == "a, b, c"
