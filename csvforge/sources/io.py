@@ -3,8 +3,10 @@ through ``pyarrow.fs``, plus shipping this package to the executors."""
 from __future__ import annotations
 
 import os
+import threading
 
 _SHIPPED: set[int] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def _uri(path: str) -> str:
@@ -85,13 +87,19 @@ def ship_package(spark) -> None:
     """Make ``csvforge`` importable in Python workers: the package is zipped in
     memory, written to the shared folder (named by its content hash) and added
     with ``addPyFile``."""
+    sc = spark.sparkContext
+    key = id(sc)  # one upload per SparkContext
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        _ship(spark, sc)
+        _SHIPPED.add(key)
+
+
+def _ship(spark, sc) -> None:
     import hashlib
     import io
     import zipfile
-    sc = spark.sparkContext
-    key = id(sc._jsc)  # one upload per SparkContext
-    if key in _SHIPPED:
-        return
     pkg_dir = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     root = os.path.dirname(pkg_dir)
     buf = io.BytesIO()
@@ -111,7 +119,6 @@ def ship_package(spark) -> None:
         with atomic_output(target) as out:
             out.write(blob)
     sc.addPyFile(target)
-    _SHIPPED.add(key)
 
 
 def extend_schema(schema, *fields):
