@@ -275,3 +275,17 @@ def test_field_aware_boundaries_match_csv_module(seed):
     whole = list(csv.reader(io.StringIO(text, newline="")))
     per_piece = [row for p in pieces for row in csv.reader(io.StringIO(p, newline=""))]
     assert per_piece == whole
+
+
+def test_length_limits():
+    data = b'"open quote never closed\n' + b"x" * 100
+    with pytest.raises(ValueError, match="no record end outside quotes"):
+        bs.first_even_boundary(_F(data), 0, len(data), ord('"'), ord("\n"), 0, limit=50)
+    assert bs.first_even_boundary(_F(b"a,b\nc"), 0, 5, ord('"'), ord("\n"), 0, limit=50) == 4
+    r = bs.LineReader(_F(b"y" * 100), 0, 100)
+    with pytest.raises(ValueError, match="longer than 10 bytes"):
+        r.read_line(10)
+    from csvforge.sources.splitter import _check_ranges, MAX_RECORD_BYTES
+    _check_ranges(1, 10, 10)
+    with pytest.raises(ValueError, match="no split point"):
+        _check_ranges(1, MAX_RECORD_BYTES + 1, MAX_RECORD_BYTES + 1)
