@@ -258,3 +258,11 @@ def test_stray_quote_in_single_column_file(spark, tmp):
         read_tables(spark, f"{tmp}/sc")["s"].data.collect()
     res = read_tables(spark, f"{tmp}/sc", IngestOptions(split_mode="heuristic"))["s"]
     assert sorted(r.note for r in res.data.collect()) == ["last", "more", "ok", 'screen 5"']
+
+
+def test_glob_and_list_inputs(spark, tmp):
+    write(f"{tmp}/g/a.csv", FILL)
+    write(f"{tmp}/g/b.txt", "aa,bb\n1,2\n")
+    write(f"{tmp}/h/c.csv", "cc\n3\n")
+    res = read_tables(spark, [f"{tmp}/g/*.csv", f"{tmp}/h"])
+    assert set(res) == {"a", "c"}
