@@ -604,6 +604,18 @@ def csv_split_heuristic(spark, d):
 
 SQL["csv_split_heuristic"] = LINEITEM_TYPED_SQL
 
+def csv_roundtrip_customer(spark, d):
+    """customer -> CSV with every field quoted -> ingest -> typed customer."""
+    out = _stage_dir(spark, "customer-csv")
+    _t(spark, d, "customer").write.option("header", True).option("quoteAll", True) \
+        .option("escape", '"').csv(out)
+    return read_tables(spark, out, IngestOptions(), table_name="customer")["customer"].data
+
+
+SQL["csv_roundtrip_customer"] = """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+  c_acctbal, c_mktsegment FROM customer"""
+
 CONV_TYPED_SQL = """
 SELECT CAST(conv_id AS INTEGER) AS conv_id, CAST(turn AS INTEGER) AS turn,
   NULLIF(role, '') AS role, NULLIF(text, '') AS text FROM conversations"""
@@ -659,6 +671,7 @@ QUERIES_FILES = {
     "ingest_end_to_end": ingest_end_to_end,
     "csv_split_parallel": csv_split_parallel,
     "csv_split_heuristic": csv_split_heuristic,
+    "csv_roundtrip_customer": csv_roundtrip_customer,
     "regex_parse_file": regex_parse_file,
     "archive_expand": archive_expand,
 }
