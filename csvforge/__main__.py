@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--csv_record_separator_regex")
     p.add_argument("--split_mode", choices=["exact", "heuristic"], default="exact")
     p.add_argument("--bad_rows", choices=["error", "quarantine"], default="error")
+    p.add_argument("--bad_headers", choices=["error", "skip"], default="error")
     p.add_argument("--format", default="parquet", help="table storage format")
     return p
 
@@ -37,13 +38,16 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                             line_sep=a.csv_record_separator.encode().decode("unicode_escape"),
                             field_regex=a.csv_delimiter_regex,
                             record_regex=a.csv_record_separator_regex,
-                            split_mode=a.split_mode, bad_rows=a.bad_rows)
+                            split_mode=a.split_mode, bad_rows=a.bad_rows,
+                            bad_headers=a.bad_headers)
     spark = spark or SparkSession.builder.appName("csvforge").getOrCreate()
     results = ingest(spark, a.input, options, output=a.output, database=a.database,
                      table_name=a.table_name, fmt=a.format)
     for name, res in results.items():
         print(f"{name}: {res.target} ({', '.join(f'{c} {t}' for c, t in zip(res.columns, res.types))})"
               + (f"; {res.n_bad} bad records" if res.n_bad else ""))
+    for path, line in getattr(results, "skipped_files", []):
+        print(f"skipped {path}: invalid header {line!r}")
     return results
 
 
