@@ -266,3 +266,14 @@ def test_glob_and_list_inputs(spark, tmp):
     write(f"{tmp}/h/c.csv", "cc\n3\n")
     res = read_tables(spark, [f"{tmp}/g/*.csv", f"{tmp}/h"])
     assert set(res) == {"a", "c"}
+
+
+def test_lossy_audit_of_a_table(spark, tmp):
+    write(f"{tmp}/la/t.csv", "when,what\n2018-11-18,x\n2018-11-18T10:00:00,y\n10:15,z\n")
+    res = read_tables(spark, f"{tmp}/la")["t"]
+    assert res.types == ["STRING", "STRING"]          # {DATE, TIME, DATETIME} -> STRING
+    write(f"{tmp}/lb/u.csv", "when,what\n2018-11-18,x\n2018-11-18T10:00:00,y\n")
+    res = read_tables(spark, f"{tmp}/lb")["u"]
+    assert res.types == ["DATETIME", "STRING"]
+    audit = {r.column: (r.field_type, r.n_lossy) for r in res.lossy().collect()}
+    assert audit == {"when": ("DATETIME", 1), "what": ("STRING", 0)}
