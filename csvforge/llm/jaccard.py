@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import Workspace, prepare, shuffle_parts, table
+from .common import Workspace, free_name, prepare, shuffle_parts, table
 from .components import components
 from .sigtree import WORDS, bitmap, candidate_pairs
 from .textnum import list_array, mix, shingle_sets, signed, slices, word_hashes
@@ -262,6 +262,21 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", k: i
                      .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
 
 
+def one_of_each(df: DataFrame, text: str = "text", k: int = 5, num: int = 8, den: int = 10,
+                block: int = BLOCK) -> DataFrame:
+    """The rows of ``df`` (all columns) without near duplicates: of each component the
+    first row in scan order stays; texts without words all stay."""
+    prepare(df.sparkSession)
+    ws = Workspace(df.sparkSession, "one")
+    docs = df.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    sigs, classes, roots = linked_components(docs, ws, k, num, den, block)
+    named = (classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+             .select("k1", "k2", F.coalesce("root", "cid").alias("root")))
+    rid = free_name(df.columns, "__rid")
+    gone = ws.stage(sigs.join(named, ["k1", "k2"]).where("n > 0 AND root <> rid").select(F.col("rid").alias(rid)), "gone")
+    return ws.finish(df.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
