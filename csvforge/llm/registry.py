@@ -1,8 +1,8 @@
 """All queries of this package and their DuckDB SQL, by name."""
 from __future__ import annotations
 
-from . import jaccard, language, mixing, packing, paragraphs, tokens
+from . import jaccard, language, licenses, mixing, packing, paragraphs, phrases, quality, rendering, tokens
 
-MODULES = (mixing, language, packing, tokens, jaccard, paragraphs)
+MODULES = (licenses, mixing, phrases, language, packing, rendering, tokens, jaccard, quality, paragraphs)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
