@@ -12,9 +12,9 @@ or more are linked; the result gives the connected components of the links.
 3. In each block a signature tree over bitmaps is traversed against itself.  A
    block larger than ``block`` members is cut into slots by a hash.
    - First every member offers its pair with the lowest-numbered class that may
-     reach the bound (slots see the lowest member of their whole block too).
-     These pairs, linear in the block, are verified on the whole sets; the links
-     are joined to components.
+     reach the bound (slots see the lowest member of their whole block too); one
+     pair for each class is verified on the whole sets, and the links are joined
+     to components.
    - Then blocks that still hold several components are traversed in full, slot
      against slot: all pairs of different components that the trees cannot rule
      out are verified.  No link between different components is lost, and a
@@ -29,13 +29,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from .bloom import key_filter, passes
 from .common import Workspace, free_name, prepare, shuffle_parts, table
 from .components import components
-from .sigtree import WORDS, bitmap, candidate_pairs
+from .sigtree import WORDS, bitmap, candidate_pairs, fine_bitmap, fine_may_reach, may_reach
 from .textnum import list_array, mix, shingle_sets, signed, slices, word_hashes
 
 SKETCH_BITS = 20              # cells of the frequency sketch: 2**20, whatever the input
@@ -129,7 +131,28 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, ws: Workspace, name:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets reach the bound."""
+    """The pairs ``(a, b)`` whose whole sets reach the bound.  Bitmaps of a byte an
+    element rule out most other pairs before whole sets are brought together."""
+    def shrink(it):
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(1)
+            size = pc.list_value_length(lists).to_numpy()
+            parts = np.split(lists.flatten().to_numpy().view(U), np.cumsum(size)[:-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size.astype(np.int64)), pa.array(
+                [fine_bitmap(x) for x in parts], pa.binary())], names=["rid", "n", "fine"])
+
+    def screen(it):
+        for batch in it:
+            na, nb, fa, fb = (batch.column(i).to_pylist() for i in range(2, 6))
+            ok = [fine_may_reach(x, y, p, q, num, den) for x, y, p, q in zip(fa, fb, na, nb)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    fine = sets.select("rid", "shingles").mapInArrow(shrink, "rid long, n long, fine binary")
+    side = lambda c: fine.toDF(c, f"n{c}", f"f{c}")
+    pairs = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
+             .mapInArrow(screen, "a long, b long"))
     left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -176,15 +199,22 @@ def block_pairs(blocks: DataFrame, num: int, den: int, first_only: bool) -> Data
             ids, labels, n, side = (held[c].to_numpy() for c in cols[:4])
             raw = held["bits"].combine_chunks()
             bits = np.frombuffer(b"".join(raw.slice(0, int(ends[-1])).to_pylist()), U).reshape(-1, WORDS)
-            left, right, at = [], [], 0
-            for e in ends.tolist():
-                if e - at > 1:
-                    a, b = solve(ids[at:e], labels[at:e], n[at:e], side[at:e], bits[at:e])
-                    left.append(a)
-                    right.append(b)
-                at = e
+            begins = np.concatenate(([0], ends[:-1]))
+            two = begins[ends - begins == 2]                   # blocks of two, all at once
+            ok = (labels[two] != labels[two + 1]) & (ids[two] != ids[two + 1])
+            ok &= (side[two] == 0) | (side[two] != side[two + 1])
+            two = two[ok]
+            two = two[may_reach(bits[two], bits[two + 1], n[two], n[two + 1], num, den)]
+            left = [np.minimum(ids[two], ids[two + 1])]
+            right = [np.maximum(ids[two], ids[two + 1])]
+            large = ends - begins > 2
+            for at, e in zip(begins[large].tolist(), ends[large].tolist()):
+                a, b = solve(ids[at:e], labels[at:e], n[at:e], side[at:e], bits[at:e])
+                left.append(a)
+                right.append(b)
+            at = int(ends[-1])
             held = held.slice(at)
-            if left:
+            if sum(map(len, left)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()),
                                                   pa.array(np.concatenate(right), pa.int64())], names=["a", "b"])
 
@@ -193,6 +223,19 @@ def block_pairs(blocks: DataFrame, num: int, den: int, first_only: bool) -> Data
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def possible_entries(reps: DataFrame, filt) -> DataFrame:
+    """``(key, id)`` of the prefix shingles that may stand in another prefix too."""
+    def run(it):
+        for b in it:
+            lists = b.column(1)
+            key = lists.flatten().to_numpy()
+            ids = np.repeat(b.column(0).to_numpy(), pc.list_value_length(lists).to_numpy())
+            ok = passes(filt.value, key.view(U))
+            yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(ids[ok])], names=["key", "id"])
+
+    return reps.select("id", "prefix").mapInArrow(run, "key long, id long")
+
+
 def _ending(it):
     yield from it
     yield None
@@ -207,10 +250,12 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
     classes = sigs.where("n > 0").groupBy("k1", "k2").agg(F.min("rid").alias("cid"))
     classes = ws.stage(classes, "classes")
     reps = sigs.join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
-    entries = reps.select(F.explode("prefix").alias("key"), F.col("rid").alias("id"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low")).where("c > 1")
-    shared = ws.stage(entries.join(shared, "key"), "blocks")
-    facts = reps.select(F.col("rid").alias("id"), "n", "bits")
+    reps = ws.stage(reps.select(F.col("rid").alias("id"), "n", "prefix", "bits"), "representatives")
+    met = (reps.select(F.explode("prefix").alias("key"), "id").groupBy("key")
+           .agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low")).where("c > 1"))
+    met = ws.stage(met, "keys")
+    shared = ws.stage(possible_entries(reps, spark.sparkContext.broadcast(key_filter(met))).join(met, "key"), "blocks")
+    facts = reps.select("id", "n", "bits")
 
     # linear pass: each member with one partner, every class its own label
     slots = F.ceil(F.col("c") / F.lit(block)).cast("int")
@@ -220,7 +265,8 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
             .select("key", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("part"), "id"))
     blocks = (own.unionByName(lows).distinct().join(facts, "id")
               .select("key", "part", F.lit(0).alias("side"), "id", F.col("id").alias("label"), "n", "bits"))
-    first = ws.stage(block_pairs(blocks, num, den, True), "pairs-1")
+    first = block_pairs(blocks, num, den, True).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = ws.stage(first, "pairs-1")
     wanted = first.select(F.col("a").alias("rid")).unionAll(first.select("b")).distinct()
     sets = whole_sets(docs, k, wanted, ws, "sets-1")
     links = ws.stage(verified(first, sets, num, den), "links-1")

@@ -84,8 +84,21 @@ def leaf_pairs(tree: Tree, num: int, den: int):
     return a, b
 
 
+def may_reach(x, y, nx, ny, num: int, den: int) -> np.ndarray:
+    """Leaf test: each bit that only one set has costs it an element of the overlap."""
+    most = np.minimum(nx - bits_of(x & ~y), ny - bits_of(y & ~x))
+    return most >= _need(nx + ny, num, den)
+
+
+_PAIRS = {m: np.triu_indices(m, 1) for m in range(2, LEAF + 1)}
+
+
 def candidate_pairs(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, num: int, den: int):
     """Positions (i, j) of all pairs with different labels that may reach num / den."""
+    if len(sizes) <= LEAF:                       # a tree of one leaf
+        i, j = _PAIRS[len(sizes)]
+        ok = (labels[i] != labels[j]) & may_reach(bits[i], bits[j], sizes[i], sizes[j], num, den)
+        return i[ok], j[ok]
     tree = Tree(bits, sizes, labels)
     left, right = [], []
     for a, b in zip(*leaf_pairs(tree, num, den)):
@@ -95,12 +108,31 @@ def candidate_pairs(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, num
         i, j = i.ravel(), j.ravel()
         keep = (tree.labels[i] != tree.labels[j]) & (i < j if a == b else True)
         i, j = i[keep], j[keep]
-        x, y = tree.bits[i], tree.bits[j]
-        nx, ny = tree.sizes[i], tree.sizes[j]
-        most = np.minimum(nx - bits_of(x & ~y), ny - bits_of(y & ~x))
-        ok = most >= _need(nx + ny, num, den)
+        ok = may_reach(tree.bits[i], tree.bits[j], tree.sizes[i], tree.sizes[j], num, den)
         left.append(tree.order[i[ok]])
         right.append(tree.order[j[ok]])
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(left), np.concatenate(right)
+
+
+FINE = 8                      # bits an element gets in a fine bitmap
+
+
+def fine_bitmap(hashes: np.ndarray) -> bytes:
+    """A bitmap that grows with its set: the power of two above FINE bits an element."""
+    bits = 1 << max(6, int(FINE * len(hashes) - 1).bit_length())
+    out = np.zeros(bits, np.uint8)
+    out[(hashes >> np.uint64(17)) & np.uint64(bits - 1)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def fine_may_reach(a: bytes, b: bytes, na: int, nb: int, num: int, den: int) -> bool:
+    """The leaf test on fine bitmaps; the longer one is folded to the shorter."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    most = min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+    return most >= -(-num * (na + nb) // (num + den))
