@@ -40,7 +40,7 @@ from .components import components
 from .sigtree import WORDS, bitmap, candidate_pairs, fine_bitmap, fine_may_reach, may_reach
 from .textnum import list_array, mix, shingle_sets, signed, slices, word_hashes
 
-SKETCH_BITS = 20              # cells of the frequency sketch: 2**20, whatever the input
+SKETCH_BITS = 22              # cells of the frequency sketch: 2**22, whatever the input
 FILTER_BITS = 24              # bits of the filter for texts whose sets are needed: 2**24
 BLOCK = 1024                  # members handled by one tree
 U = np.uint64
@@ -57,24 +57,24 @@ def frequency_sketch(docs: DataFrame, k: int, bits: int = SKETCH_BITS) -> np.nda
 
     Only an ordering hint: any sketch gives the same links."""
     def run(it):
-        cells = np.zeros(1 << bits, np.int64)
+        cells = np.zeros(1 << bits, np.int32)
         for batch in it:
             for _, sets in _sets(batch, "text", k):
                 found = list(sets)
                 if found:
-                    cells += np.bincount((np.concatenate(found) & U((1 << bits) - 1)).astype(np.int64),
-                                         minlength=1 << bits)
+                    at, n = np.unique(np.concatenate(found) & U((1 << bits) - 1), return_counts=True)
+                    cells[at.astype(np.int64)] += n.astype(np.int32)
         mean = cells.mean()
-        hot = np.flatnonzero(cells > mean + 6 * np.sqrt(mean) + 8)
+        hot = np.flatnonzero(cells > mean + 3 * np.sqrt(mean) + 2)
         for a in range(0, len(hot), 50_000):
             h = hot[a:a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(cells[h], pa.int64())],
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(cells[h].astype(np.int64))],
                                              names=["cell", "n"])
 
     rows = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     got = rows.toArrow()                                   # at most 2**bits rows
-    out = np.zeros(1 << bits, np.int64)
-    out[got["cell"].to_numpy()] = got["n"].to_numpy()
+    out = np.zeros(1 << bits, np.int32)
+    out[got["cell"].to_numpy()] = np.minimum(got["n"].to_numpy(), np.iinfo(np.int32).max)
     return out
 
 
@@ -105,17 +105,22 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, sketch) -> DataFrame
     return docs.select("rid", "doc_id", "text").mapInArrow(run, schema)
 
 
-def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, ws: Workspace, name: str,
-               bits: int = FILTER_BITS) -> DataFrame:
-    """``(rid, shingles)`` for the rids in ``wanted(rid)``: the texts are read again and
-    screened by a fixed-size bit filter, so only sets that are (nearly all) needed
-    are shuffled; the join afterwards is exact."""
-    cell = F.pmod(F.xxhash64("rid"), F.lit(1 << bits))
-    words = (wanted.select(cell.alias("c")).select((F.shiftright("c", 6)).alias("w"), F.col("c").bitwiseAND(63).alias("k"))
-             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, cast(k as int)))").alias("v")).toArrow())
-    filt = np.zeros(1 << (bits - 6), np.int64)             # at most 2**bits bits
-    filt[words["w"].to_numpy()] = words["v"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(filt)
+def _wanted(pairs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A filter of 2**bits bits over the row numbers that stand in ``pairs(a, b)``."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
+    cells = ids.select(F.pmod(F.xxhash64("rid"), F.lit(1 << bits)).alias("c"))
+    got = (cells.groupBy(F.shiftright("c", 6).alias("w"))
+           .agg(F.expr("bit_or(shiftleft(1L, cast(c & 63 as int)))").alias("v")).toArrow())
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got["w"].to_numpy()] = got["v"].to_numpy()
+    return out
+
+
+def gather(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str, fine: bool) -> DataFrame:
+    """``(rid, n, shape)`` of the texts in ``pairs``, read again: the shape is the whole set
+    or its fine bitmap.  The filter may let a few other texts pass; joins drop them."""
+    cell = F.pmod(F.xxhash64("rid"), F.lit(1 << FILTER_BITS))
+    shared = docs.sparkSession.sparkContext.broadcast(_wanted(pairs))
 
     def run(it):
         for batch in it:
@@ -123,42 +128,35 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, ws: Workspace, name:
             hit = (shared.value[c >> 6] >> (c & 63)) & 1
             batch = batch.filter(pa.array(hit.astype(bool)))
             for b, sets in _sets(batch, "text", k):
-                yield pa.RecordBatch.from_arrays([b.column(0), list_array([signed(s) for s in sets])],
-                                                 names=["rid", "shingles"])
-
-    sets = docs.select("rid", cell.alias("c"), "text").mapInArrow(run, "rid long, shingles array<long>")
-    return ws.stage(sets.join(wanted.select("rid").distinct(), "rid", "left_semi"), name)
+                found = list(sets)
+                shape = (pa.array([fine_bitmap(s) for s in found], pa.binary()) if fine
+                         else list_array([signed(s) for s in found]))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in found], pa.int64()), shape],
+                                                 names=["rid", "n", "shape"])
 
+    kind = "binary" if fine else "array<long>"
+    return ws.stage(docs.select("rid", cell.alias("c"), "text").mapInArrow(run, f"rid long, n long, shape {kind}"), name)
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets reach the bound.  Bitmaps of a byte an
-    element rule out most other pairs before whole sets are brought together."""
-    def shrink(it):
-        for batch in it:
-            if not batch.num_rows:
-                continue
-            lists = batch.column(1)
-            size = pc.list_value_length(lists).to_numpy()
-            parts = np.split(lists.flatten().to_numpy().view(U), np.cumsum(size)[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size.astype(np.int64)), pa.array(
-                [fine_bitmap(x) for x in parts], pa.binary())], names=["rid", "n", "fine"])
 
+def verified(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str, num: int, den: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets reach the bound.  Bitmaps of a byte an element
+    rule out most other pairs first, so whole sets are brought together for few."""
     def screen(it):
         for batch in it:
             na, nb, fa, fb = (batch.column(i).to_pylist() for i in range(2, 6))
             ok = [fine_may_reach(x, y, p, q, num, den) for x, y, p, q in zip(fa, fb, na, nb)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    fine = sets.select("rid", "shingles").mapInArrow(shrink, "rid long, n long, fine binary")
-    side = lambda c: fine.toDF(c, f"n{c}", f"f{c}")
-    pairs = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
-             .mapInArrow(screen, "a long, b long"))
-    left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    def beside(shapes, names):
+        left, right = (shapes.toDF(c, f"n{c}", f"s{c}") for c in "ab")
+        return names.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
+
+    fine = gather(docs, k, pairs, ws, f"{name}-fine", True)
+    likely = ws.stage(beside(fine, pairs).mapInArrow(screen, "a long, b long"), f"{name}-likely")
+    sets = gather(docs, k, likely, ws, f"{name}-sets", False)
     inter = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - inter
-    return both.where(inter * F.lit(den) >= union * F.lit(num)).select("a", "b")
+    links = beside(sets, likely).where(inter * F.lit(den) >= (F.col("na") + F.col("nb") - inter) * F.lit(num))
+    return ws.stage(links.select("a", "b"), f"{name}-links")
 
 
 def block_pairs(blocks: DataFrame, num: int, den: int, first_only: bool) -> DataFrame:
@@ -267,9 +265,7 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
               .select("key", "part", F.lit(0).alias("side"), "id", F.col("id").alias("label"), "n", "bits"))
     first = block_pairs(blocks, num, den, True).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     first = ws.stage(first, "pairs-1")
-    wanted = first.select(F.col("a").alias("rid")).unionAll(first.select("b")).distinct()
-    sets = whole_sets(docs, k, wanted, ws, "sets-1")
-    links = ws.stage(verified(first, sets, num, den), "links-1")
+    links = verified(docs, k, first, ws, "first", num, den)
     roots = ws.stage(components(links, ws, "cc1"), "roots-1")
 
     # what is left: blocks that hold several components, in full
@@ -284,9 +280,7 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
                       F.when(F.col("p") == F.col("q"), 0).when(F.col("p") < F.col("q"), 1).otherwise(2).alias("side"),
                       "id", "label", "n", "bits"))
     rest = ws.stage(block_pairs(blocks, num, den, False).join(first, ["a", "b"], "left_anti"), "pairs-2")
-    wanted = rest.select(F.col("a").alias("rid")).unionAll(rest.select("b")).distinct()
-    sets2 = whole_sets(docs, k, wanted, ws, "sets-2")
-    more = ws.stage(verified(rest, sets2, num, den), "links-2")
+    more = verified(docs, k, rest, ws, "rest", num, den)
     roots = components(links.unionAll(more), ws, "cc2")
     return sigs, classes, roots
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 
-WORDS = 16                    # 64-bit words in a bitmap (1024 bits)
+WORDS = 8                     # 64-bit words in a bitmap (512 bits)
 LEAF = 32                     # sets in a leaf
 FAN = 4                       # children of an inner node
 
