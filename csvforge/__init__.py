@@ -6,7 +6,6 @@ row, casts with strict rules and writes one table per file.
 """
 from .options import IngestOptions
 from .plans.ingest import TableResult, ingest, read_tables
-from .streaming import ingest_arrivals
 
-__all__ = ["IngestOptions", "TableResult", "ingest", "read_tables", "ingest_arrivals"]
+__all__ = ["IngestOptions", "TableResult", "ingest", "read_tables"]
 __version__ = "0.1.0"

@@ -18,8 +18,7 @@ def fill_typed(df: DataFrame, columns: Sequence[str], codes: Sequence[int],
     the codes were inferred from these same values (cheaper casts, same result)."""
     names = list(names or columns)
     if not (len(columns) == len(codes) == len(names)):
-        raise ValueError(f"Encountered invalid input:\nheaders: {', '.join(names)}\n"
-                         f"types: {', '.join(ft.TYPE_NAMES[c] for c in codes)}")
+        raise ValueError(f"{len(names)} column names for {len(codes)} column types")
     cast = cast_trusted if trusted else cast_field
     return df.select(*keep, *[cast(F.col(c), code, widen_int).alias(n)
                               for c, code, n in zip(columns, codes, names)])

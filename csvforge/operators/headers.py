@@ -71,6 +71,5 @@ def gate_headers(headers: DataFrame, path_col: str = "path", line_col: str = "he
     """Raise with line and file when any header is invalid."""
     bad = headers.where(~F.col("valid")).select(path_col, line_col).limit(max_report).collect()
     if bad:
-        msgs = [f"{r[line_col]} of file {r[path_col]} contains invalid headers. "
-                "Headers are required for every file." for r in bad]
+        msgs = [f"no usable header in {r[path_col]}: {r[line_col]}" for r in bad]
         raise ValueError("\n".join(msgs))

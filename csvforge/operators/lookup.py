@@ -1,43 +1,23 @@
 """Keyed side-input lookup (file key -> header / schema) as an equi-join.
 
-The lookup side holds one row per file or table.  It is broadcast only after
-checking that it is small; otherwise Spark's shuffle join is used."""
+The lookup side holds one row per file or table.  Spark picks the join by the sizes
+it measures at run time (broadcast below its byte threshold, shuffle beyond)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Row count, but stop counting past ``limit`` (cheap size check)."""
-    return df.limit(limit + 1).count()
-
 
 def lookup_join(records: DataFrame, lookup: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                 unique_key: bool = True) -> DataFrame:
-    """Join a per-key map onto records; broadcast when the map is proven small.
-
-    The map is evaluated once: at most ``max_broadcast_rows + 1`` rows are
-    fetched; if that is all of it, the keys are checked on the driver and the
-    rows are broadcast as a literal table (so a map that is an aggregate over a
-    big table is not recomputed by the join).  Otherwise a shuffle join is used."""
+    """Join a per-key map onto records.  With ``unique_key`` a key that stands in the
+    map more than once fails the job when it runs (no extra job, nothing collected)."""
     keys = [on] if isinstance(on, str) else list(on)
-    rows = lookup.limit(max_broadcast_rows + 1).collect()
-    if len(rows) <= max_broadcast_rows:
-        if unique_key:
-            seen = set()
-            for r in rows:
-                k = tuple(r[c] for c in keys)
-                if k in seen:
-                    raise ValueError(f"lookup keys are not unique: {dict(zip(keys, k))}")
-                seen.add(k)
-        small = records.sparkSession.createDataFrame(rows, lookup.schema)
-        return records.join(F.broadcast(small), keys, how)
     if unique_key:
-        dup = lookup.groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if dup:
-            raise ValueError(f"lookup keys are not unique: {dup[0].asDict()}")
+        others = [c for c in lookup.columns if c not in keys]
+        many = F.raise_error(F.concat(F.lit("lookup keys are not unique: "),
+                                      F.to_json(F.struct(*keys)))).cast("boolean")
+        lookup = (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                            *[F.first(c).alias(c) for c in others])
+                  .where(F.when(F.col("__n") > 1, many).otherwise(True)).drop("__n"))
     return records.join(lookup, keys, how)

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Importer defaults.
 DEFAULT_CHUNK_SIZE = 2 * 1024 * 1024   # target chunk size for splitting large files
@@ -44,15 +44,14 @@ class IngestOptions:
     bad_headers: str = "error"      # "error" or "skip" (files without a valid header)
     case_sensitive_headers: bool = False  # Spark resolves names case-insensitively
     infer_engine: str = "vector"    # "vector" (Arrow, in tasks) or "sql" (Column expressions)
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if len(self.sep) != 1:
             raise ValueError("sep must be one character; use field_regex for longer ones")
         if not self.quote or len(self.quote) != 1:
-            raise ValueError("Quote is required (one character).")
+            raise ValueError("quote must be exactly one character")
         if not self.line_sep:
-            raise ValueError("Record separator cannot be null or empty.")
+            raise ValueError("line_sep must not be empty")
         if self.line_sep not in ("\n", "\r\n") and len(self.line_sep.encode(self.encoding)) != 1:
             raise ValueError("line_sep must be LF, CRLF or one single-byte character")
         if (self.field_regex is None) != (self.record_regex is None):

@@ -20,29 +20,17 @@ from ..operators.schema import infer_schema, merge_masks
 from ..sources.plan import candidate_starts, pair_point_array
 from ..sources.records import parse_csv_records
 from ..options import IngestOptions
-from ..session import default_parallelism, new_work_dir
+from ..session import new_work_dir
 from .ingest import read_tables
 from .fixtures import build_archive
 from . import oracle as O
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Spread a scan that yields fewer partitions than ``per_core`` x cores.
-
-    A Parquet row group cannot be split, so a small table stored as one row
-    group is read by one task and all per-row work after it runs there.  Large
-    inputs have many row groups and pass through unchanged (no shuffle)."""
-    want = default_parallelism(df.sparkSession) * per_core
-    try:
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:     # no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(want)
+CONVERSATIONS_PER_FILE = 20      # conversations in one file of the text and archive inputs
 
 
 def _s(c: str) -> F.Column:
@@ -625,16 +613,16 @@ def _conv_text_files(spark, d, sep: str) -> str:
     """conversations as text files, one per bucket, each starting with a header
     line; texts keep their raw newlines."""
     conv = _t(spark, d, "conversations")
-    n_buckets = max(4, int(conv.count() // 50_000) + 1)
-    body = conv.select((F.col("conv_id") % n_buckets).alias("bucket"),
+    bucket = F.floor(F.col("conv_id") / CONVERSATIONS_PER_FILE)
+    body = conv.select(bucket.alias("bucket"),
                        F.lit(1).alias("k0"), "conv_id", "turn",
                        F.concat_ws(sep, _s("conv_id"), _s("turn"), F.col("role"), F.col("text")).alias("value"))
-    heads = spark.range(n_buckets).select(F.col("id").alias("bucket"), F.lit(0).alias("k0"),
+    heads = body.select("bucket").distinct().select("bucket", F.lit(0).alias("k0"),
                                           F.lit(-1).cast("long").alias("conv_id"),
                                           F.lit(-1).cast("long").alias("turn"),
                                           F.lit(sep.join(["conv_id", "turn", "role", "text"])).alias("value"))
     out = _stage_dir(spark, "conversations-text")
-    (body.unionByName(heads).repartition(n_buckets, "bucket")
+    (body.unionByName(heads).repartition("bucket")
      .sortWithinPartitions("bucket", "k0", "conv_id", "turn")
      .select("bucket", "value").write.partitionBy("bucket").text(out))
     return out
@@ -656,9 +644,8 @@ def archive_expand(spark, d):
     """conversations -> CSV inside gzip, zip, tar.gz, lz4 and tar archives (one
     archive per bucket of at most ~50k rows) -> detect, expand, ingest."""
     conv = _t(spark, d, "conversations")
-    n_buckets = max(5, int(conv.count() // 50_000) + 1)
     dest = _stage_dir(spark, "conversations-archives")
-    grouped = conv.withColumn("bucket", (F.col("conv_id") % n_buckets).cast("int"))
+    grouped = conv.withColumn("bucket", F.floor(F.col("conv_id") / CONVERSATIONS_PER_FILE).cast("int"))
     written = grouped.groupBy("bucket").applyInPandas(build_archive(dest), "bucket int, path string")
     written.write.mode("overwrite").parquet(dest + "_manifest")   # runs the writer tasks once
     res = read_tables(spark, dest, IngestOptions(), table_name="conversations")

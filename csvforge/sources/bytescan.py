@@ -27,16 +27,17 @@ def even_boundaries(data: bytes, quote: int, rec: int, parity: int) -> np.ndarra
     return nl[((before + parity) & 1) == 0] + 1
 
 
-def chunk_stats(data: bytes, quote: int, rec: int) -> tuple[int, int, int, int]:
+def chunk_stats(data: bytes, quote: int, rec: int, after: bytes = b"") -> tuple[int, int, int, int]:
     """``(quotes, terminators, terminators inside quotes if the chunk starts
     outside quotes, lone CRs)`` of one chunk.  With the opposite start state the
-    inside/outside roles of the terminators swap, so one pass serves both."""
+    inside/outside roles of the terminators swap, so one pass serves both.
+    ``after`` is the byte behind the chunk (empty at the end of the file)."""
     arr = np.frombuffer(data, dtype=np.uint8)
     nl = np.flatnonzero(arr == rec)
     qpos = np.flatnonzero(arr == quote)
     inq = int((np.searchsorted(qpos, nl) & 1).sum()) if nl.size and qpos.size else 0
-    cr = np.flatnonzero(arr == CR)
-    lone = int((cr + 1 >= len(arr)).sum() + (arr[cr[cr + 1 < len(arr)] + 1] != LF).sum()) if cr.size else 0
+    follower = np.append(arr[1:], np.frombuffer(after[:1] or b"\x00", dtype=np.uint8))
+    lone = int(((arr == CR) & (follower != LF)).sum())
     return int(qpos.size), int(nl.size), inq, lone
 
 
@@ -53,10 +54,15 @@ def field_aware_boundaries(data: bytes, quote: int, sep: int, rec: int, trim: bo
     if not is_quote.any():
         return np.flatnonzero(arr == rec).astype(np.int64) + 1
     special = np.flatnonzero(is_quote | (arr == rec))
+    # a quote stands at a field start if nothing but blanks follows the last delimiter
+    quotes = np.flatnonzero(is_quote)
+    cuts = np.concatenate(([-1], np.flatnonzero((arr == sep) | (arr == rec))))
+    solid = np.concatenate(([-1], np.flatnonzero(~((arr == 0x20) | (arr == 0x09)) if trim
+                                                 else np.ones(len(arr), bool))))
+    opens = set(quotes[solid[np.searchsorted(solid, quotes) - 1]
+                       <= cuts[np.searchsorted(cuts, quotes) - 1]].tolist())
     ends = []
     state, qpos = 0, -2           # 0: outside quotes, 1: inside, 2: just after a quote inside
-    blanks = b" \t" if trim else b""
-    sep_b, rec_b = bytes([sep]), bytes([rec])
     for i in special.tolist():
         b = data[i]
         if state == 2:
@@ -69,8 +75,7 @@ def field_aware_boundaries(data: bytes, quote: int, sep: int, rec: int, trim: bo
                 state, qpos = 2, i
             continue
         if b == quote:
-            field_start = max(data.rfind(sep_b, 0, i), data.rfind(rec_b, 0, i)) + 1
-            if not data[field_start:i].strip(blanks):
+            if i in opens:
                 state = 1
         else:
             ends.append(i + 1)
@@ -162,58 +167,78 @@ def java_split_count(line: bytes, sep: int) -> int:
 OPEN, CLOSED, UNKNOWN = 1, 2, 0
 
 
-def quote_kinds(line: bytes, quote: int, sep: int) -> list[int]:
-    """Classify each quote of a line: next to another quote -> UNKNOWN;
-    separator before and not after -> OPEN; not before and separator after ->
-    CLOSED; else UNKNOWN.  Line ends count as separators."""
-    seps = (sep, LF, CR)
-    q = bytes([quote])
-    kinds = []
-    n = len(line)
-    i = line.find(q)
-    while i >= 0:
-        prev = line[i - 1] if i > 0 else LF
-        nxt = line[i + 1] if i < n - 1 else LF
-        if prev == quote or nxt == quote:
-            kinds.append(UNKNOWN)
-        elif prev in seps and nxt not in seps:
-            kinds.append(OPEN)
-        elif prev not in seps and nxt in seps:
-            kinds.append(CLOSED)
-        else:
-            kinds.append(UNKNOWN)
-        i = line.find(q, i + 1)
-    return kinds
+def classify_quotes(arr: np.ndarray, quote: int, sep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and kinds of all quotes of a buffer.  Only one side of a quote that
+    touches a delimiter (or a line or buffer end) tells what it does: delimiter on the
+    left OPEN, on the right CLOSED; both, neither or a neighbouring quote UNKNOWN."""
+    edge = np.concatenate(([LF], arr, [LF])).astype(np.uint8)
+    delimiter = (edge == sep) | (edge == LF) | (edge == CR)
+    at = np.flatnonzero(arr == quote)
+    left, right = delimiter[at], delimiter[at + 2]
+    doubled = (edge[at] == quote) | (edge[at + 2] == quote)
+    kinds = np.where(left & ~right, OPEN, np.where(right & ~left, CLOSED, UNKNOWN))
+    return at, np.where(doubled, UNKNOWN, kinds)
+
+
+def _line_table(arr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start of every line and of what follows it (lines end at LF, CR or CRLF)."""
+    following = np.append(arr[1:], 0)
+    stops = np.flatnonzero((arr == LF) | ((arr == CR) & (following != LF))) + 1
+    starts = np.concatenate(([0], stops[stops < len(arr)]))
+    return starts, np.append(starts[1:], len(arr))
+
+
+def split_counts(arr: np.ndarray, starts: np.ndarray, ends: np.ndarray, sep: int) -> np.ndarray:
+    """Fields of every line, trailing empty ones not counted; an empty line has one."""
+    body = (arr != LF) & (arr != CR)
+    full = np.concatenate(([-1], np.flatnonzero(body & (arr != sep))))
+    last = full[np.searchsorted(full, ends) - 1]                 # last byte that is no delimiter
+    seps = np.flatnonzero(arr == sep)
+    inner = np.searchsorted(seps, last) - np.searchsorted(seps, starts)
+    size = np.add.reduceat(body.astype(np.int64), starts) if len(starts) else starts
+    return np.where(last >= starts, inner + 1, np.where(size == 0, 1, 0))
 
 
 def heuristic_split_point(f, start: int, end: int, size: int, n_headers: int,
                           sep: int, quote: int):
-    """The importer's split-point search in ``[start, end)``: skip the partial
-    first line; a line whose first quote opens a field starts a record; a line
-    whose last quote closes one ends a record; two adjacent quote-free lines
-    whose field counts exceed ``n_headers + 1`` meet at a record boundary.
-    Returns ``None`` when no point is found."""
-    r = LineReader(f, start, size)
-    r.read_line(MAX_LINE_BYTES)
-    cur = r.pos
-    prev = None
-    while cur < end:
-        line = r.read_line(MAX_LINE_BYTES)
-        kinds = quote_kinds(line, quote, sep)
-        if not kinds:
-            if prev and java_split_count(prev, sep) + java_split_count(line, sep) > n_headers + 1:
-                return cur
-            prev = line
-        else:
-            prev = None
-            if kinds[0] == OPEN:
-                return cur
-            if kinds[-1] == CLOSED:
-                return r.pos
-        if r.pos == cur:  # EOF
+    """First place in ``[start, end)`` that looks like a record boundary, or ``None``.
+
+    All lines that begin behind the first line end are judged at once: a line is a
+    record's first if its first quote opens a field, a record's last if its last quote
+    closes one; a quote-free line begins a record if it and the quote-free line above it
+    have more than ``n_headers + 1`` fields together."""
+    data, step = f.read_at(min(end, size) - start, start), READ_BLOCK
+    while start + len(data) < size:                    # finish the line that crosses the window's end
+        more = f.read_at(min(step, size - start - len(data)), start + len(data))
+        hit = [k for k in (more.find(b"\n"), more.find(b"\r")) if k >= 0]
+        data += more[:min(hit) + 2] if hit else more
+        if hit or not more:
             break
-        cur = r.pos
-    return None
+        if len(data) > MAX_LINE_BYTES + (end - start):
+            raise ValueError(f"no line end within {MAX_LINE_BYTES} bytes at byte {start}")
+        step *= 2
+    arr = np.frombuffer(data, dtype=np.uint8)
+    if not len(arr):
+        return None
+    starts, ends = _line_table(arr)
+    at, kinds = classify_quotes(arr, quote, sep)
+    low, high = np.searchsorted(at, starts), np.searchsorted(at, ends)
+    quoted = high > low
+    pad = np.append(kinds, UNKNOWN)
+    opens = quoted & (pad[np.minimum(low, len(kinds))] == OPEN)
+    closes = quoted & (pad[np.maximum(high, 1) - 1] == CLOSED)
+    fields = split_counts(arr, starts, ends, sep)
+    empty = np.isin(arr[starts], (LF, CR))
+    plain = np.zeros(len(starts), bool)
+    plain[2:] = (~quoted[2:] & ~quoted[1:-1] & ~empty[1:-1]
+                 & (fields[2:] + fields[1:-1] > n_headers + 1))
+    fit = opens | closes | plain
+    fit[0] = False                                     # the window may begin inside this line
+    fit &= starts + start < end
+    if not fit.any():
+        return None
+    k = int(np.argmax(fit))
+    return start + int(starts[k] if opens[k] or plain[k] else ends[k])
 
 
 def utf8_lead(data: bytes) -> int:

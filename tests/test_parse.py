@@ -4,21 +4,21 @@ from csvforge.functions.text import java_split
 from csvforge.options import IngestOptions
 from csvforge.sources.records import parse_csv_records
 
-TEXT = ('1999,Chevy,"Venture ""Extended Edition"""\n'
-        '1999,Chevy,"Venture ""Extended Edition, Very Large"""\n'
-        '1997,Ford,"Super, luxurious truck"\n'
-        '1996,Jeep,"MUST SELL!\nair, moon roof, loaded"')
+TEXT = ('2011,Oslo,"Fjord ""north arm"" pier"\n'
+        '2012,Oslo,"Fjord ""north arm, outer"" pier"\n'
+        '2015,Turin,"Bridge, old"\n'
+        '2020,Porto,"CLOSED\nsteps, tower, quay"')
 
 
 def test_csv_records(spark):
-    recs = ['1999,Chevy,"Venture ""Extended Edition"""', '1997,Ford,"Super, luxurious truck"',
-            '1996,Jeep,"MUST SELL!\nair, moon roof, loaded"', '1,2', '1,2,3,4']
+    recs = ['2011,Oslo,"Fjord ""north arm"" pier"', '2015,Turin,"Bridge, old"',
+            '2020,Porto,"CLOSED\nsteps, tower, quay"', '1,2', '1,2,3,4']
     df = spark.createDataFrame([(i, r) for i, r in enumerate(recs)], "i int, record string")
     rows = parse_csv_records(df, "record", 3, IngestOptions(), names=["y", "m", "d"],
                              count_fields=True).orderBy("i").collect()
-    assert rows[0].d == 'Venture "Extended Edition"'
-    assert rows[1].d == "Super, luxurious truck"
-    assert rows[2].d == "MUST SELL!\nair, moon roof, loaded"
+    assert rows[0].d == 'Fjord "north arm" pier'
+    assert rows[1].d == "Bridge, old"
+    assert rows[2].d == "CLOSED\nsteps, tower, quay"
     assert [r.corrupt for r in rows] == [False, False, False, True, True]
     assert [r.n_fields for r in rows] == [3, 3, 3, 2, 4]
 
@@ -28,10 +28,10 @@ def test_regex_mode_keeps_quotes(spark):
     recs = df.select(F.posexplode(java_split(F.col("t"), r"\n(?=\d{4})")).alias("i", "r"))
     fields = recs.select("i", java_split(F.col("r"), r",(?=\S+)").alias("f")).orderBy("i").collect()
     flat = [x for r in fields for x in r.f]
-    assert flat == ["1999", "Chevy", '"Venture ""Extended Edition"""',
-                    "1999", "Chevy", '"Venture ""Extended Edition, Very Large"""',
-                    "1997", "Ford", '"Super, luxurious truck"',
-                    "1996", "Jeep", '"MUST SELL!\nair, moon roof, loaded"']
+    assert flat == ["2011", "Oslo", '"Fjord ""north arm"" pier"',
+                    "2012", "Oslo", '"Fjord ""north arm, outer"" pier"',
+                    "2015", "Turin", '"Bridge, old"',
+                    "2020", "Porto", '"CLOSED\nsteps, tower, quay"']
 
 
 def test_java_split_semantics(spark):

@@ -25,8 +25,8 @@ def duck():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from csvforge.plans.queries import QUERIES
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())

@@ -49,13 +49,15 @@ def test_java_split_count():
     assert bs.java_split_count(b"abc", c) == 1
 
 
+def _kinds(line):
+    return bs.classify_quotes(np.frombuffer(line, np.uint8), ord('"'), ord(","))[1].tolist()
+
+
 def test_quote_kinds():
-    q, c = ord('"'), ord(",")
     K = bs
-    assert bs.quote_kinds(b'1999,Chevy,"Venture ""Extended Edition"""', q, c) == [
-        K.OPEN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN]
-    assert bs.quote_kinds(b'1997,Ford,E350,"Super, luxurious truck"', q, c) == [K.OPEN, K.CLOSED]
-    assert bs.quote_kinds(b'loaded",x', q, c) == [K.CLOSED]
+    assert _kinds(b'7,"a ""b"""') == [K.OPEN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN, K.UNKNOWN]
+    assert _kinds(b'7,pier,"Bridge, old"') == [K.OPEN, K.CLOSED]
+    assert _kinds(b'quay",x') == [K.CLOSED]
 
 
 HEADER = b"Year,Make,Description\n"
@@ -186,7 +188,7 @@ def _simple_heuristic(data: bytes, start: int, end: int, n: int):
     prev = None
     while pos < end:
         nxt, line = line_at(pos)
-        kinds = bs.quote_kinds(line, ord('"'), ord(","))
+        kinds = _kinds(line)
         if not kinds:
             if prev and bs.java_split_count(prev, ord(",")) + bs.java_split_count(line, ord(",")) > n + 1:
                 return pos
@@ -289,3 +291,22 @@ def test_length_limits():
     _check_ranges(1, 10, 10)
     with pytest.raises(ValueError, match="no split point"):
         _check_ranges(1, MAX_RECORD_BYTES + 1, MAX_RECORD_BYTES + 1)
+
+
+@pytest.mark.parametrize("regex", [r"\r?\n", r"-+\n", r"\n(?! )", r"\n"])
+def test_regex_chunks_equal_whole_file(spark, tmp, regex):
+    """Records do not depend on the chunk size, whatever stands at chunk edges."""
+    from csvforge import read_tables
+    rnd = random.Random(regex)
+    sep = {r"\r?\n": ["\r\n", "\n"], r"-+\n": ["-\n", "-----\n"], r"\n(?! )": ["\n"], r"\n": ["\n"]}[regex]
+    body = "".join(f"k{i},{'x' * rnd.randint(0, 9)}{rnd.choice(['', chr(233)])}"
+                   + (f"{chr(10)} more{i}" if regex == r"\n(?! )" and i % 3 == 0 else "")
+                   + rnd.choice(sep) for i in range(120))
+    path = write(f"{tmp}/r.csv", "a,b\n" + body)
+    got = {}
+    for chunk in (7, 16, 50, 64, 333, 1 << 20):
+        t = read_tables(spark, path, IngestOptions(record_regex=regex, field_regex=",", chunk_size=chunk,
+                                                   bad_rows="quarantine"), table_name="t")["t"]
+        got[chunk] = sorted((r.a, r.b) for r in t.data.collect())
+    assert len(got[1 << 20]) >= 100 and not any(str(v).rstrip("-\r") != str(v) for r in got[1 << 20] for v in r)
+    assert all(rows == got[1 << 20] for rows in got.values())
