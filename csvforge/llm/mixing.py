@@ -46,7 +46,7 @@ DIGITS = 3                                            # hash digits a refining s
 def domain_of(source: Column) -> Column:
     """Domain of a source: its number modulo the domains, ``other`` without a number."""
     n = F.regexp_extract(source, r"([0-9]{1,18})$", 1)
-    k = F.pmod(n.cast("long"), F.lit(len(DOMAINS))).cast("int")
+    k = F.pmod(n.try_cast("long"), F.lit(len(DOMAINS))).cast("int")
     return F.coalesce(F.element_at(F.array(*[F.lit(d) for d in DOMAINS]), k + 1), F.lit("other"))
 
 
