@@ -23,7 +23,6 @@ string.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare, table, with_fields
-from .textnum import slices
+from .textnum import PIECE, U, mix, slices
 
 TRAIN_DOCS = 100              # documents per language in the training sample (expected)
 TRAIN_WORDS = 120_000         # words of the sample used at most
@@ -41,7 +40,8 @@ LEXICON = 200                 # frequent words per language
 HASH_BITS = 15
 STEPS = 24
 SEGMENT = 64
-KEPT_WORDS = 200_000          # words whose emissions a worker remembers
+KEPT_WORDS = 100_000          # words whose emissions a task remembers
+FEATURE_WORDS = 20_000        # words whose features are computed at a time
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -49,12 +49,39 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def features(word: str, lexicon: dict) -> list[int]:
-    w = f"^{word}$"
-    out = {w[:2], w[:3], w[:4], w[-2:], w[-3:], w[-4:]}
-    out = {("<" + f) for f in out} | {w[i:i + 2] for i in range(len(w) - 1)} | {w[i:i + 3] for i in range(len(w) - 2)}
-    out.update(f"={k}" for k in lexicon.get(word, ()))
-    return [zlib.crc32(f.encode()) & ((1 << HASH_BITS) - 1) for f in sorted(out)]
+def features(words: list[str], lexicon: dict):
+    """(feature, word) index pairs: the first and last two to four characters of each
+    word with its edge marks, all its bi- and trigrams, and the lexicons it is in."""
+    marked = [f"^{w}$" for w in words]
+    n = np.fromiter(map(len, marked), np.int64, len(marked))
+    end = np.cumsum(n)
+    code = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(U)
+    word = np.repeat(np.arange(len(n)), n)
+    left = np.repeat(end, n) - np.arange(len(code))        # characters from here to the word's end
+    hashes, owners = [], []
+    with np.errstate(over="ignore"):
+        gram = code
+        for k in (2, 3, 4):
+            gram = mix(gram[:-1] + mix(code[k - 1:] + U(k)))
+            inside = left[:len(gram)] >= k
+            if k < 4:
+                at = np.flatnonzero(inside)
+                hashes.append(gram[at])
+                owners.append(word[at])
+            has = np.flatnonzero(n >= k)
+            hashes += [gram[end[has] - n[has]] + U(1), gram[end[has] - k] + U(2)]
+            owners += [has, has]
+    known = [(i, y) for i, w in enumerate(words) for y in lexicon.get(w, ())]
+    if known:
+        i, y = np.array(known).T
+        hashes.append(mix(y.astype(U)))
+        owners.append(i)
+    cells = mix(np.concatenate(hashes)) & U((1 << HASH_BITS) - 1)
+    return cells.astype(np.int64), np.concatenate(owners)
+
+
+def _summed(weights: np.ndarray, cells: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(owner, weights[cells, j], n) for j in range(weights.shape[1])], axis=1)
 
 
 class Chain:
@@ -135,10 +162,8 @@ class Model:
         self.trans = np.zeros((len(langs), len(langs)))
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        found = [features(w, self.lexicon) for w in words]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((f for x in found for f in x), np.int64, int(n.sum()))
-        return np.add.reduceat(self.weights[flat], np.cumsum(n) - n, axis=0)
+        parts = [words[a:a + FEATURE_WORDS] for a in range(0, len(words), FEATURE_WORDS)]
+        return np.concatenate([_summed(self.weights, *features(p, self.lexicon), len(p)) for p in parts])
 
     def fit(self, texts: list[str], labels: list[str], steps: int = STEPS, most: int = TRAIN_WORDS) -> "Model":
         rng = np.random.default_rng(7)
@@ -162,10 +187,7 @@ class Model:
         seq = np.array([sum(len(r) for r, _ in runs[i:i + 6]) for i in range(0, len(runs), 6)])
         vocab = {w: i for i, w in enumerate(dict.fromkeys(words))}
         ids = np.fromiter((vocab[w] for w in words), np.int64, len(words))
-        found = [features(w, self.lexicon) for w in vocab]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((f for x in found for f in x), np.int64, int(n.sum()))
-        owner = np.repeat(np.arange(len(found)), n)
+        flat, owner = features(list(vocab), self.lexicon)
         chain, k = Chain(seq), len(self.langs)
         inside = np.ones(len(gold), bool)
         inside[np.cumsum(seq) - seq] = False
@@ -173,7 +195,7 @@ class Model:
         np.add.at(seen, (gold[:-1][inside[1:]], gold[1:][inside[1:]]), 1)
         gw, gt = np.full_like(self.weights, 1e-8), np.full_like(self.trans, 1e-8)
         for _ in range(steps):
-            emit = np.add.reduceat(self.weights[flat], np.cumsum(n) - n, axis=0)
+            emit = _summed(self.weights, flat, owner, len(vocab))
             post, moves = chain.run(emit[ids], self.trans, pairs=True)
             miss = -post
             miss[np.arange(len(gold)), gold] += 1
@@ -187,19 +209,20 @@ class Model:
             self.trans += 0.3 * d / np.sqrt(gt)
         return self
 
-    def label(self, texts: list[str]):
-        """Per text: words, and posterior label probabilities (words x languages)."""
+    def label(self, texts: list[str], memory: dict | None = None):
+        """Per text: words, and posterior label probabilities (words x languages).
+
+        ``memory`` holds the emissions of words met before in the same task."""
         words = [words_of(t) for t in texts]
-        known = self.__dict__.setdefault("_known", {})
-        rows = self.__dict__.setdefault("_rows", np.zeros((0, len(self.langs)), np.float32))
+        memory = {} if memory is None else memory
+        known, rows = memory.get("known", {}), memory.get("rows", np.zeros((0, len(self.langs)), np.float32))
         if len(known) > KEPT_WORDS:
-            known.clear()
-            rows = rows[:0]
+            known, rows = {}, rows[:0]
         new = list({w for t in words for w in t}.difference(known))
         if new:
             known.update(zip(new, range(len(rows), len(rows) + len(new))))
             rows = np.concatenate([rows, self.emissions(new).astype(np.float32)])
-        self._rows = rows
+        memory.update(known=known, rows=rows)
         ids = [np.fromiter(map(known.__getitem__, t), np.int64, len(t)) for t in words]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         if not n.sum():
@@ -244,12 +267,12 @@ def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFram
     at = keep.index(text)
 
     def run(it):
-        crf = shared.value
+        crf, memory = shared.value, {}
         for whole in it:
             for b in slices(pa.RecordBatch.from_arrays([whole.column(at), pa.array(range(whole.num_rows))],
-                                                       names=["t", "i"]), "t"):
+                                                       names=["t", "i"]), "t", 2 * PIECE):
                 lang, score = [], []
-                _, post = crf.label([t or "" for t in b.column(0).to_pylist()])
+                _, post = crf.label([t or "" for t in b.column(0).to_pylist()], memory)
                 for p in post:
                     mean = p.mean(axis=0) if len(p) else None
                     best = int(np.argmax(np.round(mean, 9))) if len(p) else -1

@@ -16,6 +16,7 @@ packed as often as they occur.  Other columns are not read.
 """
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -36,7 +37,7 @@ SEARCH_STEPS = 200_000       # improving steps tried in a group at most
 
 
 def _bytes(ids) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,

@@ -27,7 +27,8 @@ from .textnum import slices, text_buffers
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048                  # tokens; longer texts are over the limit
 BATCH_BYTES = 1 << 20         # bytes of text in one call of the library
-KEPT_WORDS = 250_000          # words in each of the two generations of the table
+WORD_BYTES = 1 << 18          # characters of words in one call of the library
+KEPT_WORDS = 100_000          # words in each of the two generations of the table
 LONG_WORD = 64                # longer words are encoded anew each time
 
 _LOADED: dict = {}
@@ -104,7 +105,7 @@ class WordTable(dict):
                 self[w] = self.old[w]
                 missing.discard(w)
         encode = load(self.vocabulary)
-        for run in batches(list(missing)):
+        for run in batches(list(missing), WORD_BYTES):
             self.update(zip(run, map(self.value, encode(run))))
 
     def trim(self, words: set) -> None:
