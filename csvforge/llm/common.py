@@ -16,9 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH_BYTES = 8 << 20                           # text handed to a Python worker at a time
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make this package importable in Python workers."""
+    """Make this package importable in Python workers, and bound their batches by bytes
+    (Spark's own bound is 10,000 rows or 64 MiB, held in the JVM and in the worker)."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 class Workspace:
