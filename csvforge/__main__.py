@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                      table_name=a.table_name, fmt=a.format)
     for name, res in results.items():
         print(f"{name}: {res.target} ({', '.join(f'{c} {t}' for c, t in zip(res.columns, res.types))})"
-              + (f"; {res.n_bad} bad records" if res.n_bad else ""))
+              + (f"; {res.n_bad} bad records in {res.bad_target}" if res.n_bad else ""))
     for path, line in getattr(results, "skipped_files", []):
         print(f"skipped {path}: invalid header {line!r}")
     return results

@@ -134,6 +134,18 @@ def test_quarantine_with_native_reader_counts(spark, tmp):
     assert sorted(r.a for r in res.data.select("a").collect()) == [1, 7]
 
 
+def test_results_stay_readable_after_ingest(spark, tmp):
+    write(f"{tmp}/qr/r.csv", 'a,b\n1,2\n3\n"4\n",5,6\n7,8\n')
+    res = ingest(spark, f"{tmp}/qr", IngestOptions(bad_rows="quarantine"), output=f"{tmp}/qrout")["r"]
+    assert sorted(tuple(r) for r in res.data.collect()) == [(1, 2), (7, 8)]
+    assert sorted(r.record for r in res.bad_rows.collect()) == ['"4\n",5,6', "3"]
+    assert spark.read.parquet(f"{tmp}/qrout/r__bad_rows").count() == 2
+    with pytest.raises(RuntimeError, match="cleanup"):
+        res.lossy()
+    kept = ingest(spark, f"{tmp}/qr", IngestOptions(bad_rows="quarantine"), output=f"{tmp}/qrout2", cleanup=False)["r"]
+    assert kept.lossy().count() == 0 or kept.lossy().first().n_lossy == 0
+
+
 def test_ingest_cleans_its_work_folder(spark, tmp):
     import glob
     from csvforge.session import shared_dir
