@@ -144,6 +144,15 @@ def test_repeated_passages_are_cut(staged, rows):
     assert paragraphs.cut_words("a b\n c d", [(1, 2), (2, 1)]) == "a d"
 
 
+def test_passages_in_templates_are_not_repeats(spark):
+    rnd = random.Random(11)
+    shared = [prose(rnd, 25) for _ in range(12)]
+    texts = [" ".join(f"{line} {prose(rnd, 10)}" for line in shared) for _ in range(2)]
+    df = Workspace(spark, "tests").stage(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "templates")
+    assert paragraphs.repeated_passages(df).count() == 0
+    assert sorted(r.text for r in paragraphs.remove_repeats(df).collect()) == sorted(texts)
+
+
 def test_token_counts_equal_the_library(docs, rows):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers as P
