@@ -153,6 +153,23 @@ def test_passages_in_templates_are_not_repeats(spark):
     assert sorted(r.text for r in paragraphs.remove_repeats(df).collect()) == sorted(texts)
 
 
+def test_short_passages_and_near_copies_at_every_offset(spark):
+    rnd = random.Random(12)
+    texts, want = [], []
+    for i in range(60):
+        exact, near = prose(rnd, 51), prose(rnd, 60).split()
+        edited = near[:i] + [word(rnd) + "x"] + near[i + 1:]
+        texts += [f"{prose(rnd, 30)} {exact} {prose(rnd, 20)}", f"{prose(rnd, i)} {exact} {prose(rnd, 25)}".strip(),
+                  f"{prose(rnd, 30)} {' '.join(near)} {prose(rnd, 20)}", f"{prose(rnd, 9)} {' '.join(edited)} {prose(rnd, 25)}"]
+        want += [4 * i + 1, 4 * i + 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in paragraphs.repeated_passages(Workspace(spark, "tests").stage(df, "short")).collect()}
+    assert sorted(got) == want and all(r.kept_doc_id == d - 1 for d, r in got.items())
+    assert all(got[4 * i + 1].first_word <= i <= i + 51 <= got[4 * i + 1].first_word + got[4 * i + 1].n_words for i in range(60))
+    for i in range(10, 50):
+        assert (got[4 * i + 3].first_word, got[4 * i + 3].n_words) == (9, 60)
+
+
 def test_token_counts_equal_the_library(docs, rows):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers as P
