@@ -170,6 +170,19 @@ def test_short_passages_and_near_copies_at_every_offset(spark):
         assert (got[4 * i + 3].first_word, got[4 * i + 3].n_words) == (9, 60)
 
 
+def test_passages_behind_a_frequent_phrase_are_found(spark):
+    rnd = random.Random(13)
+    phrase, texts, want = prose(rnd, 45), [], []
+    for i in range(12):
+        tail = prose(rnd, 5)
+        for _ in range(2 if i > 2 else 1):             # the first three have no copy
+            want += [len(texts)] if texts and tail in texts[-1] else []
+            texts.append(f"{prose(rnd, 20)} {phrase} {tail} {prose(rnd, 20)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = paragraphs.repeated_passages(Workspace(spark, "tests").stage(df, "phrase")).collect()
+    assert sorted(r.doc_id for r in got) == want and all((r.kept_doc_id, r.first_word, r.n_words) == (r.doc_id - 1, 20, 50) for r in got)
+
+
 def test_token_counts_equal_the_library(docs, rows):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers as P
