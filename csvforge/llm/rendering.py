@@ -5,7 +5,10 @@ raw text), and laid out: blocks on lines of their own, paragraphs apart, lists w
 markers and indentation, table cells aligned in columns, preformatted text as it
 is.  Everything a reader would see is emitted; heads, scripts, comments, hidden
 elements (``hidden``, ``display:none``, ``visibility:hidden`` unless made visible
-again, closed ``details``, hidden inputs) are not.
+again, closed ``details``, hidden inputs) are not.  Formulas (MathML without annotations) and
+the text elements of drawings (SVG without titles, descriptions and definitions) are
+laid out in line.  ``object``, ``canvas``, ``audio`` and ``video`` are taken as shown,
+so the text inside them, meant for readers who cannot see them, is left out.
 
 One narrow Arrow pass over the pages.  Null or empty html gives an empty text.
 Repeated rows and null ids are kept one for one.  Elements nested deeper than
@@ -26,12 +29,17 @@ from .textnum import slices
 DEPTH = 200
 
 TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/](?![a-zA-Z])[^>]*+(?:>|\Z)|<![^>]*+(?:>|\Z)
-    |</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|<([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]{0,65536}"|'[^']{0,65536}'|["'])*+)(?:>|\Z)""", re.S | re.X)
+    |</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|<([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S | re.X)
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S)
+_ENDED = re.compile(r"""(?<!=)(?:^|[\s"'])(?:[^\s"'=]*)/\Z""")
+FOREIGN = frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist object "
-                   "canvas audio video svg math link meta base param source track area col colgroup".split())
+                   "canvas audio video annotation annotation-xml link meta base param source track area col colgroup".split())
+# of a drawing, what holds text and what only holds that; its other text is not painted
+DRAWN = frozenset("text tspan textpath foreignobject".split())
+DRAWN_IN = frozenset("svg g a switch".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr menu fieldset".split())
 BLOCK = APART | frozenset("address article aside body center dd details dialog dir div dt fieldset figcaption footer form "
                           "header hgroup html legend li main nav option optgroup section summary tr td th thead tbody "
@@ -113,7 +121,9 @@ def tree(html: str) -> Node:
                     pass
             node = Node(tag, attrs)
             stack[min(len(stack), DEPTH) - 1].kids.append(node)
-            if tag in RAW:
+            if m.group(3)[-1:] == "/" and _ENDED.search(m.group(3)) and (tag in FOREIGN or any(x.tag in FOREIGN for x in stack)):
+                pass                                   # only there does "/>" end an element
+            elif tag in RAW:
                 e = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I).search(html, at)
                 body = html[at:e.start()] if e else html[at:]
                 node.kids.append(unescape(body) if tag in ("title", "textarea") else body)
@@ -208,6 +218,22 @@ def _shown(node: Node, visible: bool):
     return True, visible
 
 
+def _drawing(node: Node, out: Lines, pre: bool, visible: bool):
+    """The text elements of a drawing, in line."""
+    for kid in node.kids:
+        if isinstance(kid, str):
+            continue
+        ok, vis = _shown(kid, visible)
+        if not ok or kid.attrs.get("display") == "none":
+            continue
+        if kid.tag in DRAWN:
+            out.text(" ", pre)
+            _fill(kid, out, pre, vis)
+            out.text(" ", pre)
+        elif kid.tag in DRAWN_IN:
+            _drawing(kid, out, pre, vis)
+
+
 def _fill(node: Node, out: Lines, pre: bool, visible: bool):
     for kid in node.kids:
         if isinstance(kid, str):
@@ -237,6 +263,8 @@ def _fill(node: Node, out: Lines, pre: bool, visible: bool):
                 out.add(_lines(first, pre, vis), False)
         elif tag == "select":
             _select(kid, out, vis)
+        elif tag == "svg":
+            _drawing(kid, out, pre, vis)
         elif tag == "q":
             out.text("“", pre)
             _fill(kid, out, pre, vis)

@@ -288,6 +288,17 @@ def test_rendering():
     assert r("a < b <a href=\"x\" title='>'>link</a> </nope> &lt;")[1] == "a < b link <"
 
 
+def test_rendering_of_formulas_drawings_and_long_attributes():
+    r = rendering.render
+    assert r("a <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation>"
+             "<annotation-xml><mi>no</mi></annotation-xml></semantics></math> b")[1] == "a x=2 b"
+    assert r("<p>a</p><svg><title>no</title><desc>no</desc><defs><text>no</text></defs><style>no{}</style><g><text>one "
+             "<tspan>two</tspan></text><path d='M0'/><text x=1>three</text></g></svg><p>b</p>") == ("", "a\n\none two three\n\nb")
+    assert r("<title>T</title><svg><title>no</title></svg>x") == ("T", "x")
+    for q, size in (('"', 100_000), ("'", 1_000_000)):
+        assert r(f"a<iframe srcdoc={q}{'<p>no</p>' * (size // 9 + 1)}{q}></iframe>b <i title={q}x>y{q}>c</i>")[1] == "ab c"
+
+
 def test_quality_and_licenses_edge_rows(docs, rows, empty):
     led = quality.ledger(docs).cache()
     out = quality.verdict(led)
