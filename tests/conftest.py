@@ -19,10 +19,3 @@ def spark():
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-def write(path, data: bytes | str):
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "wb") as f:
-        f.write(data.encode("utf-8") if isinstance(data, str) else data)
-    return path

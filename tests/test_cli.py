@@ -1,6 +1,6 @@
 from csvforge.__main__ import main
 
-from conftest import write
+from helpers import write
 
 
 def test_cli_imports_files(spark, tmp, capsys):

@@ -6,7 +6,7 @@ import pytest
 from csvforge.options import IngestOptions
 from csvforge.plans.ingest import ingest, read_tables
 
-from conftest import write
+from helpers import write
 
 FILL = "count,name,valid,value\n1,a,true,0.5\n0,e,true,2.71\n20,ab,false,0.1\n100,pi,false,3.14\n"
 

@@ -10,7 +10,7 @@ import pytest
 from csvforge.options import IngestOptions
 from csvforge.sources import bytescan as bs
 
-from conftest import write
+from helpers import write
 
 
 class _F:
