@@ -18,7 +18,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--table_name", help="put all files into this one table")
     p.add_argument("--csv_delimiter", default=",")
     p.add_argument("--csv_quote", default='"')
-    p.add_argument("--csv_record_separator", default="\n")
+    p.add_argument("--csv_record_separator", help="default: LF, CR and CRLF all end a record")
     p.add_argument("--csv_delimiter_regex")
     p.add_argument("--csv_record_separator_regex")
     p.add_argument("--split_mode", choices=["exact", "heuristic"], default="exact")
@@ -35,7 +35,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from csvforge.plans.ingest import ingest
     a = parser().parse_args(argv)
     options = IngestOptions(sep=a.csv_delimiter, quote=a.csv_quote,
-                            line_sep=a.csv_record_separator.encode().decode("unicode_escape"),
+                            line_sep=a.csv_record_separator
+                            and a.csv_record_separator.encode().decode("unicode_escape"),
                             field_regex=a.csv_delimiter_regex,
                             record_regex=a.csv_record_separator_regex,
                             split_mode=a.split_mode, bad_rows=a.bad_rows,

@@ -6,9 +6,6 @@ from dataclasses import dataclass
 
 # Importer defaults.
 DEFAULT_CHUNK_SIZE = 2 * 1024 * 1024   # target chunk size for splitting large files
-MIN_AUTO_CHUNK = 4 * 1024 * 1024        # auto chunk size bounds (like Spark's file splits)
-MAX_AUTO_CHUNK = 128 * 1024 * 1024
-MAX_AUTO_CHUNK_REGEX = 16 * 1024 * 1024  # regex mode holds a whole range as one string
 MAX_COLUMNS = 8192                      # maximum number of columns per record
 
 
@@ -30,14 +27,14 @@ def _check_regex(rx: str) -> None:
 class IngestOptions:
     sep: str = ","                  # one-character field delimiter
     quote: str = '"'                # one-character quote; doubled to escape
-    line_sep: str = "\n"            # record separator: "\n", "\r\n" or one character
+    line_sep: str | None = None     # record separator: None (LF, CR and CRLF), "\n", "\r\n" or one character
     field_regex: str | None = None  # regex mode: field separator (Java regex)
     record_regex: str | None = None # regex mode: record separator (Java regex)
     trim: bool = True               # ignore surrounding spaces of unquoted fields
     comment: str | None = None      # lines starting with it are skipped (off by default)
     encoding: str = "utf-8"
-    chunk_size: int | None = None   # bytes per read task; None: sized from the input, as Spark does
-    split_mode: str = "exact"       # "exact" (quote parity) or "heuristic" (importer rule)
+    chunk_size: int = DEFAULT_CHUNK_SIZE   # bytes of a chunk (a task may read several)
+    split_mode: str = "exact"       # "exact" (field automaton) or "heuristic" (importer rule)
     max_columns: int = MAX_COLUMNS
     widen_int: bool = False         # INT columns as 64-bit, like the warehouse
     bad_rows: str = "error"         # "error" or "quarantine" for records of wrong width
@@ -50,10 +47,13 @@ class IngestOptions:
             raise ValueError("sep must be one character; use field_regex for longer ones")
         if not self.quote or len(self.quote) != 1:
             raise ValueError("quote must be exactly one character")
-        if not self.line_sep:
-            raise ValueError("line_sep must not be empty")
-        if self.line_sep not in ("\n", "\r\n") and len(self.line_sep.encode(self.encoding)) != 1:
-            raise ValueError("line_sep must be LF, CRLF or one single-byte character")
+        if not self.regex_mode and max(ord(self.sep), ord(self.quote)) > 0x7F:
+            raise ValueError("sep and quote must be ASCII characters; use field_regex for others")
+        if self.line_sep is not None:
+            if not self.line_sep:
+                raise ValueError("line_sep must not be empty")
+            if self.line_sep not in ("\n", "\r\n") and len(self.line_sep.encode(self.encoding)) != 1:
+                raise ValueError("line_sep must be LF, CRLF or one single-byte character")
         if (self.field_regex is None) != (self.record_regex is None):
             raise ValueError("field_regex and record_regex must be given together")
         for rx in (self.field_regex, self.record_regex):
@@ -67,25 +67,21 @@ class IngestOptions:
             raise ValueError("bad_headers must be 'error' or 'skip'")
         if self.bad_rows not in ("error", "quarantine"):
             raise ValueError("bad_rows must be 'error' or 'quarantine'")
-        if self.chunk_size is not None and self.chunk_size < 1:
+        if self.chunk_size is None:
+            object.__setattr__(self, "chunk_size", DEFAULT_CHUNK_SIZE)
+        if self.chunk_size < 1:
             raise ValueError("chunk_size must be positive")
 
-    def resolve_chunk_size(self, total_bytes: int, parallelism: int) -> int:
-        """Explicit chunk size, or ``min(128 MiB, max(4 MiB, total / parallelism))``."""
-        if self.chunk_size:
-            return int(self.chunk_size)
-        per_core = total_bytes // max(1, parallelism)
-        cap = MAX_AUTO_CHUNK_REGEX if self.regex_mode else MAX_AUTO_CHUNK
-        return int(min(cap, max(MIN_AUTO_CHUNK, per_core)))
-
     @property
     def regex_mode(self) -> bool:
         return self.record_regex is not None
 
     @property
-    def record_byte(self) -> int:
-        """The byte that ends a record (LF for both LF and CRLF)."""
-        return ord(self.line_sep[-1:].encode(self.encoding))
+    def dialect(self):
+        """What byte scans need: the record byte is LF for both LF and CRLF, None for any line end."""
+        from .sources.bytescan import Dialect
+        rec = None if self.line_sep is None else ord(self.line_sep[-1:].encode(self.encoding))
+        return Dialect(ord(self.quote), ord(self.sep), rec, self.trim)
 
     def csv_parser_options(self) -> dict[str, str]:
         """Options of Spark's CSV parser for one record."""

@@ -23,6 +23,7 @@ from ..options import IngestOptions
 from ..session import new_work_dir
 from .ingest import read_tables
 from .fixtures import build_archive
+from . import file_queries
 from . import oracle as O
 
 
@@ -661,7 +662,9 @@ QUERIES_FILES = {
     "csv_roundtrip_customer": csv_roundtrip_customer,
     "regex_parse_file": regex_parse_file,
     "archive_expand": archive_expand,
+    **file_queries.QUERIES,
 }
+SQL.update(file_queries.SQL)
 
 
 QUERIES = {

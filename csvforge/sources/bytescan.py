@@ -4,98 +4,196 @@ They run inside ``mapInPandas`` tasks that Spark schedules one per chunk.
 """
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 LF, CR = 0x0A, 0x0D
 READ_BLOCK = 1 << 20
+TAIL_BLOCK = 1 << 14       # first read when the end of one record is searched
 MAX_LINE_BYTES = 1 << 30   # a longer line cannot become one Spark string anyway
 
 
-def count_byte(data: bytes, b: int) -> int:
-    return data.count(bytes([b]))
-
-
-def even_boundaries(data: bytes, quote: int, rec: int, parity: int) -> np.ndarray:
-    """Offsets (relative to ``data``) just after every record terminator that lies
-    outside quotes, given the quote parity before ``data``."""
-    arr = np.frombuffer(data, dtype=np.uint8)
-    nl = np.flatnonzero(arr == rec)
-    if nl.size == 0:
-        return nl
-    qpos = np.flatnonzero(arr == quote)
-    before = np.searchsorted(qpos, nl)          # quotes before each terminator
-    return nl[((before + parity) & 1) == 0] + 1
-
-
-def chunk_stats(data: bytes, quote: int, rec: int, after: bytes = b"") -> tuple[int, int, int, int]:
-    """``(quotes, terminators, terminators inside quotes if the chunk starts
-    outside quotes, lone CRs)`` of one chunk.  With the opposite start state the
-    inside/outside roles of the terminators swap, so one pass serves both.
-    ``after`` is the byte behind the chunk (empty at the end of the file)."""
-    arr = np.frombuffer(data, dtype=np.uint8)
-    nl = np.flatnonzero(arr == rec)
-    qpos = np.flatnonzero(arr == quote)
-    inq = int((np.searchsorted(qpos, nl) & 1).sum()) if nl.size and qpos.size else 0
-    follower = np.append(arr[1:], np.frombuffer(after[:1] or b"\x00", dtype=np.uint8))
-    lone = int(((arr == CR) & (follower != LF)).sum())
-    return int(qpos.size), int(nl.size), inq, lone
-
-
-def field_aware_boundaries(data: bytes, quote: int, sep: int, rec: int, trim: bool = True) -> np.ndarray:
-    """Record ends (offsets after each terminator) the way a CSV parser reads a
-    buffer that starts on a record boundary: a quote opens a quoted field only
-    at the start of a field (after blanks when ``trim``), a quote inside an
-    unquoted field is a plain character, and a doubled quote inside quotes is
-    an escape.  Without quotes every terminator ends a record (numpy); otherwise
-    only quote and terminator bytes are visited, and a quote's field start is
-    found by looking back to the previous delimiter or terminator."""
-    arr = np.frombuffer(data, dtype=np.uint8)
-    is_quote = arr == quote
-    if not is_quote.any():
-        return np.flatnonzero(arr == rec).astype(np.int64) + 1
-    special = np.flatnonzero(is_quote | (arr == rec))
-    # a quote stands at a field start if nothing but blanks follows the last delimiter
-    quotes = np.flatnonzero(is_quote)
-    cuts = np.concatenate(([-1], np.flatnonzero((arr == sep) | (arr == rec))))
-    solid = np.concatenate(([-1], np.flatnonzero(~((arr == 0x20) | (arr == 0x09)) if trim
-                                                 else np.ones(len(arr), bool))))
-    opens = set(quotes[solid[np.searchsorted(solid, quotes) - 1]
-                       <= cuts[np.searchsorted(cuts, quotes) - 1]].tolist())
-    ends = []
-    state, qpos = 0, -2           # 0: outside quotes, 1: inside, 2: just after a quote inside
-    for i in special.tolist():
-        b = data[i]
-        if state == 2:
-            if b == quote and i == qpos + 1:      # "" inside quotes
-                state = 1
-                continue
-            state = 0                             # quoted field closed
-        if state == 1:
-            if b == quote:
-                state, qpos = 2, i
-            continue
-        if b == quote:
-            if i in opens:
-                state = 1
-        else:
-            ends.append(i + 1)
-    return np.asarray(ends, dtype=np.int64)
-
-
-def first_even_boundary(f, pos: int, size: int, quote: int, rec: int, parity: int,
-                        limit: int | None = None) -> int:
-    """Absolute offset after the first terminator at or after ``pos`` that lies
-    outside quotes (``parity`` = quote parity before ``pos``); ``size`` at EOF.
-    With ``limit``, give up (ValueError) after scanning that many bytes."""
-    stop = size if limit is None else min(size, pos + limit)
+FIELD, PLAIN, QUOTED, SEEN, SPACED = range(5)      # states of a CSV reader between two bytes
+STATES = range(5)
+
+
+class Dialect(NamedTuple):
+    """What a byte scan needs to know: ``rec`` is the byte that ends a record, or None for
+    LF, CR and CRLF alike."""
+    quote: int
+    sep: int
+    rec: int | None = None
+    trim: bool = True
+
+
+def terminators(data: bytes, arr: np.ndarray, after: bytes, rec: int | None) -> np.ndarray:
+    """Positions of the bytes that end a line; of CR LF that is the LF.  ``after`` is what
+    stands behind the buffer (empty at the end of the file)."""
+    if rec is not None:
+        return np.flatnonzero(arr == rec)
+    lf = np.flatnonzero(arr == LF)
+    if b"\r" not in data:
+        return lf
+    cr = np.flatnonzero(arr == CR)
+    following = np.append(arr, np.frombuffer(after[:1] or b"\x00", np.uint8))[cr + 1]
+    return np.sort(np.concatenate([lf, cr[following != LF]]))
+
+
+class Scan:
+    """One buffer read by the field automaton of a CSV parser, for any state at its start.
+
+    FIELD: at a field's start (blanks before a quote are skipped when ``trim``); a quote
+    here opens a quoted field.  PLAIN: in an unquoted field, where quotes are ordinary
+    characters.  QUOTED: inside quotes.  SEEN: behind a quote inside quotes; one more quote
+    is an escaped quote, a delimiter or line end closes the field, anything else turns the
+    rest of the field into unquoted text.  SPACED: blanks behind a closing quote.
+
+    Bytes are not walked one by one.  Between two runs of adjacent quotes only one bit is
+    carried (inside quotes or not), and every run acts on it as one of three functions:
+    a run of odd length toggles it where a quoted field may open, and clears it elsewhere
+    (only a closing quote can stand there); a run of even length keeps it.  So the bit
+    after a run is the parity of the toggles since the last clearing run."""
+
+    def __init__(self, data: bytes, after: bytes, d: Dialect):
+        self.d, self.arr = d, np.frombuffer(data, dtype=np.uint8)
+        self.after = after[0] if after else 0
+        self.terms = terminators(data, self.arr, after, d.rec)
+        self.last_cut = max(data.rfind(bytes([d.sep])), int(self.terms[-1]) if self.terms.size else -1)
+        quotes = np.flatnonzero(self.arr == d.quote) if bytes([d.quote]) in data else np.zeros(0, np.int64)
+        self.n = 0
+        if quotes.size:
+            self._runs(quotes)
+
+    def _runs(self, quotes: np.ndarray) -> None:
+        first = np.flatnonzero(np.append(True, np.diff(quotes) != 1))
+        size = np.diff(np.append(first, quotes.size))
+        self.n, self.begin = len(first), quotes[first]
+        self.stop, self.odd = self.begin + size, (size & 1) == 1
+        cut = self.arr == self.d.sep
+        cut[self.terms] = True
+        cuts = np.append(-1, np.flatnonzero(cut))
+        before = cuts[np.searchsorted(cuts, self.begin) - 1]       # delimiter or line end before each run
+        since = np.append(0, self.stop[:-1])
+        self.fresh = before >= since                               # ... that follows the run before
+        low = np.where(self.fresh, before + 1, since)
+        self.near = self._blank(low, self.begin)                   # nothing but blanks in between
+        opens = self.fresh & self.near
+        toggle, clear = self.odd & opens, self.odd & ~opens
+        toggle[0] = clear[0] = False                               # the first run depends on the start state
+        total = np.cumsum(toggle)
+        last = np.maximum.accumulate(np.where(clear, np.arange(self.n), 0))
+        self.free = last == 0                                      # no clearing run since the first one
+        self.bit = ((total - total[last]) & 1).astype(bool)
+        self.opens = opens
+        self.run_of = np.searchsorted(self.begin, self.terms) - 1
+
+    def _blank(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether the bytes [low, high) are blanks that may precede a quote."""
+        out = low == high
+        if self.d.trim:
+            unsure = np.flatnonzero(~out & (self.arr[high - 1] <= 0x20))
+            if unsure.size:
+                solid = np.append(-1, np.flatnonzero(self.arr > 0x20))
+                out[unsure] = solid[np.searchsorted(solid, high[unsure]) - 1] < low[unsure]
+        return out
+
+    def _first(self, start: int) -> tuple[bool, bool, bool]:
+        """Of the first run: the bit before it, whether it may open a field, the bit behind it."""
+        opens = bool(self.near[0]) and (bool(self.fresh[0]) or start == FIELD)
+        bit, odd = start == QUOTED, bool(self.odd[0])
+        if start == SEEN and self.begin[0] == 0:                   # the run began before this buffer
+            bit, odd = True, not odd
+        return bit, opens, (not odd) if bit else (odd and opens)
+
+    def bits(self, start: int) -> np.ndarray:
+        """Behind every run: inside quotes or not."""
+        return self.bit ^ (self.free & self._first(start)[2])
+
+    def inside(self, start: int) -> np.ndarray:
+        """For every line end: whether it lies inside quotes."""
+        if not self.n:
+            return np.full(len(self.terms), start == QUOTED)
+        bits = np.append(self.bits(start), start == QUOTED)         # index -1: before the first run
+        return bits[self.run_of]
+
+    def spaced(self, start: int) -> int:
+        """Closing quotes with a blank behind them."""
+        at = np.zeros(1 if start == SEEN else 0, np.int64)          # a quote closed before this buffer, if none follows
+        if self.n:
+            bits, (before, opens, _) = self.bits(start), self._first(start)
+            behind = np.append(before, bits[:-1])
+            opened = np.append(opens, self.opens[1:])
+            closing = ~bits & (behind | (opened & ~self.odd))
+            at = np.append(at, self.stop[closing])
+        at = at[at < len(self.arr)]
+        byte = self.arr[at]
+        blank = (byte <= 0x20) & (byte != self.d.sep) & (byte != LF if self.d.rec is None else byte != self.d.rec)
+        pair = at[blank & (byte == CR)]                            # CRs before an LF, and those that end a line
+        following = np.append(self.arr, self.after)[pair + 1]
+        return int(blank.sum()) - int(((following == LF) | (self.d.rec is None)).sum())
+
+    def ends(self, start: int) -> np.ndarray:
+        """Offsets just after every line end that ends a record."""
+        return self.terms[~self.inside(start)].astype(np.int64) + 1
+
+    def state(self, start: int) -> int:
+        """State behind the buffer."""
+        state, low = start, 0
+        if self.n:
+            bits = self.bits(start)
+            if bits[-1]:
+                return QUOTED
+            before, opens, _ = self._first(start)
+            if self.n > 1:
+                before, opens = bool(bits[-2]), bool(self.opens[-1])
+            state, low = SEEN if before or opens else PLAIN, int(self.stop[-1])
+        if state == QUOTED:
+            return QUOTED
+        if self.last_cut >= low:
+            state, low = FIELD, self.last_cut + 1
+        if low == len(self.arr):
+            return state
+        if state == PLAIN or bool((self.arr[low:] > 0x20).any()):
+            return PLAIN
+        if state == FIELD:
+            return FIELD if self.d.trim else PLAIN
+        return SPACED
+
+
+def transitions(f, start: int, end: int, d: Dialect) -> tuple[list[int], list[int], int]:
+    """The bytes [start, end) as a function of the state before them: the state behind them
+    and, for every start state, how often a reader of single lines may go wrong (a line end
+    inside quotes, or a blank behind a closing quote, which the CSV parser reads
+    differently at the end of its input); and the CRs that end no line."""
+    states, unsafe, lone, pos = list(STATES), [0] * len(STATES), 0, start
+    while pos < end:
+        k = min(READ_BLOCK * 8, end - pos)
+        data = f.read_at(k + 1, pos)                # one byte more: CR and LF may be apart
+        scan = Scan(data[:k], data[k:], d)
+        seen = {s: (scan.state(s), int(scan.inside(s).sum()) + scan.spaced(s)) for s in set(states)}
+        unsafe = [n + seen[s][1] for n, s in zip(unsafe, states)]
+        states = [seen[s][0] for s in states]
+        if d.rec is not None and b"\r" in data:
+            following = np.append(scan.arr[1:], np.frombuffer(data[k:] or b"\x00", np.uint8))
+            lone += int(((scan.arr == CR) & (following != LF)).sum())
+        pos += k
+    return states, unsafe, lone
+
+
+def first_end(f, pos: int, size: int, d: Dialect, state: int, limit: int | None = None) -> int:
+    """Absolute offset after the first record end at or after ``pos`` (``state`` = state
+    before ``pos``); ``size`` at the end of the file.  Reads start small and grow.  With
+    ``limit``, give up (ValueError) after that many bytes."""
+    stop, step = size if limit is None else min(size, pos + limit), TAIL_BLOCK
     while pos < stop:
-        n = min(READ_BLOCK, size - pos)
-        block = f.read_at(n, pos)
-        b = even_boundaries(block, quote, rec, parity)
-        if b.size:
-            return pos + int(b[0])
-        parity = (parity + count_byte(block, quote)) & 1
-        pos += n
+        n = min(step, size - pos)
+        data = f.read_at(n + 1, pos)
+        scan = Scan(data[:n], data[n:], d)
+        ends = scan.ends(state)
+        if ends.size:
+            return pos + int(ends[0])
+        state, pos, step = scan.state(state), pos + n, min(step * 4, READ_BLOCK * 8)
     if stop < size:
         raise ValueError(f"no record end outside quotes within {limit} bytes")
     return size

@@ -7,6 +7,7 @@ PERMISSIVE mode with a corrupt-record column that flags short and long rows.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,16 @@ def csv_fields(record: Column, n: int, options: IngestOptions) -> Column:
     return F.from_csv(record, schema, options.csv_parser_options())
 
 
+def closed_fields(record: Column, n: int, options: IngestOptions) -> Column:
+    """``csv_fields`` of a record closed by one more delimiter, NULL for most records.
+
+    At the end of its input the parser adds a quote to a last field that has blanks and text
+    behind a closing quote (``"a" b"``); before a delimiter or a line end it does not."""
+    q = re.escape(options.quote)
+    odd = record.rlike(q + r"[\x00-\x20]+[^\x00-\x20]")
+    return csv_fields(F.when(odd, F.concat(record, F.lit(options.sep))), n + 1, options)
+
+
 def count_csv_fields(record: Column, options: IngestOptions) -> Column:
     """Number of fields of a CSV record (delimiters outside quotes + 1)."""
     return F.size(split_header(record, options.sep, options.quote))
@@ -39,8 +50,11 @@ def parse_csv_records(df: DataFrame, record_col: str, n: int, options: IngestOpt
     (+ ``n_fields`` when asked; counted exactly only for corrupt rows)."""
     names = list(names or field_names(n))
     keep = [c for c in (keep or [c for c in df.columns if c != record_col])]
-    parsed = df.select(*keep, F.col(record_col), csv_fields(F.col(record_col), n, options).alias("_p"))
-    cols = [F.col(f"_p.{c}").alias(nm) for c, nm in zip(field_names(n), names)]
+    record = F.col(record_col)
+    parsed = df.select(*keep, record, csv_fields(record, n, options).alias("_p"),
+                       closed_fields(record, n, options).alias("_q"))
+    closed = F.col("_q").isNotNull() & F.col("_q._corrupt_record").isNull()
+    cols = [F.when(closed, F.col(f"_q.{c}")).otherwise(F.col(f"_p.{c}")).alias(nm) for c, nm in zip(field_names(n), names)]
     corrupt = F.col("_p._corrupt_record").isNotNull()
     out = [*keep, *cols, corrupt.alias("corrupt")]
     if count_fields:

@@ -94,10 +94,122 @@ def test_heuristic_no_point():
     assert _heuristic(data, len(HEADER) + 1, len(data)) is None
 
 
-def test_even_boundaries():
-    data = b'a,"b\nc"\nd\n'
-    assert list(bs.even_boundaries(data, ord('"'), ord("\n"), 0)) == [8, 10]
-    assert list(bs.even_boundaries(data, ord('"'), ord("\n"), 1)) == [5]
+def _scan(data, quote='"', sep=",", rec=None, trim=True, after=b""):
+    return bs.Scan(data, after, bs.Dialect(ord(quote), ord(sep), rec, trim))
+
+
+def _walk(data, after, d, state):
+    """The automaton byte by byte: (record ends, what a line reader may miss, state behind)."""
+    ends, inside = [], 0
+    for i, b in enumerate(data):
+        follow = (data[i + 1:i + 2] or after[:1])
+        line_end = b == d.rec if d.rec is not None else b == 10 or (b == 13 and follow != b"\n")
+        if state == bs.QUOTED:
+            inside += line_end
+            state = bs.SEEN if b == d.quote else state
+        elif state == bs.SEEN and b == d.quote:
+            state = bs.QUOTED
+        elif line_end:
+            ends.append(i + 1)
+            state = bs.FIELD
+        elif b == d.sep:
+            state = bs.FIELD
+        elif state == bs.FIELD and b == d.quote:
+            state = bs.QUOTED
+        elif b <= 0x20 and (state in (bs.SEEN, bs.SPACED) or (state == bs.FIELD and d.trim)):
+            inside += state == bs.SEEN and not (b == 13 and follow == b"\n")
+            state = bs.SPACED if state != bs.FIELD else state
+        else:
+            state = bs.PLAIN
+    return ends, inside, state
+
+
+@pytest.mark.parametrize("rec", [None, 10, ord(";")])
+@pytest.mark.parametrize("trim", [True, False])
+def test_scan_equals_the_automaton_walked_byte_by_byte(rec, trim):
+    rnd = random.Random(f"{rec}{trim}")
+    d = bs.Dialect(ord('"'), ord(","), rec, trim)
+    for n in list(range(6)) * 150 + [rnd.randrange(7, 60) for _ in range(900)]:
+        data = bytes(rnd.choice(b'"""",,;a \t\r\n\n') for _ in range(n))
+        after = bytes(rnd.choice(b'"a\n\r') for _ in range(rnd.randrange(2)))
+        scan = bs.Scan(data, after, d)
+        for state in bs.STATES:
+            ends, inside, behind = _walk(data, after, d, state)
+            assert (scan.ends(state).tolist(), int(scan.inside(state).sum()) + scan.spaced(state), scan.state(state)) == (ends, inside, behind), (
+                data, after, state)
+
+
+def test_chunk_functions_compose(monkeypatch):
+    monkeypatch.setattr(bs, "READ_BLOCK", 1)
+    rnd = random.Random(2)
+    for _ in range(60):
+        data = bytes(rnd.choice(b'"",a \r\n') for _ in range(80))
+        d = bs.Dialect(ord('"'), ord(","), None, True)
+        cuts = [0, *sorted(rnd.sample(range(1, 80), 5)), 80]
+        state = bs.FIELD
+        for a, b in zip(cuts, cuts[1:]):
+            behind, inside, _ = bs.transitions(_F(data), a, b, d)
+            _, want, after = _walk(data[a:b], data[b:], d, state)
+            assert (inside[state], behind[state]) == (want, after)
+            state = after
+
+
+def test_scan_examples():
+    assert _scan(b'a,"b\nc"\nd\n').ends(bs.FIELD).tolist() == [8, 10]
+    assert _scan(b'a,"b\nc"\nd\n').ends(bs.QUOTED).tolist() == [5, 8, 10]
+    assert _scan(b'5" x,1\n"a"b,"c\n').ends(bs.FIELD).tolist() == [7]
+    assert _scan(b"a\rb\r\nc\n\r", after=b"\n").ends(bs.FIELD).tolist() == [2, 5, 7]
+
+
+def _whole_rows(rows, n):
+    """Per file, the rows of full width as text, and how many are not."""
+    out = {}
+    for r in rows:
+        good, bad = out.setdefault(r.file, ([], [0]))
+        if r.corrupt:
+            bad[0] += 1
+        else:
+            good.append(str(tuple(r[f"c{i}"] for i in range(n))))
+    return {k: (sorted(g), b) for k, (g, b) in out.items()}
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 17, 4096])
+def test_stray_quotes_read_as_the_parser_reads_the_whole_file(spark, tmp, chunk):
+    """Random quotes anywhere: records of chunked files equal the parser's own on whole files."""
+    from csvforge.sources.files import list_files
+    from csvforge.sources.records import parse_csv_records
+    from csvforge.sources.splitter import read_records
+    rnd = random.Random(7)
+    parts = ["a", "b", " ", '"', '""', "x\"y", '5" x', '"\n"', '"a" a"', '"q,\nr"', "\n"]
+    for i in range(25):
+        body = "\n".join(",".join("".join(rnd.choice(parts) for _ in range(rnd.randrange(4))) for _ in range(3)) for _ in range(12))
+        write(f"{tmp}/in/f{i}.csv", body + '\nz,"end",y\n')
+    opts = IngestOptions(chunk_size=chunk, line_sep="\n")
+    recs = read_records(list_files(spark, f"{tmp}/in"), opts)
+    names = [f"c{i}" for i in range(3)]
+    parsed = parse_csv_records(recs, "record", 3, opts, names=names).selectExpr("*", "substring_index(path, '/', -1) AS file")
+    own = dict(opts.csv_parser_options(), header="false", multiLine="true", lineSep="\n")
+    whole = (spark.read.schema(", ".join(f"{c} string" for c in names) + ", _corrupt_record string").options(**own)
+             .csv(f"{tmp}/in").selectExpr("*", "_metadata.file_name AS file", "_corrupt_record IS NOT NULL AS corrupt"))
+    blank = "concat_ws('', c0, c1, c2) <> '' OR NOT corrupt"           # the reader of lines skips lines of blanks
+    assert _whole_rows(parsed.where(blank).collect(), 3) == _whole_rows(whole.where(blank).collect(), 3)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r", "\r\n", "mixed"])
+@pytest.mark.parametrize("quoted", [False, True])
+def test_line_ends(spark, tmp, end, quoted):
+    """LF, CR, CRLF and mixed files give the same table, for every chunk size."""
+    from csvforge import read_tables
+    rnd = random.Random(4)
+    rows = [(i, f"n{i}", f'a\r\nb\rc{i}' if quoted and i % 3 == 0 else f"t{i}") for i in range(90)]
+    ends = [rnd.choice(["\n", "\r", "\r\n"]) if end == "mixed" else end for _ in rows] + ["\r" if end == "mixed" else end]
+    text = "k,name,note" + ends[-1] + "".join(
+        f"{k},{n}," + (f'"{t}"' if "\r" in t else t) + e for (k, n, t), e in zip(rows, ends))
+    path = write(f"{tmp}/t.csv", text)
+    for chunk in (3, 64, 1 << 20):
+        t = read_tables(spark, path, IngestOptions(chunk_size=chunk))["t"]
+        assert t.columns == ["k", "name", "note"] and t.n_bad == 0
+        assert sorted((r.k, r.name, r.note) for r in t.data.collect()) == rows
 
 
 def _random_table(seed, n_rows=60, n_cols=4):
@@ -226,13 +338,7 @@ def test_exact_points_are_true_boundaries(spark, tmp):
     opts = IngestOptions(chunk_size=97, trim=False)
     files = read_headers(list_files(spark, path), opts)
     pts = sorted(r.point for r in split_points(files, opts, mode="exact").collect())
-    true_starts = {0}
-    parity = 0
-    for i, ch in enumerate(data):
-        if ch == ord('"'):
-            parity ^= 1
-        elif ch == ord("\n") and parity == 0:
-            true_starts.add(i + 1)
+    true_starts = {0, *_walk(data, b"", bs.Dialect(34, 44, None, False), bs.FIELD)[0]}
     assert pts and all(p in true_starts or p == len(data) for p in pts)
     # every chunk start that is followed by a boundary inside its chunk yields one
     for c in range(97, len(data), 97):
@@ -256,22 +362,20 @@ def test_range_bytes(spark, tmp):
     assert read_range_bytes(empty).count() == 0
 
 
-def test_field_aware_boundaries():
-    q, c, lf = ord('"'), ord(","), ord("\n")
+def test_record_ends_with_blanks_and_stray_quotes():
     data = b'1,screen 5",x\n2,"a\nb",y\n3," q ""z"" ",w\n4,z'
-    ends = list(bs.field_aware_boundaries(data, q, c, lf))
-    assert ends == [data.index(b"2,"), data.index(b"3,"), data.index(b"4,")]
-    assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf)) == [12]          # blanks before a quote
-    assert list(bs.field_aware_boundaries(b'a,  "x\ny",z\n', q, c, lf, trim=False)) == [7, 12]
+    assert _scan(data).ends(bs.FIELD).tolist() == [data.index(b"2,"), data.index(b"3,"), data.index(b"4,")]
+    assert _scan(b'a,  "x\ny",z\n').ends(bs.FIELD).tolist() == [12]          # blanks before a quote
+    assert _scan(b'a,  "x\ny",z\n', trim=False).ends(bs.FIELD).tolist() == [7, 12]
 
 
 @pytest.mark.parametrize("seed", range(5))
-def test_field_aware_boundaries_match_csv_module(seed):
+def test_record_ends_match_csv_module(seed):
     rnd = random.Random(seed)
     text = "".join(rnd.choice(['a', 'b', ',', '"', '""', ' ', '\n', 'x"y']) for _ in range(400))
     text = text.rstrip("\n") + "\n"
     data = text.encode()
-    ends = list(bs.field_aware_boundaries(data, ord('"'), ord(","), ord("\n"), trim=False))
+    ends = _scan(data, rec=10, trim=False).ends(bs.FIELD).tolist()
     starts = [0] + ends[:-1]
     pieces = [data[s:e].decode() for s, e in zip(starts, ends)]
     whole = list(csv.reader(io.StringIO(text, newline="")))
@@ -282,8 +386,8 @@ def test_field_aware_boundaries_match_csv_module(seed):
 def test_length_limits():
     data = b'"open quote never closed\n' + b"x" * 100
     with pytest.raises(ValueError, match="no record end outside quotes"):
-        bs.first_even_boundary(_F(data), 0, len(data), ord('"'), ord("\n"), 0, limit=50)
-    assert bs.first_even_boundary(_F(b"a,b\nc"), 0, 5, ord('"'), ord("\n"), 0, limit=50) == 4
+        bs.first_end(_F(data), 0, len(data), bs.Dialect(34, 44), bs.FIELD, limit=50)
+    assert bs.first_end(_F(b"a,b\nc"), 0, 5, bs.Dialect(34, 44), bs.FIELD, limit=50) == 4
     r = bs.LineReader(_F(b"y" * 100), 0, 100)
     with pytest.raises(ValueError, match="longer than 10 bytes"):
         r.read_line(10)
