@@ -2,6 +2,7 @@ import csv
 import io
 import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -397,20 +398,85 @@ def test_length_limits():
         _check_ranges(1, MAX_RECORD_BYTES + 1, MAX_RECORD_BYTES + 1)
 
 
-@pytest.mark.parametrize("regex", [r"\r?\n", r"-+\n", r"\n(?! )", r"\n"])
-def test_regex_chunks_equal_whole_file(spark, tmp, regex):
-    """Records do not depend on the chunk size, whatever stands at chunk edges."""
+REGEX_SEPARATORS = {r"\r?\n": ["\r\n", "\n"], r"-+\n": ["-\n", "-----\n"], r"\n(?! )": ["\n"], r";": [";", ";;;"],
+                    r"(?<=x\n)": ["x\n"]}
+
+
+def _java_split(text, regex):
+    """String.split on a whole text: trailing empty strings are dropped."""
+    parts = re.split(regex, text)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _regex_file(rnd, regex):
+    seps = REGEX_SEPARATORS[regex]
+    body = "".join(f"k{i},{'y' * rnd.randint(0, 9)}{rnd.choice(['', chr(233), chr(0x65e5)])}"
+                   + (f"{chr(10)} more{i}" if regex == r"\n(?! )" and i % 3 == 0 else "") + rnd.choice(seps) for i in range(60))
+    return body + rnd.choice(["", seps[0] * 40, "last,one", "last,one\n"])
+
+
+@pytest.mark.parametrize("regex", [r"\r?\n", r"-+\n", r"\n(?! )", r";"])
+def test_regex_records_do_not_depend_on_chunks(spark, tmp, regex):
+    """Rows and bad records equal a split of the whole text, for every chunk size and whatever
+    stands at chunk edges; empty records at the end of a file are none."""
     from csvforge import read_tables
     rnd = random.Random(regex)
-    sep = {r"\r?\n": ["\r\n", "\n"], r"-+\n": ["-\n", "-----\n"], r"\n(?! )": ["\n"], r"\n": ["\n"]}[regex]
-    body = "".join(f"k{i},{'x' * rnd.randint(0, 9)}{rnd.choice(['', chr(233)])}"
-                   + (f"{chr(10)} more{i}" if regex == r"\n(?! )" and i % 3 == 0 else "")
-                   + rnd.choice(sep) for i in range(120))
-    path = write(f"{tmp}/r.csv", "a,b\n" + body)
-    got = {}
-    for chunk in (7, 16, 50, 64, 333, 1 << 20):
-        t = read_tables(spark, path, IngestOptions(record_regex=regex, field_regex=",", chunk_size=chunk,
-                                                   bad_rows="quarantine"), table_name="t")["t"]
-        got[chunk] = sorted((r.a, r.b) for r in t.data.collect())
-    assert len(got[1 << 20]) >= 100 and not any(str(v).rstrip("-\r") != str(v) for r in got[1 << 20] for v in r)
-    assert all(rows == got[1 << 20] for rows in got.values())
+    want = {}
+    for i in range(5):
+        body = _regex_file(rnd, regex)
+        write(f"{tmp}/in/f{i}.csv", "a,b\n" + body)
+        recs = _java_split(body if body.endswith(tuple(REGEX_SEPARATORS[regex])) else re.sub("\n$", "", body), regex)
+        want[f"f{i}"] = (sorted((r.split(",")[0], r.split(",")[1] or None) for r in recs if r.count(",") == 1 and not r.endswith(",")),
+                         sum(not (r.count(",") == 1 and not r.endswith(",")) for r in recs))
+    for chunk in (7, 50, 333, 1 << 20):
+        got = read_tables(spark, f"{tmp}/in", IngestOptions(record_regex=regex, field_regex=",", chunk_size=chunk, bad_rows="quarantine"))
+        assert {k: (sorted((r.a, r.b) for r in t.data.collect()), t.n_bad) for k, t in got.items()} == want, chunk
+
+
+def test_regex_search_grows_only_where_it_must(spark, tmp, monkeypatch):
+    """Separators longer than a piece, none for a long stretch, and one cut by a piece's edge."""
+    from csvforge.sources import regexsplit
+    from csvforge.sources.files import list_files
+    from csvforge.sources.splitter import read_headers, split_points
+    data = HEADER + b"a" * 30_000 + b"-" * 20_000 + b"\n" + b"b" * 3000 + b"--\n" + b"c" * 50_000 + b"-\n" + b"d" * 9000
+    path = write(os.path.join(tmp, "r.csv"), data)
+    opts = IngestOptions(record_regex=r"-+\n", field_regex=",", chunk_size=16_384)
+    files = read_headers(list_files(spark, path), opts, exact=False)
+    rounds = []
+    real = regexsplit._pieces
+    monkeypatch.setattr(regexsplit, "_pieces", lambda o, left, reach: rounds.append(reach) or real(o, left, reach))
+    pts = sorted((r.point, r.sep_len) for r in split_points(files, opts).collect())
+    ends = [(m.end(), m.end() - m.start()) for m in re.finditer(rb"-+\n", data)
+            if any(w <= m.start() < w + 16_384 for w in range(16_384, len(data) - len(data) % 16_384 + 1, 16_384))]
+    assert [p for p in pts if p[1]] == ends and len(rounds) > 1
+    monkeypatch.setattr(regexsplit, "MAX_REACH", 1 << 14)
+    with pytest.raises(ValueError, match="reaches beyond"):
+        split_points(files, opts)
+
+
+def test_regex_search_reads_little(spark, tmp, monkeypatch):
+    """Points cost a few KiB a window, not the windows."""
+    from csvforge.sources import regexsplit
+    from csvforge.sources.files import list_files
+    from csvforge.sources.splitter import read_headers, split_points
+    path = write(os.path.join(tmp, "r.csv"), HEADER + b"".join(b"%04d,x,%s\n" % (1900 + i % 90, b"t" * 50) for i in range(40_000)))
+    opts = IngestOptions(record_regex=r"\n(?=\d{4},)", field_regex=",", chunk_size=1 << 18)
+    files = read_headers(list_files(spark, path), opts, exact=False)
+    rounds = []
+    real = regexsplit._pieces
+    monkeypatch.setattr(regexsplit, "_pieces", lambda o, left, reach: rounds.append(left + reach) or real(o, left, reach))
+    n = split_points(files, opts).count() - 2
+    assert n == os.path.getsize(path) >> 18 and sum(rounds) < 0.05 * (1 << 18)
+
+
+def test_regex_offsets_of_invalid_bytes_and_other_encodings(spark, tmp):
+    from csvforge import read_tables
+    for name, raw, enc in (("u", b"a,b\n" + b"k\xff\xfe,\xc3\xa9\xe6\x97\n" * 40, "utf-8"),
+                           ("l", "a,b\n".encode("latin-1") + "k\xe9\xe9,\xfc\n".encode("latin-1") * 40, "latin-1")):
+        path = write(f"{tmp}/{name}.csv", raw)
+        for chunk in (9, 1 << 20):
+            t = read_tables(spark, path, IngestOptions(record_regex="\n", field_regex=",", chunk_size=chunk, encoding=enc))[name]
+            rows = t.data.collect()
+            assert t.n_bad == 0 and len(rows) == 40 and len(set(rows)) == 1
