@@ -69,8 +69,14 @@ def to_datetime(v: Column) -> Column:
     return F.when(is_datetime_text(v), F.when(zone.isNull(), local).otherwise(shifted))
 
 
-def cast_field(v: Column, code: int, widen_int: bool = False) -> Column:
-    """Text -> typed value for a column of field type ``code``."""
+def midnight(v: Column) -> Column:
+    """A DATE value as the first moment of its day (offset dropped), else NULL."""
+    return to_date(v).cast("timestamp_ntz")
+
+
+def cast_field(v: Column, code: int, widen_int: bool = False, promote: bool = False) -> Column:
+    """Text -> typed value for a column of field type ``code``; with ``promote`` a DATE value
+    in a DATETIME column becomes its midnight."""
     v = col_of(v)
     out = {
         ft.INT: to_long(v) if widen_int else to_int(v),
@@ -79,14 +85,14 @@ def cast_field(v: Column, code: int, widen_int: bool = False) -> Column:
         ft.BOOLEAN: to_boolean(v),
         ft.DATE: to_date(v),
         ft.TIME: to_time(v),
-        ft.DATETIME: to_datetime(v),
+        ft.DATETIME: F.coalesce(to_datetime(v), midnight(v)) if promote else to_datetime(v),
     }.get(code)
     if out is None:  # STRING and UNKNOWN keep the text; empty is absent
         return F.when(~is_empty(v), v)
     return F.when(~is_empty(v), out).cast(ft.spark_type(code, widen_int))
 
 
-def cast_trusted(v: Column, code: int, widen_int: bool = False) -> Column:
+def cast_trusted(v: Column, code: int, widen_int: bool = False, promote: bool = False) -> Column:
     """Cast for a column whose merged type came from inference over these same
     values: every non-empty value already has the column's shape (or, in a
     DATETIME column, is a DATE/TIME value that casts to NULL), so the regex
@@ -111,6 +117,8 @@ def cast_trusted(v: Column, code: int, widen_int: bool = False) -> Column:
                          F.regexp_extract(v, r"[Tt]([0-9:.]+)", 1)).try_cast("timestamp_ntz")
         has_t = F.substring(v, 11, 1).isin("T", "t")
         out = F.when(has_t, F.when(F.locate("[", v) > 0, to_datetime(v)).otherwise(local))
+        if promote:
+            out = F.when(has_t, out).otherwise(midnight(v))
     else:
         return F.when(nonempty, v)
     return F.when(nonempty, out).cast(ft.spark_type(code, widen_int))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as ft
@@ -13,26 +13,29 @@ from ..functions.infer import infer_code, is_empty
 
 def fill_typed(df: DataFrame, columns: Sequence[str], codes: Sequence[int],
                names: Sequence[str] | None = None, keep: Sequence[str] = (),
-               widen_int: bool = False, trusted: bool = False) -> DataFrame:
+               widen_int: bool = False, trusted: bool = False, promote: bool = False) -> DataFrame:
     """Typed projection of text columns; empty text becomes NULL.  ``trusted``:
-    the codes were inferred from these same values (cheaper casts, same result)."""
+    the codes were inferred from these same values (cheaper casts, same result).
+    ``promote``: a DATE value in a DATETIME column is its midnight, not NULL."""
     names = list(names or columns)
     if not (len(columns) == len(codes) == len(names)):
         raise ValueError(f"{len(names)} column names for {len(codes)} column types")
     cast = cast_trusted if trusted else cast_field
-    return df.select(*keep, *[cast(F.col(c), code, widen_int).alias(n)
+    return df.select(*keep, *[cast(F.col(c), code, widen_int, promote).alias(n)
                               for c, code, n in zip(columns, codes, names)])
 
 
-def lossy_counts(df: DataFrame, columns: Sequence[str], codes: Sequence[int]) -> DataFrame:
+def lossy_sum(value: Column, code: int, promote: bool = False, where: Column | None = None) -> Column:
+    """Aggregate: non-empty values that the cast turns into NULL (of the rows ``where`` holds)."""
+    lost = (~is_empty(value)) & cast_field(value, code, promote=promote).isNull()
+    return F.sum((lost if where is None else lost & where).cast("long"))
+
+
+def lossy_counts(df: DataFrame, columns: Sequence[str], codes: Sequence[int], promote: bool = False) -> DataFrame:
     """Audit of values a typed cast turns into NULL, per column:
     ``(column, field_type, n_lossy)``; e.g. DATE values in a DATETIME column."""
-    aggs = []
-    for c, code in zip(columns, codes):
-        lost = (~is_empty(F.col(c))) & cast_field(F.col(c), code).isNull()
-        aggs.append(F.sum(lost.cast("long")).alias(c))
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', '{ft.TYPE_NAMES[code]}', `{c}`" for c, code in zip(columns, codes))
+    wide = df.agg(*[lossy_sum(F.col(c), code, promote).alias(c) for c, code in zip(columns, codes)])
+    stack = ", ".join(f"'{c}', '{ft.TYPE_NAMES[code]}', coalesce(`{c}`, 0L)" for c, code in zip(columns, codes))
     return wide.selectExpr(f"stack({len(columns)}, {stack}) as (column, field_type, n_lossy)")
 
 

@@ -37,6 +37,7 @@ class IngestOptions:
     split_mode: str = "exact"       # "exact" (field automaton) or "heuristic" (importer rule)
     max_columns: int = MAX_COLUMNS
     widen_int: bool = False         # INT columns as 64-bit, like the warehouse
+    promote: bool = False           # DATE values in a DATETIME column become midnights (else NULL)
     bad_rows: str = "error"         # "error" or "quarantine" for records of wrong width
     bad_headers: str = "error"      # "error" or "skip" (files without a valid header)
     case_sensitive_headers: bool = False  # Spark resolves names case-insensitively

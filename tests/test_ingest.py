@@ -140,8 +140,9 @@ def test_results_stay_readable_after_ingest(spark, tmp):
     assert sorted(tuple(r) for r in res.data.collect()) == [(1, 2), (7, 8)]
     assert sorted(r.record for r in res.bad_rows.collect()) == ['"4\n",5,6', "3"]
     assert spark.read.parquet(f"{tmp}/qrout/r__bad_rows").count() == 2
+    assert [tuple(r) for r in res.lossy().collect()] == [("a", "INT", 0), ("b", "INT", 0)]
     with pytest.raises(RuntimeError, match="cleanup"):
-        res.lossy()
+        res.text
     kept = ingest(spark, f"{tmp}/qr", IngestOptions(bad_rows="quarantine"), output=f"{tmp}/qrout2", cleanup=False)["r"]
     assert kept.lossy().count() == 0 or kept.lossy().first().n_lossy == 0
 
@@ -289,3 +290,83 @@ def test_lossy_audit_of_a_table(spark, tmp):
     assert res.types == ["DATETIME", "STRING"]
     audit = {r.column: (r.field_type, r.n_lossy) for r in res.lossy().collect()}
     assert audit == {"when": ("DATETIME", 1), "what": ("STRING", 0)}
+
+
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_many_tables_are_written_by_few_jobs(spark, tmp):
+    """Tables of one schema go through one job, whatever their number; a second ingest replaces
+    them; tables without rows and quarantined records have theirs."""
+    def files(n, folder, salt):
+        for i in range(n):
+            body = f"{i},x{salt}{i},2020-01-0{1 + i % 9}\n" if i % 10 else ""
+            bad = "1,2\n" if i % 15 == 1 else ""
+            multi = f'{i},"a\nb{salt}",2020-02-01\n' if i % 4 == 1 else ""
+            write(f"{folder}/t{i:03d}.csv", f"k,name,day\n{body}{bad}{multi}")
+    jobs = {}
+    for n in (40, 80):
+        files(n, f"{tmp}/in{n}", "p")
+        before = _jobs(spark)
+        res = ingest(spark, f"{tmp}/in{n}", IngestOptions(bad_rows="quarantine"), output=f"{tmp}/out{n}")
+        jobs[n] = _jobs(spark) - before
+        assert len(res) == n
+    assert jobs[80] <= jobs[40] + 3 < 60            # a job is one query stage here
+    files(80, f"{tmp}/again", "q")
+    ingest(spark, f"{tmp}/again", IngestOptions(bad_rows="quarantine"), output=f"{tmp}/out80")
+    back = spark.read.option("recursiveFileLookup", "true").parquet(*[f"{tmp}/out80/t{i:03d}" for i in range(80) if i % 10])
+    got = sorted((r.k, r.name, str(r.day)) for r in back.collect())
+    assert got == sorted([(i, f"xq{i}", f"2020-01-0{1 + i % 9}") for i in range(80) if i % 10]
+                         + [(i, "a\nbq", "2020-02-01") for i in range(80) if i % 4 == 1])
+    assert sorted(os.listdir(f"{tmp}/out80")) == sorted([f"t{i:03d}" for i in range(80)] + [f"t{i:03d}__bad_rows" for i in range(80) if i % 15 == 1])
+    assert spark.read.parquet(f"{tmp}/out80/t010").columns == ["k", "name", "day"]
+    assert spark.read.parquet(f"{tmp}/out80/t010").count() == 0
+    assert [r.record for r in spark.read.parquet(f"{tmp}/out80/t016__bad_rows").collect()] == ["1,2"]
+
+
+def test_many_catalog_tables(spark, tmp):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS routed LOCATION '{tmp}/db'")
+    try:
+        for salt in "ab":
+            for i in range(6):
+                write(f"{tmp}/in/c{i}.csv", f"k,table\n{i},{salt}{i}\n" + (f"{i + 1},{salt}\n" if salt == "a" else ""))
+            res = ingest(spark, f"{tmp}/in", database="routed")
+            for i in range(6):
+                rows = sorted(tuple(r) for r in spark.table(f"routed.c{i}").collect())
+                assert rows == [(i, f"{salt}{i}")] + ([(i + 1, salt)] if salt == "a" else [])
+                assert sorted(tuple(r) for r in res[f"c{i}"].data.collect()) == rows
+        assert {t.name for t in spark.catalog.listTables("routed")} == {f"c{i}" for i in range(6)}
+        assert not [f for f in os.listdir(f"{tmp}/db") if f.startswith(".")]
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS routed CASCADE")
+
+
+def test_a_failed_write_changes_no_table(spark, tmp, monkeypatch):
+    from pyspark.sql import functions as F
+    from csvforge.sinks import tables
+    out = f"{tmp}/out"
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "t string, v int")
+    schema = rows.drop("t").schema
+    tables.write_routed(rows, "t", {"a": "a", "b": "b"}, schema, output=out)
+    broken = rows.withColumn("v", F.when(F.col("t") == "b", F.raise_error(F.lit("no"))).otherwise(F.col("v") + 1).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_routed(broken, "t", {"a": "a", "b": "b"}, schema, output=out)
+    assert [r.v for t in "ab" for r in spark.read.parquet(f"{out}/{t}").collect()] == [1, 2]
+    assert sorted(os.listdir(out)) == ["a", "b"]
+
+
+def test_lost_values_are_counted_by_the_write_and_promoted_on_request(spark, tmp):
+    for i in range(3):
+        write(f"{tmp}/in/d{i}.csv", "when,num\n2018-11-18,1\n2018-11-18T10:00:00,2\n11:30,3\n" + "2019-01-01,4\n" * i)
+    kept = read_tables(spark, f"{tmp}/in")
+    res = ingest(spark, f"{tmp}/in", output=f"{tmp}/o")
+    for i in range(3):
+        want = sorted(tuple(r) for r in kept[f"d{i}"].lossy().collect())
+        assert want == [("num", "INT", 0), ("when", "DATETIME", 2 + i)]
+        assert sorted(tuple(r) for r in res[f"d{i}"].lossy().collect()) == want
+    up = ingest(spark, f"{tmp}/in", IngestOptions(promote=True), output=f"{tmp}/p")["d1"]
+    assert sorted((r.num, r.when) for r in up.data.collect()) == [
+        (1, dt.datetime(2018, 11, 18)), (2, dt.datetime(2018, 11, 18, 10)), (3, None), (4, dt.datetime(2019, 1, 1))]
+    assert {r["column"]: r.n_lossy for r in up.lossy().collect()} == {"when": 1, "num": 0}
+    assert {r["column"]: r.n_lossy for r in read_tables(spark, f"{tmp}/in", IngestOptions(promote=True))["d1"].lossy().collect()} == {"when": 1, "num": 0}
