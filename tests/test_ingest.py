@@ -358,15 +358,17 @@ def test_a_failed_write_changes_no_table(spark, tmp, monkeypatch):
 
 def test_lost_values_are_counted_by_the_write_and_promoted_on_request(spark, tmp):
     for i in range(3):
-        write(f"{tmp}/in/d{i}.csv", "when,num\n2018-11-18,1\n2018-11-18T10:00:00,2\n11:30,3\n" + "2019-01-01,4\n" * i)
+        write(f"{tmp}/in/d{i}.csv", "when,at,num\n2018-11-18,11:30,1\n2018-11-18T10:00:00,2018-11-18T10:00:00,2\n"
+              + "2019-01-01,,4\n" * i)
     kept = read_tables(spark, f"{tmp}/in")
     res = ingest(spark, f"{tmp}/in", output=f"{tmp}/o")
     for i in range(3):
         want = sorted(tuple(r) for r in kept[f"d{i}"].lossy().collect())
-        assert want == [("num", "INT", 0), ("when", "DATETIME", 2 + i)]
+        assert want == [("at", "DATETIME", 1), ("num", "INT", 0), ("when", "DATETIME", 1 + i)]
         assert sorted(tuple(r) for r in res[f"d{i}"].lossy().collect()) == want
     up = ingest(spark, f"{tmp}/in", IngestOptions(promote=True), output=f"{tmp}/p")["d1"]
-    assert sorted((r.num, r.when) for r in up.data.collect()) == [
-        (1, dt.datetime(2018, 11, 18)), (2, dt.datetime(2018, 11, 18, 10)), (3, None), (4, dt.datetime(2019, 1, 1))]
-    assert {r["column"]: r.n_lossy for r in up.lossy().collect()} == {"when": 1, "num": 0}
-    assert {r["column"]: r.n_lossy for r in read_tables(spark, f"{tmp}/in", IngestOptions(promote=True))["d1"].lossy().collect()} == {"when": 1, "num": 0}
+    ten = dt.datetime(2018, 11, 18, 10)
+    assert sorted((r.num, r.when, r.at) for r in up.data.collect()) == [
+        (1, dt.datetime(2018, 11, 18), None), (2, ten, ten), (4, dt.datetime(2019, 1, 1), None)]
+    for audit in (up.lossy(), read_tables(spark, f"{tmp}/in", IngestOptions(promote=True))["d1"].lossy()):
+        assert {r["column"]: r.n_lossy for r in audit.collect()} == {"when": 0, "at": 1, "num": 0}
