@@ -10,14 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import types as ft
-from .infer import (TRUE_WORDS, DATE_RE, DOUBLE_RE, INT_RE, OFFSET_LENIENT, TIME_PART, anchored,
-                    col_of, is_boolean_word, is_datetime_text, is_empty, is_true,
+from .infer import (TRUE_WORDS, DATE_PART, DATE_RE, DOUBLE_RE, INT_RE, OFFSET_LENIENT, TIME_PART, anchored,
+                    col_of, date_text, is_boolean_word, is_datetime_text, is_empty, is_true,
                     zone_of)
 
 _TIME_GROUPS = (r"\A((?:[01]\d|2[0-3]):[0-5]\d)(?::([0-5]\d)(?:\.(\d{0,9}))?)?"
                 + OFFSET_LENIENT + r"?\z")
-_DT_LOCAL = r"\A(\d{4}-\d{2}-\d{2})[Tt](" + TIME_PART + r")"
-_DT_OFFSET = r"\A\d{4}-\d{2}-\d{2}[Tt]" + TIME_PART + r"([Zz]|[+-][0-9:]+)?"
+_DT_LOCAL = r"\A" + DATE_PART + "[Tt](" + TIME_PART + ")"
+_DT_OFFSET = r"\A" + DATE_PART + "[Tt]" + TIME_PART + r"([Zz]|[+-][0-9:]+)?"
 
 
 def to_int(v: Column) -> Column:
@@ -41,9 +41,10 @@ def to_boolean(v: Column) -> Column:
 
 
 def to_date(v: Column) -> Column:
-    """ISO date, an optional offset is accepted and dropped."""
+    """ISO date, an optional offset is accepted and dropped.  NULL beyond the years a DATE holds
+    (5,881,580)."""
     v = col_of(v)
-    return F.when(v.rlike(anchored(DATE_RE)), F.substring(v, 1, 10).try_cast("date"))
+    return F.when(v.rlike(anchored(DATE_RE)), date_text(v).try_cast("date"))
 
 
 def to_time(v: Column) -> Column:
@@ -59,10 +60,10 @@ def to_time(v: Column) -> Column:
 
 def to_datetime(v: Column) -> Column:
     """Zone-less date-time.  A plain offset is dropped without shifting; with a
-    bracketed zone the instant (local minus offset) is shown in that zone."""
+    bracketed zone the instant (local minus offset) is shown in that zone.  NULL beyond
+    the years a timestamp holds (about 290,000)."""
     v = col_of(v)
-    local = F.concat(F.regexp_extract(v, _DT_LOCAL, 1), F.lit(" "),
-                     F.regexp_extract(v, _DT_LOCAL, 2)).try_cast("timestamp_ntz")
+    local = F.concat(date_text(v), F.lit(" "), F.regexp_extract(v, _DT_LOCAL, 1)).try_cast("timestamp_ntz")
     offset = F.upper(F.regexp_extract(v, _DT_OFFSET, 1))
     zone = zone_of(v)
     shifted = F.convert_timezone(F.when(offset == "Z", F.lit("UTC")).otherwise(offset), zone, local)
@@ -109,13 +110,13 @@ def cast_trusted(v: Column, code: int, widen_int: bool = False, promote: bool =
     elif code == ft.BOOLEAN:
         out = F.lower(v).isin(*TRUE_WORDS)
     elif code == ft.DATE:
-        out = F.substring(v, 1, 10).try_cast("date")
+        out = date_text(v).try_cast("date")
     elif code == ft.TIME:
         out = to_time(v)
     elif code == ft.DATETIME:
-        local = F.concat(F.substring(v, 1, 10), F.lit(" "),
+        local = F.concat(date_text(v), F.lit(" "),
                          F.regexp_extract(v, r"[Tt]([0-9:.]+)", 1)).try_cast("timestamp_ntz")
-        has_t = F.substring(v, 11, 1).isin("T", "t")
+        has_t = (F.locate("T", v) > 0) | (F.locate("t", v) > 0)
         out = F.when(has_t, F.when(F.locate("[", v) > 0, to_datetime(v)).otherwise(local))
         if promote:
             out = F.when(has_t, out).otherwise(midnight(v))

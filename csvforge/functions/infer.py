@@ -28,7 +28,9 @@ TRUE_WORDS = ["true", "yes", "y", "t"]
 OFFSET_LENIENT = r"(?:[Zz]|[+-](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d)?)"
 # Offsets of a date-time must be a valid zone offset, at most 18:00.
 OFFSET_STRICT = r"(?:[Zz]|[+-](?:(?:0\d|1[0-7]):[0-5]\d(?::[0-5]\d)?|18:00(?::00)?))"
-DATE_PART = r"\d{4}-\d{2}-\d{2}"
+# A year has four digits; more (up to 999999999) need a sign; the year zero has no minus.
+YEAR = r"(?:\d{4}|[+](?:0\d{9}|\d{5,9})|-(?:0\d{9}|\d{4,9}))"
+DATE_PART = YEAR + r"-\d{2}-\d{2}"
 TIME_PART = r"(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{0,9})?)?"
 ZONE_ID = r"\[[A-Za-z0-9][A-Za-z0-9~/._+-]*\]"
 # Region ids are case-sensitive: every segment starts upper-case; or an offset.
@@ -76,8 +78,26 @@ def is_true(v: Column) -> Column:
         F.coalesce(F.lower(v).isin(*TRUE_WORDS), F.lit(False)))
 
 
+def is_signed(v: Column) -> Column:
+    """Starts with a sign: the year of such a date may be long or before the year zero."""
+    return F.ascii(v).isin(43, 45)
+
+
+def date_text(v: Column) -> Column:
+    """The date at the start of a date or date-time text (shape already checked), without
+    superfluous zeros of a signed year."""
+    signed = F.regexp_replace(F.regexp_extract(v, r"\A([+-]\d{4,10}-\d{2}-\d{2})", 1), r"\A([+-])0+(\d{4,}-)", "$1$2")
+    return F.when(is_signed(v), signed).otherwise(F.substring(v, 1, 10))
+
+
 def _valid_calendar_date(v: Column) -> Column:
-    return F.substring(v, 1, 10).try_cast("date").isNotNull()
+    """Real month and day.  The calendar repeats every 400 years, so a signed year is judged
+    by its last four digits: no year is too long for it."""
+    year = F.regexp_extract(v, r"\A[+-](\d+)-", 1)
+    proxy = F.concat((F.lit(2000) + F.right(year, F.lit(4)).try_cast("int") % 400).cast("string"),
+                     F.regexp_extract(v, r"\A[+-]\d+(-\d{2}-\d{2})", 1))
+    return F.when(is_signed(v), proxy.try_cast("date").isNotNull() & ~v.rlike(r"\A-0+-")).otherwise(
+        F.substring(v, 1, 10).try_cast("date").isNotNull())
 
 
 def _try_cast(v: Column, to: str) -> Column:
@@ -118,13 +138,14 @@ def _classify(v: Column, out) -> Column:
     integral = (F.when(_try_cast(v, "int").isNotNull(), lit(ft.INT))
                 .when(_try_cast(v, "bigint").isNotNull(), lit(ft.LONG))
                 .otherwise(lit(ft.DOUBLE)))   # too long for 64 bits: still a double literal
-    dash5 = F.substring(v, 5, 1) == F.lit("-")
+    # a dash behind the year: the fifth character, or later behind a sign
+    dated = (digit & (F.substring(v, 5, 1) == F.lit("-"))) | (sign & (F.locate("-", v, 6) > 0))
     double_initial = digit | sign | c0.isin(46, 73, 78) | (c0 <= 32)   # '.', 'I', 'N', blanks
     word_initial = c0.isin(*[ord(ch) for ch in "tTfFyYnN"])
     return (F.when(v.isNull() | (c0 == 0), lit(ft.UNKNOWN))
             .when((digit | sign) & _match(v, INT_RE), integral)
-            .when(digit & dash5 & _match(v, DATE_RE) & _valid_calendar_date(v), lit(ft.DATE))
-            .when(digit & dash5 & is_datetime_text(v), lit(ft.DATETIME))
+            .when(dated & _match(v, DATE_RE) & _valid_calendar_date(v), lit(ft.DATE))
+            .when(dated & is_datetime_text(v), lit(ft.DATETIME))
             .when(digit & (F.substring(v, 3, 1) == F.lit(":")) & _match(v, TIME_RE), lit(ft.TIME))
             .when(word_initial & is_boolean_word(v), lit(ft.BOOLEAN))
             .when(double_initial & _match(v, DOUBLE_RE), lit(ft.DOUBLE))

@@ -28,7 +28,9 @@ def java_split(s: Column, regex: str) -> Column:
     first_kept = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True)
     n_trailing_empty = F.when(first_kept == 0, F.size(parts)).otherwise(first_kept - 1)
     keep = F.size(parts) - n_trailing_empty
-    return F.when(s == F.lit(""), F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), keep))
+    # most texts end in a part with text: only the others are searched for their last one
+    return (F.when(F.element_at(parts, -1) != F.lit(""), parts)
+            .when(s == F.lit(""), F.array(F.lit(""))).otherwise(F.slice(parts, F.lit(1), keep)))
 
 
 def uri_scheme(uri: Column) -> Column:
@@ -73,15 +75,3 @@ def generate_uri(scheme: str, bucket: Column, path: Column) -> Column:
 def pretty(values: Column) -> Column:
     """Comma-joined list, as used in error rows."""
     return F.concat_ws(", ", values)
-
-
-def split_uri(uri: str) -> tuple[str, str]:
-    """Driver-side ``(bucket, object path)`` of ``scheme://bucket/path``; raises for
-    an empty URI, a missing scheme or a missing path."""
-    import re
-    if not uri:
-        raise ValueError("uri cannot be null or empty.")
-    m = re.fullmatch(r"([A-Za-z][A-Za-z0-9+.-]*)://([^/]+)/(.+)", uri, flags=re.S)
-    if not m:
-        raise ValueError(f"Invalid URI {uri!r}, should contain a scheme, a bucket and a path.")
-    return m.group(2), m.group(3)

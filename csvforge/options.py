@@ -1,7 +1,6 @@
 """Ingestion options (the importer's CSV settings, passed by value to tasks)."""
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 # Importer defaults.
@@ -9,18 +8,15 @@ DEFAULT_CHUNK_SIZE = 2 * 1024 * 1024   # target chunk size for splitting large f
 MAX_COLUMNS = 8192                      # maximum number of columns per record
 
 
-def _check_regex(rx: str) -> None:
-    """Reject malformed patterns early.  The patterns run as Java regexes inside
-    Spark; the ``regex`` module accepts the same common syntax (lookaround,
-    possessive quantifiers, atomic groups), ``re`` is the fallback."""
-    try:
-        import regex as engine
-    except ImportError:  # pragma: no cover
-        engine = re
-    try:
-        engine.compile(rx)
-    except engine.error as e:
-        raise ValueError(f"invalid regex {rx!r}: {e}") from e
+def check_regexes(spark, *patterns: str | None) -> None:
+    """Reject malformed patterns by the engine that runs them: a constant Spark expression
+    (Java regex), evaluated while the plan is made."""
+    for rx in patterns:
+        if rx is not None:
+            try:
+                spark.sql("SELECT rlike('', :rx)", args={"rx": rx}).collect()
+            except Exception as e:
+                raise ValueError(f"invalid regex {rx!r}: {str(e).splitlines()[0]}") from e
 
 
 @dataclass(frozen=True)
@@ -57,9 +53,11 @@ class IngestOptions:
                 raise ValueError("line_sep must be LF, CRLF or one single-byte character")
         if (self.field_regex is None) != (self.record_regex is None):
             raise ValueError("field_regex and record_regex must be given together")
-        for rx in (self.field_regex, self.record_regex):
-            if rx is not None:
-                _check_regex(rx)
+        if self.regex_mode:                # without a session they are checked when they are first used
+            from pyspark.sql import SparkSession
+            spark = SparkSession.getActiveSession()
+            if spark is not None:
+                check_regexes(spark, self.field_regex, self.record_regex)
         if self.split_mode not in ("exact", "heuristic"):
             raise ValueError("split_mode must be 'exact' or 'heuristic'")
         if self.infer_engine not in ("vector", "sql"):

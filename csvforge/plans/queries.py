@@ -391,33 +391,6 @@ SELECT page_id,
   CASE WHEN regexp_matches(url, {O.q(_URI)}) THEN regexp_replace({_BASE}, '\\W', '_', 'g') END AS table_name
 FROM pages"""
 
-# --------------------------------------------------------------------------- F1 K1
-
-
-def nonempty_sources(spark, d):
-    docs = _t(spark, d, "documents")
-    files = docs.select(F.concat(F.lit("doc-"), _s("doc_id"), F.lit(".txt")).alias("path"),
-                        F.octet_length("text").cast("long").alias("length"))
-    return files.where(F.col("length") > 0)
-
-
-SQL["nonempty_sources"] = """
-SELECT 'doc-' || CAST(doc_id AS VARCHAR) || '.txt' AS path, CAST(strlen(text) AS BIGINT) AS length
-FROM documents WHERE strlen(text) > 0"""
-
-
-def route_by_source(spark, d):
-    docs = _t(spark, d, "documents")
-    uri = F.concat(F.lit("s3a://landing/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit(".csv"))
-    return (docs.select(table_name(uri).alias("table_name"), F.octet_length("text").alias("b"))
-            .groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"),
-                                       F.sum("b").cast("long").alias("n_bytes")))
-
-
-SQL["route_by_source"] = """
-SELECT regexp_replace(source, '\\W', '_', 'g') AS table_name, count(*) AS n_rows,
-  CAST(sum(strlen(text)) AS BIGINT) AS n_bytes FROM documents GROUP BY 1"""
-
 # --------------------------------------------------------------------------- J1 J2
 
 
@@ -681,8 +654,6 @@ QUERIES = {
     "header_validate": header_validate,
     "regex_split_records": regex_split_records,
     "table_name_from_uri": table_name_from_uri,
-    "nonempty_sources": nonempty_sources,
-    "route_by_source": route_by_source,
     "header_lookup_join": header_lookup_join,
     "split_ranges": split_ranges,
     "quarantine_ragged": quarantine_ragged,

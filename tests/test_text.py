@@ -18,14 +18,6 @@ def test_uri_helpers(spark):
     assert got["hdfs://nn:8020/data/a b.csv"][3] == "a_b"
 
 
-def test_split_uri_driver_side():
-    import pytest
-    assert text.split_uri("s3a://b/dir/x.csv") == ("b", "dir/x.csv")
-    for bad in ["", "b/x.csv", "s3a://bucket", "s3a://bucket/"]:
-        with pytest.raises(ValueError):
-            text.split_uri(bad)
-
-
 def test_generate_uri_and_pretty(spark):
     df = spark.createDataFrame([("b", "dir/x.csv", ["a", "b", "c"])], "b string, p string, l array<string>")
     r = df.select(text.generate_uri("s3a", F.col("b"), F.col("p")).alias("u"),

@@ -32,6 +32,13 @@ def _shaped(rnd):
                        str(rnd.randint(-10**20, 10**20)), repr(rnd.uniform(-1e9, 1e9))])
 
 
+def _long_year(rnd):
+    year = rnd.choice(["", "+", "-"]) + str(rnd.choice([0, 4, 44, 100, 400, 2000, 2023, 9999, 10000, 10004, 290000, 5881580,
+                                                        99999999, 999999999, 1000000000])).zfill(rnd.choice([1, 4, 5, 7, 10, 11]))
+    date = f"{year}-{rnd.choice(['01', '02', '02', '12', '13'])}-{rnd.choice(['01', '28', '29', '30', '31'])}"
+    return date + rnd.choice(["", "", "Z", "+05:00", "T10:15", "T10:15:30.5-03:00", "T01:02:03+01:00[Asia/Tokyo]", "x"])
+
+
 def _compare(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     sql = [r.c for r in df.select(infer_code(F.col("v")).alias("c")).orderBy("i").collect()]
@@ -47,6 +54,7 @@ def test_cases_agree(spark):
 def test_random_agree(spark):
     rnd = random.Random(7)
     _compare(spark, [_gen(rnd) for _ in range(3000)] + [_shaped(rnd) for _ in range(3000)])
+    _compare(spark, [_long_year(rnd) for _ in range(3000)])
 
 
 @settings(max_examples=25, deadline=None)
@@ -106,3 +114,50 @@ def test_keyed_masks_engines_agree(spark):
         a = {tuple(r) for r in merge_masks(df, ["v1", "v2", "v3"], keys, engine="vector").collect()}
         b = {tuple(r) for r in merge_masks(df, ["v1", "v2", "v3"], keys, engine="sql").collect()}
         assert a == b, keys
+
+
+def test_long_and_signed_years_as_the_jdk_reads_them(spark):
+    """Type, days and shown text of dates with signs and up to ten digits, against the JDK's parsers."""
+    from csvforge.functions.convert import to_date, to_datetime
+    time = spark._jvm.java.time
+    rnd = random.Random(6)
+    values = sorted({_long_year(rnd) for _ in range(700)})
+
+    def parsed(kind, form, v):
+        try:
+            return getattr(time, kind).parse(v, getattr(time.format.DateTimeFormatter, form))
+        except Exception as e:
+            assert "DateTime" in repr(e)
+            return None
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(
+        "v", infer_code(F.col("v")).alias("code"), F.unix_date(to_date(F.col("v"))).alias("days"),
+        F.unix_seconds(to_datetime(F.col("v")).cast("timestamp")).alias("secs"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    assert zone == "UTC"
+    n = 0
+    for r in df.collect():
+        date = parsed("LocalDate", "ISO_DATE", r.v)
+        moment = None if date else (parsed("LocalDateTime", "ISO_LOCAL_DATE_TIME", r.v)
+                                    or parsed("LocalDateTime", "ISO_OFFSET_DATE_TIME", r.v)
+                                    or parsed("ZonedDateTime", "ISO_ZONED_DATE_TIME", r.v))
+        assert r.code == (ft.DATE if date else ft.DATETIME if moment else ft.STRING), r.v
+        if date:
+            days = date.toEpochDay()
+            assert r.days == (days if abs(days) < 1 << 31 else None), r.v
+            n += 1
+        elif moment:
+            local = moment.toLocalDateTime() if hasattr(moment, "toLocalDateTime") and moment.getClass().getSimpleName() == "ZonedDateTime" else moment
+            secs = local.toEpochSecond(time.ZoneOffset.UTC)
+            assert r.secs == (secs if abs(secs) < 9_223_372_036_854 - 86_400 else None), r.v
+            n += 1
+    assert n > 100
+
+
+def test_trusted_casts_of_long_years(spark):
+    from csvforge.functions.convert import cast_field, cast_trusted
+    for code, values in ((ft.DATE, ["+10000-01-01", "-0044-03-15Z", "2018-11-18", "+0000044000-02-29", "+5881581-01-01", ""]),
+                         (ft.DATETIME, ["+10000-01-01T10:15", "-0044-03-15T01:02:03Z", "-0044-03-15", "10:15", "2018-11-18T11:25"])):
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        rows = df.select("v", cast_field(F.col("v"), code).cast("string").alias("a"),
+                         cast_trusted(F.col("v"), code).cast("string").alias("b")).collect()
+        assert [(r.v, r.a) for r in rows] == [(r.v, r.b) for r in rows]
