@@ -163,49 +163,54 @@ def _factorize(b: pa.RecordBatch, keys: Sequence[str]):
     return codes, list(index)
 
 
+def _task_masks(batches: Iterable[pa.RecordBatch], keys: Sequence[str], columns: Sequence[str], flag: str | None):
+    """``(key types, masks by key, flagged rows by key)`` of one task's rows.  Keys are factorized
+    once per batch; one ``bincount`` per column tells which type codes occur in which group."""
+    acc: dict[tuple, np.ndarray] = {}
+    flags: dict[tuple, int] = {}
+    key_types = None
+    for b in batches:
+        if key_types is None:
+            key_types = [b.schema.field(k).type for k in keys]
+        if b.num_rows == 0:
+            continue
+        if keys:
+            inv, uniq = _factorize(b, keys)
+        else:
+            inv, uniq = np.zeros(b.num_rows, dtype=np.int64), [()]
+        good = np.ones(b.num_rows, dtype=bool)
+        if flag is not None:
+            good = ~b.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
+            nbad = np.bincount(inv[~good], minlength=len(uniq))
+            for g in np.flatnonzero(nbad):
+                flags[uniq[g]] = flags.get(uniq[g], 0) + int(nbad[g])
+        n_groups, n_codes = len(uniq), len(_BIT_OF)
+        part = np.zeros((n_groups, len(columns)), dtype=np.int32)
+        gi = inv[good].astype(np.int64)
+        for j, c in enumerate(columns):
+            col = b.column(c)
+            if not good.all():
+                col = col.filter(pa.array(good))
+            # which type codes occur in which group: one bincount over (group, code)
+            seen = np.bincount(gi * n_codes + classify_array(col),
+                               minlength=n_groups * n_codes).reshape(n_groups, n_codes) > 0
+            part[:, j] = seen.astype(np.int32) @ _BIT_OF
+        for g, kv in enumerate(uniq):
+            if kv in acc:
+                acc[kv] |= part[g]
+            else:
+                acc[kv] = part[g].copy()
+    for kv in flags:
+        acc.setdefault(kv, np.zeros(len(columns), dtype=np.int32))
+    return key_types, acc, flags
+
+
 def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
     """``mapInArrow`` function: per task, one row per key with the merged masks of
     ``columns`` over that task's rows (the map side of a keyed ``bit_or``).  Rows
-    whose boolean ``flag`` is true are left out and counted in ``_n_flag``.
-    Keys are factorized once per batch; one ``bincount`` per column tells which
-    type codes occur in which group."""
+    whose boolean ``flag`` is true are left out and counted in ``_n_flag``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        acc: dict[tuple, np.ndarray] = {}
-        flags: dict[tuple, int] = {}
-        key_types = None
-        for b in batches:
-            if key_types is None:
-                key_types = [b.schema.field(k).type for k in keys]
-            if b.num_rows == 0:
-                continue
-            if keys:
-                inv, uniq = _factorize(b, keys)
-            else:
-                inv, uniq = np.zeros(b.num_rows, dtype=np.int64), [()]
-            good = np.ones(b.num_rows, dtype=bool)
-            if flag is not None:
-                good = ~b.column(flag).fill_null(False).to_numpy(zero_copy_only=False)
-                nbad = np.bincount(inv[~good], minlength=len(uniq))
-                for g in np.flatnonzero(nbad):
-                    flags[uniq[g]] = flags.get(uniq[g], 0) + int(nbad[g])
-            n_groups, n_codes = len(uniq), len(_BIT_OF)
-            part = np.zeros((n_groups, len(columns)), dtype=np.int32)
-            gi = inv[good].astype(np.int64)
-            for j, c in enumerate(columns):
-                col = b.column(c)
-                if not good.all():
-                    col = col.filter(pa.array(good))
-                # which type codes occur in which group: one bincount over (group, code)
-                seen = np.bincount(gi * n_codes + classify_array(col),
-                                   minlength=n_groups * n_codes).reshape(n_groups, n_codes) > 0
-                part[:, j] = seen.astype(np.int32) @ _BIT_OF
-            for g, kv in enumerate(uniq):
-                if kv in acc:
-                    acc[kv] |= part[g]
-                else:
-                    acc[kv] = part[g].copy()
-        for kv in flags:
-            acc.setdefault(kv, np.zeros(len(columns), dtype=np.int32))
+        key_types, acc, flags = _task_masks(batches, keys, columns, flag)
         if not acc:
             return
         names = list(keys) + list(columns)
@@ -217,3 +222,19 @@ def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str |
             arrays.append(pa.array([flags.get(kv, 0) for kv in kv_list], pa.int64()))
         yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run
+
+
+def keyed_sparse_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
+    """``mapInArrow`` function: per task, key and column with a value one row ``(keys..., pos, mask,
+    n = 0)``, and per key one row ``pos = -1`` with the number of flagged rows in ``n``."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        key_types, acc, flags = _task_masks(batches, keys, columns, flag)
+        for kv, masks in acc.items():
+            at = np.flatnonzero(masks)
+            pos = np.append(-1, at).astype(np.int32)
+            n = np.zeros(len(pos), np.int64)
+            n[0] = flags.get(kv, 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kv[i]] * len(pos), key_types[i]) for i in range(len(keys))]
+                + [pa.array(pos), pa.array(np.append(0, masks[at]).astype(np.int32)), pa.array(n)], names=[*keys, "pos", "mask", "n"])
+    return run

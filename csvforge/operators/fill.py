@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import types as ft
-from ..functions.convert import cast_field, cast_trusted
+from ..functions.convert import cast_field, cast_trusted, trusted_sql
 from ..functions.infer import infer_code, is_empty
 
 
@@ -21,8 +21,9 @@ def fill_typed(df: DataFrame, columns: Sequence[str], codes: Sequence[int],
     if not (len(columns) == len(codes) == len(names)):
         raise ValueError(f"{len(names)} column names for {len(codes)} column types")
     cast = cast_trusted if trusted else cast_field
-    return df.select(*keep, *[cast(F.col(c), code, widen_int, promote).alias(n)
-                              for c, code, n in zip(columns, codes, names)])
+    texts = [trusted_sql(c, code, widen_int) if trusted else None for c, code in zip(columns, codes)]
+    return df.select(*keep, *[(F.expr(sql) if sql else cast(F.col(c), code, widen_int, promote)).alias(n)
+                              for c, code, n, sql in zip(columns, codes, names, texts)])
 
 
 def lossy_sum(value: Column, code: int, promote: bool = False, where: Column | None = None) -> Column:

@@ -11,7 +11,7 @@ from ..functions.infer import BOOLEAN_WORDS, DOUBLE_RE, TIME_RE, col_of, infer_c
 _SEP = "\ue000"
 _EASY = ("(?i:" + "|".join(BOOLEAN_WORDS) + ")|" + DOUBLE_RE + "|" + TIME_RE)
 _ANY_EASY = _SEP + "(?:" + _EASY + ")(?=" + _SEP + ")"
-_ANY_DATE_LIKE = _SEP + r"\d{4}-\d{2}-\d{2}"
+_ANY_DATE_LIKE = _SEP + r"(?:\d{4}|[+-]\d{4,10})-\d{2}-\d{2}"
 
 
 def any_non_string(names: Column) -> Column:

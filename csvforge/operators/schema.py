@@ -59,6 +59,30 @@ def merge_masks_long(df: DataFrame, fields: str, keys: Sequence[str] = ()) -> Da
     return bits.groupBy(*keys, "pos").agg(F.bit_or(F.col("bit")).alias("mask"))
 
 
+def merge_masks_sparse(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), engine: str = "vector",
+                     flag: str | None = None) -> DataFrame:
+    """Merged type masks in long form ``(keys..., pos, mask, n)``: one row per key and column with
+    a value, ``pos`` its place in ``columns``; and per key a row with ``pos = -1`` whose ``n``
+    counts the rows that ``flag`` marks (they are left out otherwise).
+
+    The plan has four columns whatever the width of the table: partial aggregates are sparse
+    rows, merged by ``bit_or``."""
+    if engine == "vector":
+        from ..functions.vector import keyed_sparse_masks
+        schema = T.StructType([df.schema[k] for k in keys]).add("pos", "integer").add("mask", "integer").add("n", "long")
+        wanted = {*keys, *columns, flag}
+        partial = df.drop(*[c for c in df.columns if c not in wanted]).mapInArrow(keyed_sparse_masks(list(keys), list(columns), flag), schema)
+    else:
+        good = "true" if flag is None else f"NOT coalesce({flag}, false)"
+        values = F.expr("array(" + ", ".join(f"`{c}`" for c in columns) + ")")
+        rows = df.select(*keys, F.expr(good).alias("_good"), values.alias("_values"))
+        long = rows.select(*keys, "_good", F.posexplode(F.when(F.col("_good"), F.concat(F.array(F.lit(None).cast("string")), "_values"))
+                                                        .otherwise(F.array(F.lit("")))).alias("pos", "value"))
+        partial = long.select(*keys, (F.col("pos") - 1).alias("pos"), F.when(F.col("pos") > 0, type_bit(F.col("value"))).alias("mask"),
+                              F.when((F.col("pos") == 0) & ~F.col("_good"), 1).otherwise(0).cast("long").alias("n"))
+    return partial.groupBy(*keys, "pos").agg(F.coalesce(F.bit_or("mask"), F.lit(0)).alias("mask"), F.sum("n").alias("n"))
+
+
 def resolved_types(masks: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mask columns -> type name columns (same names)."""
     others = [c for c in masks.columns if c not in columns]

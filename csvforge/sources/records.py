@@ -53,11 +53,11 @@ def parse_csv_records(df: DataFrame, record_col: str, n: int, options: IngestOpt
     record = F.col(record_col)
     parsed = df.select(*keep, record, csv_fields(record, n, options).alias("_p"),
                        closed_fields(record, n, options).alias("_q"))
-    closed = F.col("_q").isNotNull() & F.col("_q._corrupt_record").isNull()
-    cols = [F.when(closed, F.col(f"_q.{c}")).otherwise(F.col(f"_p.{c}")).alias(nm) for c, nm in zip(field_names(n), names)]
-    corrupt = F.col("_p._corrupt_record").isNotNull()
-    out = [*keep, *cols, corrupt.alias("corrupt")]
+    # plain SQL texts: a table may have thousands of columns
+    cols = [f"CASE WHEN _closed THEN _q.{c} ELSE _p.{c} END AS `{nm}`" for c, nm in zip(field_names(n), names)]
+    parsed = parsed.withColumn("_closed", F.col("_q").isNotNull() & F.col("_q._corrupt_record").isNull())
+    out = [*[f"`{c}`" for c in keep], *cols, "_p._corrupt_record IS NOT NULL AS corrupt"]
     if count_fields:
-        out.append(F.when(corrupt, count_csv_fields(F.col(record_col), options))
-                   .otherwise(F.lit(n)).alias("n_fields"))
-    return parsed.select(*out)
+        n_fields = F.when(F.col("_p._corrupt_record").isNotNull(), count_csv_fields(record, options)).otherwise(F.lit(n))
+        parsed, out = parsed.withColumn("_n_fields", n_fields), [*out, "_n_fields AS n_fields"]
+    return parsed.selectExpr(*out)

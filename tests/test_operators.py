@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,8 @@ from csvforge.operators import (lossy_counts, merge_masks, merge_masks_long, obs
                                 quarantine, record_types, require_width, resolved_types)
 from csvforge.sinks import warehouse_schema
 
+from helpers import write
+
 
 @pytest.fixture(scope="module")
 def text(spark):
@@ -63,3 +67,32 @@ def test_lookup_join(spark):
     dup = spark.createDataFrame([(0, "a"), (0, "b")], "k int, name string")
     with pytest.raises(Exception, match="not unique"):
         lookup_join(recs, dup, "k").collect()
+
+
+def test_sparse_masks_equal_wide_masks(spark):
+    from csvforge.operators import merge_masks_sparse
+    rnd = random.Random(3)
+    values = ["1", "2.5", "x", "2020-01-01", "10:15", "", None, "true", "99999999999"]
+    rows = [(f"t{rnd.randrange(3)}", rnd.random() < 0.2, *[rnd.choice(values) for _ in range(6)]) for _ in range(300)]
+    df = spark.createDataFrame(rows, "t string, bad boolean, " + ", ".join(f"c{i} string" for i in range(6))).repartition(5)
+    cols = [f"c{i}" for i in range(6)]
+    want = {r.t: r for r in merge_masks(df, cols, ["t"], flag="bad").collect()}
+    for engine in ("vector", "sql"):
+        got = {}
+        for r in merge_masks_sparse(df, cols, ["t"], engine=engine, flag="bad").collect():
+            got[r.t, r.pos] = r.n if r.pos < 0 else r["mask"]
+        assert {k: v for k, v in got.items() if v} == {
+            **{(t, i): r[c] for t, r in want.items() for i, c in enumerate(cols) if r[c]}, **{(t, -1): r["_n_flag"] for t, r in want.items()}}
+    assert merge_masks_sparse(df.where("t = 'none'"), cols, ["t"]).count() == 0
+
+
+def test_five_thousand_columns(spark, tmp):
+    """A table wider than a plan with one aggregate per column could stand."""
+    from csvforge import IngestOptions, read_tables
+    n = 5000
+    rows = [[["7", "2.5", "x", "2020-01-01", ""][(i + r) % 5] if i % 97 == 0 else str(i * r) for i in range(n)] for r in range(6)]
+    write(f"{tmp}/w.csv", ",".join(f"col{i}" for i in range(n)) + "\n" + "\n".join(map(",".join, rows)) + "\n")
+    t = read_tables(spark, f"{tmp}/w.csv")["w"]
+    assert len(t.codes) == n and {t.types[i] for i in range(0, n, 97)} == {"STRING"} and t.types[1] == "INT"
+    got = sorted((r.col1, r.col4999, r.col97) for r in t.data.select("col1", "col4999", "col97").collect())
+    assert got == sorted((r, 4999 * r, rows[r][97] or None) for r in range(6))

@@ -64,7 +64,7 @@ def test_hypothesis_agree(spark, values):
 
 
 def test_trusted_cast_equals_guarded_cast(spark):
-    from csvforge.functions.convert import cast_field, cast_trusted
+    from csvforge.functions.convert import cast_field, cast_trusted, trusted_sql
     from csvforge.functions.vector import mask_of
     rnd = random.Random(11)
     columns = {
@@ -85,6 +85,10 @@ def test_trusted_cast_equals_guarded_cast(spark):
                          cast_trusted(F.col("v"), code).alias("b")).collect()
         bad = [(values[r.i], r.a, r.b) for r in rows if r.a != r.b and not (r.a != r.a and r.b != r.b)]
         assert not bad, (name, ft.TYPE_NAMES[code], bad[:5])
+        sql = trusted_sql("v", code)
+        if sql:
+            same = df.select(F.expr(sql).alias("s"), cast_trusted(F.col("v"), code).alias("b"))
+            assert same.where("NOT (s <=> b)").count() == 0 and same.schema["s"].dataType == same.schema["b"].dataType
 
 
 def test_engines_agree_on_ingest(spark, tmp):
