@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import Workspace, prepare, table, with_fields
+from .common import Workspace, prepare, table, tidy, with_fields
 from .ordered import BYTES, ROWS, Batches, arrow_schema, blocks, gathered, segments, stream
-from .tokens import VOCABULARY, count_texts
+from .tokens import AUTO, VOCABULARY, count_texts
 
 START, END = "<|im_start|>", "<|im_end|>"
 BUDGET = 2048                 # tokens of a window
@@ -125,7 +125,7 @@ def block_windows(roles, texts, head, counts, budget: int, history: int):
 
 def format_windows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
                    budget: int = BUDGET, history: int = HISTORY, vocabulary: str = VOCABULARY,
-                   boundary: str | None = "space", ws: Workspace | None = None, size: tuple = (ROWS, BYTES)) -> DataFrame:
+                   boundary: str | None = AUTO, ws: Workspace | None = None, size: tuple = (ROWS, BYTES)) -> DataFrame:
     """One row per window: ``conv, a, b`` (its block), ``window`` (number in the block),
     ``n_repeated`` and ``n_new`` turns, ``text``, ``loss`` (array of start and end),
     ``n_tokens``, ``over_budget``, ``whole`` (the block is the conversation).
@@ -152,7 +152,7 @@ def format_windows(df: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
                                    len(shown))
         yield from out.flush()
 
-    return cut.mapInArrow(run, schema)
+    return cut.mapInArrow(tidy(run), schema)
 
 
 class Digest:

@@ -26,6 +26,37 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+CACHES: list = []             # dictionaries that modules keep in Python workers, emptied at a task's end
+
+
+def tidy(run):
+    """An Arrow function that gives back what its worker kept for it when the task ends.
+
+    Workers are reused for later tasks and other stages; without this, each keeps its
+    largest tables and the C library its largest heap for the rest of the job."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for cache in CACHES:
+                cache.clear()
+            _release()
+    return wrapped
+
+
+def _release() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                       # another C library
+        pass
+
+
 class Workspace:
     """Tables written to the shared folder to cut lineage.
 

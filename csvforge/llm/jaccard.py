@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from .bloom import key_filter, passes
-from .common import Workspace, free_name, prepare, shuffle_parts, table
+from .common import Workspace, free_name, prepare, shuffle_parts, table, tidy
 from .components import components
 from .sigtree import WORDS, bitmap, candidate_pairs, fine_bitmap, fine_may_reach, may_reach
 from .textnum import list_array, mix, shingle_sets, signed, slices, word_hashes
@@ -71,7 +71,7 @@ def frequency_sketch(docs: DataFrame, k: int, bits: int = SKETCH_BITS) -> np.nda
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(cells[h].astype(np.int64))],
                                              names=["cell", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(tidy(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     got = rows.toArrow()                                   # at most 2**bits rows
     out = np.zeros(1 << bits, np.int32)
     out[got["cell"].to_numpy()] = np.minimum(got["n"].to_numpy(), np.iinfo(np.int32).max)
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int, sketch) -> DataFrame
                      pa.array(k2, pa.int64()), list_array(prefix), pa.array(bits, pa.binary())],
                     names=["rid", "doc_id", "n", "k1", "k2", "prefix", "bits"])
 
-    return docs.select("rid", "doc_id", "text").mapInArrow(run, schema)
+    return docs.select("rid", "doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _wanted(pairs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -135,7 +135,7 @@ def gather(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str,
                                                  names=["rid", "n", "shape"])
 
     kind = "binary" if fine else "array<long>"
-    return ws.stage(docs.select("rid", cell.alias("c"), "text").mapInArrow(run, f"rid long, n long, shape {kind}"), name)
+    return ws.stage(docs.select("rid", cell.alias("c"), "text").mapInArrow(tidy(run), f"rid long, n long, shape {kind}"), name)
 
 
 def verified(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str, num: int, den: int) -> DataFrame:
@@ -152,7 +152,7 @@ def verified(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str
         return names.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
 
     fine = gather(docs, k, pairs, ws, f"{name}-fine", True)
-    likely = ws.stage(beside(fine, pairs).mapInArrow(screen, "a long, b long"), f"{name}-likely")
+    likely = ws.stage(beside(fine, pairs).mapInArrow(tidy(screen), "a long, b long"), f"{name}-likely")
     sets = gather(docs, k, likely, ws, f"{name}-sets", False)
     inter = F.size(F.array_intersect("sa", "sb"))
     links = beside(sets, likely).where(inter * F.lit(den) >= (F.col("na") + F.col("nb") - inter) * F.lit(num))
@@ -218,7 +218,7 @@ def block_pairs(blocks: DataFrame, num: int, den: int, first_only: bool) -> Data
 
     dealt = (blocks.repartition(shuffle_parts(blocks.sparkSession), "key", "part")
              .sortWithinPartitions("key", "part"))
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def possible_entries(reps: DataFrame, filt) -> DataFrame:
@@ -231,7 +231,7 @@ def possible_entries(reps: DataFrame, filt) -> DataFrame:
             ok = passes(filt.value, key.view(U))
             yield pa.RecordBatch.from_arrays([pa.array(key[ok]), pa.array(ids[ok])], names=["key", "id"])
 
-    return reps.select("id", "prefix").mapInArrow(run, "key long, id long")
+    return reps.select("id", "prefix").mapInArrow(tidy(run), "key long, id long")
 
 
 def _ending(it):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table, with_fields
+from .common import prepare, table, tidy, with_fields
 from .textnum import PIECE, U, mix, slices
 
 TRAIN_DOCS = 100              # documents per language in the training sample (expected)
@@ -282,7 +282,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFram
                 yield pa.RecordBatch.from_arrays(rows.columns + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                                  names=keep + ["lang_pred", "score"])
 
-    return src.mapInArrow(run, with_fields(src.schema, ("lang_pred", "string"), ("score", "double")))
+    return src.mapInArrow(tidy(run), with_fields(src.schema, ("lang_pred", "string"), ("score", "double")))
 
 
 def held_out(key: str = "doc_id"):

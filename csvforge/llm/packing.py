@@ -16,7 +16,6 @@ packed as often as they occur.  Other columns are not read.
 """
 from __future__ import annotations
 
-import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, prepare, table
+from .common import Workspace, prepare, table, tidy
 from .textnum import slices
 from .tokens import VOCABULARY, encode_words
 
@@ -36,10 +35,6 @@ GROUP_PIECES = 16_384        # expected pieces packed by one task at a time
 SEARCH_STEPS = 200_000       # improving steps tried in a group at most
 
 
-def _bytes(ids) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
            length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Rows ``(doc_id, piece, start, length, ids_crc32)`` of every document."""
@@ -47,15 +42,15 @@ def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
     src = df.select(F.col(key).alias("doc_id"), F.col(text).alias("__text"))
     schema = src.select("doc_id").schema.add("piece", "integer").add("start", "long").add(
         "length", "long").add("ids_crc32", "long")
-    end, step = _bytes([end_id]), 4 * length
+    end, step = np.uint32(end_id).tobytes(), 4 * length
 
     def run(it):
         for whole in it:
             for b in slices(whole, "__text"):
                 texts = [t or "" for t in b.column(1).to_pylist()]
                 row, piece, start, size, crc = [], [], [], [], []
-                for i, parts in enumerate(encode_words(texts, vocabulary, _bytes, "ids")):
-                    ids = b"".join(b"".join(p) for p in parts) + end
+                for i, own in enumerate(encode_words(texts, vocabulary)):
+                    ids = own.astype("<u4").tobytes() + end
                     for k in range(0, len(ids), step):
                         part = ids[k:k + step]
                         row.append(i)
@@ -68,7 +63,7 @@ def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
                      pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)
 
 
 def best_fit(sizes: np.ndarray, room: int) -> list[list[int]]:

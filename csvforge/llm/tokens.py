@@ -4,10 +4,14 @@ Texts never leave their partition: each Arrow batch is cut into slices balanced
 by bytes, long texts are split at safe boundaries, and only lengths come back.
 
 For a tokenizer that drops white space (``boundary="space"``), a space or line
-feed is always a token boundary, so the slices are split there and every
-distinct word of a slice is encoded once by the library itself, in one batch
-call; a bounded per-worker table keeps the words met recently.  Otherwise
-(``boundary=None``) whole texts are encoded in byte-balanced batches.
+feed is always a token boundary, so the slices are split there by Arrow, which also
+numbers the distinct words of a slice.  Every distinct word is encoded once by the
+library itself; a bounded table keeps the words met recently.  New words go to the
+library joined by a special token of the vocabulary, whose id marks where one word's
+ids end; without such a token, and for words that hold it, one by one.  What a text's
+words add up to is array code.  Otherwise (``boundary=None``) whole texts are encoded in
+byte-balanced batches.  The default is what the vocabulary allows: a file is tried for
+dropping white space when it is loaded.
 
 Nulls count as empty texts (0 tokens).  Rows are kept one for one, repeated rows
 too; other columns are passed through unread, and a clash with a result name is
@@ -17,18 +21,21 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from .common import CACHES, prepare, table, tidy
 from .textnum import slices, text_buffers
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048                  # tokens; longer texts are over the limit
 BATCH_BYTES = 1 << 20         # bytes of text in one call of the library
 WORD_BYTES = 1 << 18          # characters of words in one call of the library
-KEPT_WORDS = 100_000          # words in each of the two generations of the table
+RUN_BYTES = 4 << 20           # text split into words at a time; longer texts go in parts
+KEPT_WORDS = 250_000          # words in each of the two generations of the table
 LONG_WORD = 64                # longer words are encoded anew each time
 
 _LOADED: dict = {}
@@ -70,10 +77,6 @@ def batches(texts: list[str], size: int = BATCH_BYTES):
         yield run
 
 
-def _split(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
-
-
 def _parts(text: str, size: int):
     """A text in parts of about ``size`` characters, cut at spaces or line feeds."""
     at = 0
@@ -89,57 +92,152 @@ def _parts(text: str, size: int):
     yield text[at:] if at else text
 
 
+def separator(vocabulary: str):
+    """``(text, id)`` of a special token that can stand between words, or None."""
+    key = (vocabulary, "separator")
+    if key not in _LOADED:
+        encode, found = load(vocabulary), None
+        for text, number in _special_tokens(vocabulary):
+            a, both, b = encode(["ab", f"ab{text}cd", "cd"])
+            if not any(c.isspace() for c in text) and both == [*a, number, *b]:
+                found = (text, number)
+        _LOADED[key] = found
+    return _LOADED[key]
+
+
+def _special_tokens(vocabulary: str):
+    path = vocabulary
+    if not os.path.isabs(path):
+        import public_tokenizers
+        path = public_tokenizers.path(vocabulary)
+    if path.endswith(".json"):
+        from tokenizers import Tokenizer
+        for number, token in Tokenizer.from_file(path).get_added_tokens_decoder().items():
+            if token.special and not token.normalized and not token.lstrip and not token.rstrip and not token.single_word:
+                yield token.content, number
+
+
+def boundary_of(vocabulary: str) -> str | None:
+    """``space`` if the vocabulary drops white space between words, else None."""
+    key = (vocabulary, "boundary")
+    if key not in _LOADED:
+        encode = load(vocabulary)
+        one = [encode([w])[0] for w in ("two", "Words,", "3")]
+        drops = all(encode([gap.join(("two", "Words,", "3"))])[0] == [i for ids in one for i in ids]
+                    for gap in (" ", "\n", "  ", " \n "))
+        _LOADED[key] = "space" if drops and not any(encode([" ", "\n"])) else None
+    return _LOADED[key]
+
+
 class WordTable(dict):
-    """word -> value of its ids, for the words of the slice at hand and recent ones."""
+    """word -> its ids as bytes (32-bit), for the words of the run at hand and recent ones."""
 
-    def __init__(self, vocabulary: str, value):
-        self.vocabulary, self.value, self.old = vocabulary, value, {}
+    def __init__(self, vocabulary: str):
+        self.vocabulary, self.old = vocabulary, {}
 
-    def cover(self, words: set) -> None:
+    def values_of(self, words: list[str]) -> list[bytes]:
         if len(self) > KEPT_WORDS:
             self.old = dict(self)
             self.clear()
-        missing = words.difference(self)
-        if self.old:
-            for w in [w for w in missing if w in self.old]:
-                self[w] = self.old[w]
-                missing.discard(w)
-        encode = load(self.vocabulary)
-        for run in batches(list(missing), WORD_BYTES):
-            self.update(zip(run, map(self.value, encode(run))))
-
-    def trim(self, words: set) -> None:
-        for w in words:
-            if len(w) > LONG_WORD:
-                self.pop(w, None)
+        got, old = list(map(self.get, words)), self.old
+        missing = [i for i, v in enumerate(got) if v is None]
+        new = []
+        for i in missing:
+            v = old.get(words[i])
+            if v is None:
+                new.append(i)
+            else:
+                got[i] = self[words[i]] = v
+        for i, v in zip(new, self._encoded([words[i] for i in new])):
+            got[i] = v
+            if len(words[i]) <= LONG_WORD:
+                self[words[i]] = v
+        return got
+
+    def _encoded(self, words: list[str]):
+        encode, sep = load(self.vocabulary), separator(self.vocabulary)
+        for run in batches(words, WORD_BYTES):
+            if sep is None or any(sep[0] in w for w in run):
+                yield from (np.asarray(ids, np.uint32).tobytes() for ids in encode(run))
+                continue
+            ids = np.asarray(encode([sep[0].join(run)])[0], np.uint32)
+            cut = np.flatnonzero(ids == sep[1])
+            raw = ids.tobytes()
+            yield from (raw[4 * a:4 * b] for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]))
 
 
 _TABLES: dict = {}
-
-
-def encode_words(texts: list[str], vocabulary: str, value, key: str):
-    """Per text, an iterator over parts, each the list of its words' values."""
-    tab = _TABLES.setdefault((vocabulary, key), WordTable(vocabulary, value))
-    parts = [[_split(p) for p in _parts(t, BATCH_BYTES)] for t in texts]
-    words = set()
-    for t in parts:
-        for p in t:
-            words.update(p)
-    tab.cover(words)
-    for t in parts:
-        yield (map(tab.__getitem__, p) for p in t)
-    tab.trim(words)
-
-
-def count_texts(texts: list[str], vocabulary: str, boundary: str | None) -> list[int]:
+CACHES.append(_TABLES)
+
+
+def _runs(texts: list[str]):
+    """``(owners, parts)``: parts of consecutive texts, together about RUN_BYTES characters."""
+    owners, parts, n = [], [], 0
+    for i, t in enumerate(texts):
+        for p in (_parts(t, RUN_BYTES) if len(t) > RUN_BYTES else (t,)):
+            owners.append(i)
+            parts.append(p)
+            n += len(p) + 1
+            if n >= RUN_BYTES:
+                yield np.array(owners), parts
+                owners, parts, n = [], [], 0
+    if parts:
+        yield np.array(owners), parts
+
+
+def _words(parts: list[str], vocabulary: str):
+    """Of some parts: word offsets, the number of every word's distinct form, and the forms' ids
+    (joined, with their lengths)."""
+    flat = pc.replace_substring(pa.array(parts, pa.large_string()), pattern="\n", replacement=" ")
+    lists = pc.split_pattern(flat, pattern=" ")
+    coded = lists.flatten().dictionary_encode()
+    values = _TABLES.setdefault(vocabulary, WordTable(vocabulary)).values_of(coded.dictionary.to_pylist())
+    size = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+    off = np.asarray(lists.offsets, dtype=np.int64)
+    return off - off[0], coded.indices.to_numpy(), values, size
+
+
+def count_words(texts: list[str], vocabulary: str) -> np.ndarray:
+    out = np.zeros(len(texts), np.int64)
+    for owners, parts in _runs(texts):
+        off, codes, _, size = _words(parts, vocabulary)
+        total = np.concatenate(([0], np.cumsum(size[codes])))
+        np.add.at(out, owners, total[off[1:]] - total[off[:-1]])
+    return out
+
+
+def encode_words(texts: list[str], vocabulary: str):
+    """The ids of every text, in order, as 32-bit arrays."""
+    at, kept = 0, []
+    for owners, parts in _runs(texts):
+        off, codes, values, size = _words(parts, vocabulary)
+        begin, n = np.cumsum(size) - size, size[codes]
+        total = np.concatenate(([0], np.cumsum(n)))
+        ids = np.frombuffer(b"".join(values), np.uint32)
+        ids = ids[np.repeat(begin[codes] - total[:-1], n) + np.arange(total[-1])]
+        for owner, a, b in zip(owners.tolist(), total[off[:-1]].tolist(), total[off[1:]].tolist()):
+            if owner != at:
+                yield kept[0] if len(kept) == 1 else np.concatenate(kept)
+                at, kept = owner, []
+            kept.append(ids[a:b])
+    if kept:
+        yield kept[0] if len(kept) == 1 else np.concatenate(kept)
+
+
+AUTO = "auto"
+
+
+def count_texts(texts: list[str], vocabulary: str, boundary: str | None = AUTO) -> list[int]:
+    if boundary == AUTO:
+        boundary = boundary_of(vocabulary)
     if boundary == "space":
-        return [sum(map(sum, t)) for t in encode_words(texts, vocabulary, len, "n")]
+        return count_words(texts, vocabulary).tolist()
     encode = load(vocabulary)
     return [len(ids) for run in batches(texts) for ids in encode(run)]
 
 
 def token_counts(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY,
-                 limit: int = LIMIT, boundary: str | None = "space",
+                 limit: int = LIMIT, boundary: str | None = AUTO,
                  columns: tuple = ("doc_id",)) -> DataFrame:
     """``columns`` of every row with ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
@@ -163,7 +261,7 @@ def token_counts(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
                        pa.array([x > limit for x in n], pa.bool_())],
                     names=keep + ["n_bytes", "n_tokens", "over_limit"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

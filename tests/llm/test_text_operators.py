@@ -197,6 +197,34 @@ def test_token_counts_equal_the_library(docs, rows):
     assert "".join(tokens._parts("ab cd\nef gh", 3)) == "abcdefgh"
 
 
+@pytest.mark.parametrize("vocabulary", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_token_counts_of_other_vocabularies(docs, rows, vocabulary):
+    """The boundary comes from the vocabulary file, so no vocabulary is counted wrongly."""
+    pytest.importorskip("tokenizers")
+    plain = [r[1] or "" for r in rows] + ["two  Words,\n3 x", " ", "\n", "a<|endoftext|>b"]
+    want = [len(x) for x in tokens.load(vocabulary)(plain)]
+    assert tokens.count_texts(plain, vocabulary) == want
+    assert tokens.boundary_of(vocabulary) == ("space" if vocabulary.startswith("word") else None)
+    got = tokens.token_counts(docs, vocabulary=vocabulary).collect()
+    assert sorted(r.n_tokens for r in got) == sorted(want[:len(rows)])
+
+
+def test_encoded_words_in_parts_and_without_a_separator(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    rnd = random.Random(21)
+    encode = tokens.load(tokens.VOCABULARY)
+    texts = [prose(rnd, rnd.randint(0, 400)) + rnd.choice(["", "\n", " <|endoftext|>x", "  "]) for _ in range(40)] + ["", " ", "é" * 300]
+    want = encode(texts)
+    for run_bytes, kept in ((200, 30), (1 << 22, 10**6)):
+        monkeypatch.setattr(tokens, "RUN_BYTES", run_bytes)
+        monkeypatch.setattr(tokens, "KEPT_WORDS", kept)
+        assert [x.tolist() for x in tokens.encode_words(texts, tokens.VOCABULARY)] == want
+    tokens._TABLES.clear()
+    monkeypatch.setattr(tokens, "separator", lambda v: None)
+    assert [x.tolist() for x in tokens.encode_words(texts, tokens.VOCABULARY)] == want
+    tokens._TABLES.clear()
+
+
 def test_packing_is_gapless(docs, rows):
     out = packing.pack_documents(docs, length=64, group_pieces=50).toPandas()
     for _, g in out.sort_values("offset").groupby("sequence_id"):
@@ -206,6 +234,18 @@ def test_packing_is_gapless(docs, rows):
     assert out[out.doc_id == 42].length.tolist()[:-1] == [64] * (len(out[out.doc_id == 42]) - 1)
 
 
+def test_pieces_are_the_librarys_ids(docs, rows):
+    """piece, start, length and ids_crc32 against whole texts encoded by the library."""
+    encode, want = tokens.load(tokens.VOCABULARY), []
+    for r in rows:
+        ids = [*encode([r[1] or ""])[0], packing.END_ID]
+        for k in range(0, len(ids), 64):
+            part = np.asarray(ids[k:k + 64], "<u4")
+            want.append((r[0], k // 64, k, len(part), zlib.crc32(part.tobytes())))
+    got = packing.pieces(docs, length=64).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_local_search_drains_bins():
     rnd = random.Random(1)
     for _ in range(30):
