@@ -17,13 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BATCH_BYTES = 8 << 20                           # text handed to a Python worker at a time
+SMALL_BATCH = 2 << 20                           # where workers of several stages share an executor
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, batch: int = BATCH_BYTES) -> None:
     """Make this package importable in Python workers, and bound their batches by bytes
     (Spark's own bound is 10,000 rows or 64 MiB, held in the JVM and in the worker)."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch))
 
 
 CACHES: list = []             # dictionaries that modules keep in Python workers, emptied at a task's end

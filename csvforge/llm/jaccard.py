@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from .bloom import key_filter, passes
-from .common import Workspace, free_name, prepare, shuffle_parts, table, tidy
+from .common import SMALL_BATCH, Workspace, free_name, prepare, shuffle_parts, table, tidy
 from .components import components
 from .sigtree import WORDS, bitmap, candidate_pairs, fine_bitmap, fine_may_reach, may_reach
-from .textnum import list_array, mix, shingle_sets, signed, slices, word_hashes
+from .textnum import PIECE, list_array, mix, shingle_sets, signed, slices, word_hashes
 
 SKETCH_BITS = 22              # cells of the frequency sketch: 2**22, whatever the input
 FILTER_BITS = 24              # bits of the filter for texts whose sets are needed: 2**24
@@ -47,7 +47,7 @@ U = np.uint64
 
 
 def _sets(batch, column: str, k: int):
-    for b in slices(batch, column):
+    for b in slices(batch, column, PIECE):
         words, first = word_hashes(b.column(b.schema.get_field_index(column)))
         yield b, shingle_sets(words, first, k)
 
@@ -289,7 +289,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", k: i
                     num: int = 8, den: int = 10, block: int = BLOCK) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``: one row per input row.  Two documents
     are linked when the Jaccard similarity of their k-word shingles is >= num / den."""
-    prepare(df.sparkSession)
+    prepare(df.sparkSession, SMALL_BATCH)
     ws = Workspace(df.sparkSession, "jaccard")
     docs = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sigs, classes, roots = linked_components(docs, ws, k, num, den, block)
@@ -306,7 +306,7 @@ def one_of_each(df: DataFrame, text: str = "text", k: int = 5, num: int = 8, den
                 block: int = BLOCK) -> DataFrame:
     """The rows of ``df`` (all columns) without near duplicates: of each component the
     first row in scan order stays; texts without words all stay."""
-    prepare(df.sparkSession)
+    prepare(df.sparkSession, SMALL_BATCH)
     ws = Workspace(df.sparkSession, "one")
     docs = df.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sigs, classes, roots = linked_components(docs, ws, k, num, den, block)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table, tidy, with_fields
+from .common import SMALL_BATCH, prepare, table, tidy, with_fields
 from .textnum import PIECE, U, mix, slices
 
 TRAIN_DOCS = 100              # documents per language in the training sample (expected)
@@ -258,7 +258,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
     spark = df.sparkSession
-    prepare(spark)
+    prepare(spark, SMALL_BATCH)
     keep = [c for c in df.columns if c.lower() not in ("lang_pred", "score")]
     if model is None:
         return df.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, prepare, table, tidy
-from .textnum import slices
+from .common import SMALL_BATCH, Workspace, prepare, table, tidy
+from .textnum import PIECE, slices
 from .tokens import VOCABULARY, encode_words
 
 LENGTH = 4096                # tokens in a sequence
@@ -38,7 +38,7 @@ SEARCH_STEPS = 200_000       # improving steps tried in a group at most
 def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
            length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """Rows ``(doc_id, piece, start, length, ids_crc32)`` of every document."""
-    prepare(df.sparkSession)
+    prepare(df.sparkSession, SMALL_BATCH)
     src = df.select(F.col(key).alias("doc_id"), F.col(text).alias("__text"))
     schema = src.select("doc_id").schema.add("piece", "integer").add("start", "long").add(
         "length", "long").add("ids_crc32", "long")
@@ -46,7 +46,7 @@ def pieces(df: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
 
     def run(it):
         for whole in it:
-            for b in slices(whole, "__text"):
+            for b in slices(whole, "__text", PIECE):
                 texts = [t or "" for t in b.column(1).to_pylist()]
                 row, piece, start, size, crc = [], [], [], [], []
                 for i, own in enumerate(encode_words(texts, vocabulary)):

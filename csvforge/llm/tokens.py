@@ -27,15 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CACHES, prepare, table, tidy
-from .textnum import slices, text_buffers
+from .common import CACHES, SMALL_BATCH, prepare, table, tidy
+from .textnum import PIECE, slices, text_buffers
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048                  # tokens; longer texts are over the limit
 BATCH_BYTES = 1 << 20         # bytes of text in one call of the library
-WORD_BYTES = 1 << 18          # characters of words in one call of the library
-RUN_BYTES = 4 << 20           # text split into words at a time; longer texts go in parts
-KEPT_WORDS = 250_000          # words in each of the two generations of the table
+WORD_BYTES = 1 << 17          # characters of words in one call of the library
+RUN_BYTES = 2 << 20           # text split into words at a time; longer texts go in parts
+KEPT_WORDS = 150_000          # words in each of the two generations of the table
 LONG_WORD = 64                # longer words are encoded anew each time
 
 _LOADED: dict = {}
@@ -243,7 +243,7 @@ def token_counts(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
 
     One narrow pass, no shuffle; memory is bounded by one Arrow batch and the word
     table.  An empty input gives an empty result."""
-    prepare(df.sparkSession)
+    prepare(df.sparkSession, SMALL_BATCH)
     made = {"n_bytes", "n_tokens", "over_limit"}
     keep = [c for c in columns if c.lower() not in made]
     src = df.select(*keep, F.col(text).alias("__text"))
@@ -251,7 +251,7 @@ def token_counts(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
 
     def run(it):
         for whole in it:
-            for b in slices(whole, "__text"):
+            for b in slices(whole, "__text", PIECE):
                 col = b.column(b.num_columns - 1)
                 off, _ = text_buffers(col)
                 n = count_texts([t or "" for t in col.to_pylist()], vocabulary, boundary)
