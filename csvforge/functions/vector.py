@@ -22,8 +22,6 @@ from .infer import (BOOLEAN_WORDS, DATE_RE, DATETIME_RE, DOUBLE_RE, INT_RE, TIME
                     ZONE_CASE_RE)
 
 _INT32_MAX, _INT64_MAX = "2147483647", "9223372036854775807"
-# Zone ids the JDK leaves out of its region list (short-id clashes).
-JDK_EXCLUDED_ZONES = {"EST", "HST", "MST"}
 _OFFSET_ZONE = re.compile(r"\A(?:Z|(?:UTC|GMT|UT)?(?:[+-]\d{1,2}(?::?\d{2}(?::?\d{2})?)?)?)\Z")
 _ZONE_CASE = re.compile(ZONE_CASE_RE.replace(r"\A", "^").replace(r"\z", "$"))
 
@@ -33,13 +31,20 @@ def _full(arr: pa.Array, regex: str) -> np.ndarray:
     return m.fill_null(False).to_numpy(zero_copy_only=False)
 
 
-@functools.lru_cache(maxsize=1)
-def _regions() -> frozenset:
-    try:
-        import zoneinfo
-        return frozenset(zoneinfo.available_timezones()) - JDK_EXCLUDED_ZONES
-    except Exception:  # no tz database: accept well-formed names
-        return frozenset()
+_REGIONS: set[str] = set()
+
+
+def jvm_regions(spark) -> list[str]:
+    """Zone ids of the JVM that runs the other engine (some hundreds of names)."""
+    return sorted(spark._jvm.java.time.ZoneId.getAvailableZoneIds())
+
+
+def know_regions(names: Iterable[str]) -> None:
+    """Zone ids that this process accepts.  They come from the driver's JVM with the task, so
+    types do not depend on the time-zone files of the machine."""
+    if not _REGIONS.issuperset(names):
+        _REGIONS.update(names)
+        valid_zone.cache_clear()
 
 
 @functools.lru_cache(maxsize=4096)
@@ -48,8 +53,9 @@ def valid_zone(zone: str) -> bool:
         return False
     if _OFFSET_ZONE.match(zone):
         return True
-    regions = _regions()
-    return zone in regions if regions else True
+    if not _REGIONS:
+        raise RuntimeError("the zone ids are not known here: call know_regions")
+    return zone in _REGIONS
 
 
 def _digits_cmp(sig: np.ndarray, limit: str) -> np.ndarray:
@@ -163,9 +169,13 @@ def _factorize(b: pa.RecordBatch, keys: Sequence[str]):
     return codes, list(index)
 
 
+KEYS_HELD = 4096              # keys whose masks a task holds before it hands them on
+
+
 def _task_masks(batches: Iterable[pa.RecordBatch], keys: Sequence[str], columns: Sequence[str], flag: str | None):
-    """``(key types, masks by key, flagged rows by key)`` of one task's rows.  Keys are factorized
-    once per batch; one ``bincount`` per column tells which type codes occur in which group."""
+    """``(key types, masks by key, flagged rows by key)`` of a task's rows, whenever many keys have
+    come together and at the end.  Keys are factorized once per batch; one ``bincount`` per
+    column tells which type codes occur in which group."""
     acc: dict[tuple, np.ndarray] = {}
     flags: dict[tuple, int] = {}
     key_types = None
@@ -200,41 +210,44 @@ def _task_masks(batches: Iterable[pa.RecordBatch], keys: Sequence[str], columns:
                 acc[kv] |= part[g]
             else:
                 acc[kv] = part[g].copy()
-    for kv in flags:
-        acc.setdefault(kv, np.zeros(len(columns), dtype=np.int32))
-    return key_types, acc, flags
+        if len(acc) > KEYS_HELD:
+            yield key_types, acc, flags
+            acc, flags = {}, {}
+    if acc:
+        yield key_types, acc, flags
 
 
-def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
+def keyed_partial_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None, regions: Sequence[str] = ()):
     """``mapInArrow`` function: per task, one row per key with the merged masks of
     ``columns`` over that task's rows (the map side of a keyed ``bit_or``).  Rows
     whose boolean ``flag`` is true are left out and counted in ``_n_flag``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        key_types, acc, flags = _task_masks(batches, keys, columns, flag)
-        if not acc:
-            return
-        names = list(keys) + list(columns)
-        kv_list = list(acc)
-        arrays = [pa.array([kv[i] for kv in kv_list], key_types[i]) for i in range(len(keys))]
-        arrays += [pa.array([int(acc[kv][j]) for kv in kv_list], pa.int32()) for j in range(len(columns))]
-        if flag is not None:
-            names.append("_n_flag")
-            arrays.append(pa.array([flags.get(kv, 0) for kv in kv_list], pa.int64()))
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+        know_regions(regions)
+        for key_types, acc, flags in _task_masks(batches, keys, columns, flag):
+            names = list(keys) + list(columns)
+            kv_list = list(acc)
+            arrays = [pa.array([kv[i] for kv in kv_list], key_types[i]) for i in range(len(keys))]
+            arrays += [pa.array([int(acc[kv][j]) for kv in kv_list], pa.int32()) for j in range(len(columns))]
+            if flag is not None:
+                names.append("_n_flag")
+                arrays.append(pa.array([flags.get(kv, 0) for kv in kv_list], pa.int64()))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run
 
 
-def keyed_sparse_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None):
+def keyed_sparse_masks(keys: Sequence[str], columns: Sequence[str], flag: str | None = None, regions: Sequence[str] = ()):
     """``mapInArrow`` function: per task, key and column with a value one row ``(keys..., pos, mask,
     n = 0)``, and per key one row ``pos = -1`` with the number of flagged rows in ``n``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        key_types, acc, flags = _task_masks(batches, keys, columns, flag)
-        for kv, masks in acc.items():
-            at = np.flatnonzero(masks)
-            pos = np.append(-1, at).astype(np.int32)
-            n = np.zeros(len(pos), np.int64)
-            n[0] = flags.get(kv, 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kv[i]] * len(pos), key_types[i]) for i in range(len(keys))]
-                + [pa.array(pos), pa.array(np.append(0, masks[at]).astype(np.int32)), pa.array(n)], names=[*keys, "pos", "mask", "n"])
+        know_regions(regions)
+        for key_types, acc, flags in _task_masks(batches, keys, columns, flag):
+            for kv, masks in acc.items():
+                at = np.flatnonzero(masks)
+                pos = np.append(-1, at).astype(np.int32)
+                n = np.zeros(len(pos), np.int64)
+                n[0] = flags.get(kv, 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kv[i]] * len(pos), key_types[i]) for i in range(len(keys))]
+                    + [pa.array(pos), pa.array(np.append(0, masks[at]).astype(np.int32)), pa.array(n)],
+                    names=[*keys, "pos", "mask", "n"])
     return run

@@ -36,12 +36,12 @@ def merge_masks(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     if flag is not None:
         aggs.append(F.sum("_n_flag").alias("_n_flag"))
     if engine == "vector":
-        from ..functions.vector import keyed_partial_masks
+        from ..functions.vector import jvm_regions, keyed_partial_masks
         sel = df.select(*keys, *columns, *([flag] if flag else []))
         schema = T.StructType([sel.schema[k] for k in keys]
                               + [T.StructField(c, T.IntegerType()) for c in columns]
                               + ([T.StructField("_n_flag", T.LongType())] if flag else []))
-        partial = sel.mapInArrow(keyed_partial_masks(list(keys), list(columns), flag), schema)
+        partial = sel.mapInArrow(keyed_partial_masks(list(keys), list(columns), flag, jvm_regions(df.sparkSession)), schema)
         return partial.groupBy(*keys).agg(*aggs) if keys else partial.agg(*aggs)
     good = F.lit(True) if flag is None else ~F.coalesce(F.col(flag), F.lit(False))
     bits = df.select(*keys, *[F.when(good, type_bit(F.col(c))).alias(c) for c in columns],
@@ -68,10 +68,10 @@ def merge_masks_sparse(df: DataFrame, columns: Sequence[str], keys: Sequence[str
     The plan has four columns whatever the width of the table: partial aggregates are sparse
     rows, merged by ``bit_or``."""
     if engine == "vector":
-        from ..functions.vector import keyed_sparse_masks
+        from ..functions.vector import jvm_regions, keyed_sparse_masks
         schema = T.StructType([df.schema[k] for k in keys]).add("pos", "integer").add("mask", "integer").add("n", "long")
         wanted = {*keys, *columns, flag}
-        partial = df.drop(*[c for c in df.columns if c not in wanted]).mapInArrow(keyed_sparse_masks(list(keys), list(columns), flag), schema)
+        partial = df.drop(*[c for c in df.columns if c not in wanted]).mapInArrow(keyed_sparse_masks(list(keys), list(columns), flag, jvm_regions(df.sparkSession)), schema)
     else:
         good = "true" if flag is None else f"NOT coalesce({flag}, false)"
         values = F.expr("array(" + ", ".join(f"`{c}`" for c in columns) + ")")

@@ -369,3 +369,14 @@ def test_lost_values_are_counted_by_the_write_and_promoted_on_request(spark, tmp
         (1, dt.datetime(2018, 11, 18), None), (2, ten, ten), (4, dt.datetime(2019, 1, 1), None)]
     for audit in (up.lossy(), read_tables(spark, f"{tmp}/in", IngestOptions(promote=True))["d1"].lossy()):
         assert {r["column"]: r.n_lossy for r in audit.collect()} == {"when": 0, "at": 1, "num": 0}
+
+
+def test_lazy_results_clean_up(spark, tmp):
+    write(f"{tmp}/in/a.csv", FILL)
+    res = read_tables(spark, f"{tmp}/in")
+    folder = res.work_dir
+    assert res["a"].data.count() == 4 and os.path.isdir(folder.removeprefix("file:"))
+    res.cleanup()
+    assert not os.path.exists(folder.removeprefix("file:"))
+    with pytest.raises(RuntimeError, match="removed"):
+        res["a"].data
