@@ -16,8 +16,9 @@ from .infer import (TRUE_WORDS, DATE_PART, DATE_RE, DOUBLE_RE, INT_RE, OFFSET_LE
 
 _TIME_GROUPS = (r"\A((?:[01]\d|2[0-3]):[0-5]\d)(?::([0-5]\d)(?:\.(\d{0,9}))?)?"
                 + OFFSET_LENIENT + r"?\z")
-_DT_LOCAL = r"\A" + DATE_PART + "[Tt](" + TIME_PART + ")"
-_DT_OFFSET = r"\A" + DATE_PART + "[Tt]" + TIME_PART + r"([Zz]|[+-][0-9:]+)?"
+# of texts whose shape is known: the time behind the date, and the offset behind the time
+_DT_LOCAL = r"[Tt]([0-9:.]+)"
+_DT_OFFSET = r"[Tt][0-9:.]+([Zz]|[+-][0-9:]+)?"
 
 
 def to_int(v: Column) -> Column:
@@ -79,18 +80,18 @@ def cast_field(v: Column, code: int, widen_int: bool = False, promote: bool = Fa
     """Text -> typed value for a column of field type ``code``; with ``promote`` a DATE value
     in a DATETIME column becomes its midnight."""
     v = col_of(v)
-    out = {
-        ft.INT: to_long(v) if widen_int else to_int(v),
-        ft.LONG: to_long(v),
-        ft.DOUBLE: to_double(v),
-        ft.BOOLEAN: to_boolean(v),
-        ft.DATE: to_date(v),
-        ft.TIME: to_time(v),
-        ft.DATETIME: F.coalesce(to_datetime(v), midnight(v)) if promote else to_datetime(v),
+    converter = {
+        ft.INT: to_long if widen_int else to_int,
+        ft.LONG: to_long,
+        ft.DOUBLE: to_double,
+        ft.BOOLEAN: to_boolean,
+        ft.DATE: to_date,
+        ft.TIME: to_time,
+        ft.DATETIME: (lambda v: F.coalesce(to_datetime(v), midnight(v))) if promote else to_datetime,
     }.get(code)
-    if out is None:  # STRING and UNKNOWN keep the text; empty is absent
+    if converter is None:  # STRING and UNKNOWN keep the text; empty is absent
         return F.when(~is_empty(v), v)
-    return F.when(~is_empty(v), out).cast(ft.spark_type(code, widen_int))
+    return F.when(~is_empty(v), converter(v)).cast(ft.spark_type(code, widen_int))
 
 
 def cast_trusted(v: Column, code: int, widen_int: bool = False, promote: bool = False) -> Column:
@@ -115,7 +116,7 @@ def cast_trusted(v: Column, code: int, widen_int: bool = False, promote: bool =
         out = to_time(v)
     elif code == ft.DATETIME:
         local = F.concat(date_text(v), F.lit(" "),
-                         F.regexp_extract(v, r"[Tt]([0-9:.]+)", 1)).try_cast("timestamp_ntz")
+                         F.regexp_extract(v, _DT_LOCAL, 1)).try_cast("timestamp_ntz")
         has_t = (F.locate("T", v) > 0) | (F.locate("t", v) > 0)
         out = F.when(has_t, F.when(F.locate("[", v) > 0, to_datetime(v)).otherwise(local))
         if promote:

@@ -12,7 +12,11 @@ separated timestamps ...), so every cast is guarded by an anchored regex.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from . import types as ft
@@ -105,16 +109,40 @@ def _try_cast(v: Column, to: str) -> Column:
 
 
 def zone_of(v: Column) -> Column:
-    """Bracketed zone id of a date-time text, or NULL."""
+    """Bracketed zone id of a date-time text (shape already checked), or NULL."""
     v = col_of(v)
-    return F.nullif(F.regexp_extract(v, r"\[([^\]]*)\]\z", 1), F.lit(""))
+    at = F.instr(v, "[")
+    return F.when(at > 0, F.substring(v, at + 1, F.length(v) - at - 1))
+
+
+def words_regex(words: Iterable[str]) -> str:
+    """Regex of exactly these words, common beginnings written once (so that few
+    alternatives are tried per character)."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        by_first.setdefault(w[:1], []).append(w[1:])
+    end = by_first.pop("", None)
+    parts = [re.escape(c) + words_regex(rest) for c, rest in by_first.items()]
+    if not parts:
+        return ""
+    return parts[0] if len(parts) == 1 and not end else "(?:" + "|".join(parts) + (")?" if end else ")")
+
+
+@functools.lru_cache(maxsize=1)
+def region_regex() -> str:
+    """Anchored regex of the region ids that the JDK knows and the ISO zoned parser accepts."""
+    names = SparkSession.active()._jvm.java.time.ZoneId.getAvailableZoneIds()
+    case = re.compile(ZONE_CASE_RE.replace(r"\z", r"\Z"))
+    return anchored(words_regex(z for z in names if case.match(z)))
 
 
 def is_valid_zone(zone: Column) -> Column:
-    """Zone id the JDK's ISO zoned parser accepts: a known region (case-sensitive,
-    checked by Spark's datetime parser with the ``VV`` zone-id pattern) or an offset."""
-    known = F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), zone), F.lit("yyyy-MM-dd VV"))
-    return known.isNotNull() & zone.rlike(ZONE_CASE_RE)
+    """Zone id the JDK's ISO zoned parser accepts: a known region (case-sensitive) or an
+    offset, alone or behind UTC, GMT or UT (checked by Spark's datetime parser with the
+    ``VV`` zone-id pattern, which is slow for zones that do not exist)."""
+    parsed = F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), zone), F.lit("yyyy-MM-dd VV"))
+    offset = zone.rlike(r"\A(?:[+-]|UT|GMT|Z)") & zone.rlike(ZONE_CASE_RE) & parsed.isNotNull()
+    return zone.rlike(region_regex()) | offset
 
 
 def is_datetime_text(v: Column) -> Column:

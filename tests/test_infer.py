@@ -87,3 +87,20 @@ def test_double_round_trip(spark, xs):
                      convert.to_double(F.col("v")).alias("d")).collect()
     for x, r in zip(xs, rows):
         assert r.t == "DOUBLE" and r.d == x
+
+
+def test_zones_need_no_parser_to_be_refused(spark):
+    """Known regions are told by one regex; only offsets go to the datetime parser, and both agree
+    with it on every zone."""
+    import re
+
+    from csvforge.functions.infer import ZONE_CASE_RE, is_valid_zone, region_regex, words_regex
+    assert words_regex(["ab", "a", "ac"]) == "a(?:b|c)?"
+    odd = ["Nope/Zone", "Asia", "Asia/Tokyo2", "asia/tokyo", "UTC+3", "UTC+03:00", "GMT0", "UT", "Z", "+05:00", "+5", "Zebra", "X", ""]
+    zones = [*spark._jvm.java.time.ZoneId.getAvailableZoneIds(), *odd]
+    df = spark.createDataFrame([(z,) for z in zones], "z string")
+    parsed = F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), "z"), F.lit("yyyy-MM-dd VV")).isNotNull() & F.col("z").rlike(ZONE_CASE_RE)
+    rows = df.select("z", is_valid_zone(F.col("z")).alias("ours"), parsed.alias("parsed")).collect()
+    assert [r for r in rows if r.ours != r.parsed] == [] and sum(r.ours for r in rows) > 500
+    known = re.compile(region_regex().replace(r"\z", r"\Z"))
+    assert not known.match("Nope/Zone") and known.match("Asia/Tokyo")
