@@ -353,6 +353,30 @@ def test_a_failed_write_changes_no_table(spark, tmp, monkeypatch):
     assert sorted(os.listdir(out)) == ["a", "b"]
 
 
+def test_moving_tables_takes_few_calls(spark, tmp, monkeypatch):
+    """A table more costs some calls to the JVM when tables are moved into place; a null key's
+    table is replaced like the others."""
+    from py4j.clientserver import JavaClient
+    from csvforge.sinks import tables
+    rows = spark.range(120).selectExpr("concat('t', id) AS t", "id AS v")
+    schema, calls, send = rows.drop("t").schema, [], JavaClient.send_command
+
+    def count(self, command, *args, **kw):
+        calls.append(command)
+        return send(self, command, *args, **kw)
+    monkeypatch.setattr(JavaClient, "send_command", count)
+    used = {}
+    for n in (30, 120):
+        names = {f"t{i}": f"t{i}" for i in range(n)} | {None: None}
+        for _ in range(2):
+            del calls[:]
+            tables.write_routed(rows.where(f"v < {n}"), "t", names, schema, output=f"{tmp}/out{n}")
+        used[n] = len([c for c in calls if not c.startswith("m\nd")])
+        assert sorted(os.listdir(f"{tmp}/out{n}")) == sorted(map(str, names))
+        assert spark.read.parquet(*[f"{tmp}/out{n}/{t}" for t in names]).count() == n
+    assert used[120] - used[30] <= 90 * 10
+
+
 def test_lost_values_are_counted_by_the_write_and_promoted_on_request(spark, tmp):
     for i in range(3):
         write(f"{tmp}/in/d{i}.csv", "when,at,num\n2018-11-18,11:30,1\n2018-11-18T10:00:00,2018-11-18T10:00:00,2\n"
