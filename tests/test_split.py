@@ -480,3 +480,37 @@ def test_regex_offsets_of_invalid_bytes_and_other_encodings(spark, tmp):
             t = read_tables(spark, path, IngestOptions(record_regex="\n", field_regex=",", chunk_size=chunk, encoding=enc))[name]
             rows = t.data.collect()
             assert t.n_bad == 0 and len(rows) == 40 and len(set(rows)) == 1
+
+
+def test_adjacent_chunks_of_a_task_are_read_together(tmp, monkeypatch):
+    """Few reads for many small chunks; the records do not depend on which chunks come together."""
+    import pyarrow as pa
+    from csvforge.sources import bytescan as bs, splitter
+    opts = IngestOptions(chunk_size=64)
+    body = "a,b\n" + "".join(f'{i},"x\n{"y" * (i % 90)}"\n' if i % 3 else f"{i},z\n" for i in range(200))
+    path = f"{tmp}/f.csv"
+    with open(path, "w", newline="") as f:
+        f.write(body)
+    size, state, rows = len(body), bs.FIELD, []
+    with splitter.open_input(path) as f:
+        for k, start in enumerate(range(0, size, 64)):
+            end = min(start + 64, size)
+            rows.append({"path": path, "size": size, "chunk_idx": k, "start": start, "end": end, "state": state, "table": "t"})
+            state = bs.transitions(f, start, end, opts.dialect)[0][state]
+    opened, real = [], splitter.open_input
+    monkeypatch.setattr(splitter, "open_input", lambda p: opened.append(p) or real(p))
+
+    def read(parts):
+        run = splitter._read_exact(opts)
+        return sorted((r["rec_start"], r["record"]) for p in parts for b in run([pa.RecordBatch.from_pylist(p)]) for r in b.to_pylist())
+    together = read([rows[::-1]])
+    assert len(opened) == 1 and len(together) == 201
+    assert together == read([[r] for r in rows]) == read([rows[::2], rows[1::2]])
+    del opened[:]
+    import pandas as pd
+    out = list(splitter._chunk_functions(opts)([pd.DataFrame(rows[::-1]).drop(columns="state")]))[0]
+    assert len(opened) == 1 and list(out["chunk_idx"]) == list(range(len(rows)))
+    state = bs.FIELD
+    for row, behind in zip(rows, out["behind"]):
+        assert row["state"] == state
+        state = behind[state]
