@@ -61,13 +61,12 @@ def test_regexes_see_only_texts_they_may_match(monkeypatch):
     assert codes[-5:].tolist() == [ft.INT, ft.DOUBLE, ft.BOOLEAN, ft.TIME, ft.UNKNOWN] and (codes[:-5] == ft.STRING).all()
 
 
-def test_date_time_cast_is_short_enough_to_be_compiled(spark):
-    import re
-
+def test_zoned_date_times_are_cast_apart_from_the_others(spark):
     from csvforge.operators.fill import fill_typed
     rows = spark.range(4).selectExpr("element_at(array('2020-01-02T03:04:05.5', '2020-07-01T12:00:00+02:00[Europe/Paris]', '', null),"
                                      " int(id) + 1) AS c")
     typed = fill_typed(rows, ["c"], [ft.DATETIME], trusted=True)
     assert sorted(str(r[0]) for r in typed.collect()) == ["2020-01-02 03:04:05.500000", "2020-07-01 12:00:00", "None", "None"]
-    said = spark._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "codegen")
-    assert all(int(n) < 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", said)) and "maxMethodCodeSize" in said
+    plan = spark._jvm.PythonSQLUtils.explainString(typed._jdf.queryExecution(), "simple")
+    own = plan[plan.index("transform(array(c"):]
+    assert plan.count("RLIKE") == own.count("RLIKE") > 0       # the zone's tests are all in the lambda
