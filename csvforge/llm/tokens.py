@@ -8,7 +8,9 @@ feed is always a token boundary, so the slices are split there by Arrow, which a
 numbers the distinct words of a slice.  Every distinct word is encoded once by the
 library itself; a bounded table keeps the words met recently.  New words go to the
 library joined by a special token of the vocabulary, whose id marks where one word's
-ids end; without such a token, and for words that hold it, one by one.  What a text's
+ids end; without such a token, and for words that hold it, one by one.  Words of
+letters that the vocabulary's normalizer and splitter treat alike in every word (see
+``piece_encoder``) go to the library's model piece by piece, each piece once.  What a text's
 words add up to is array code.  Otherwise (``boundary=None``) whole texts are encoded in
 byte-balanced batches.  The default is what the vocabulary allows: a file is tried for
 dropping white space when it is loaded.
@@ -19,7 +21,10 @@ resolved in favour of the result.
 """
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +46,19 @@ LONG_WORD = 64                # longer words are encoded anew each time
 _LOADED: dict = {}
 
 
+def _path(vocabulary: str) -> str:
+    if os.path.isabs(vocabulary):
+        return vocabulary
+    import public_tokenizers
+    return public_tokenizers.path(vocabulary)
+
+
 def load(vocabulary: str):
     """``encode(list of str) -> list of id lists`` of a vocabulary file (a path, or
     the name of one of the installed public files)."""
     if vocabulary not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        path = vocabulary
-        if not os.path.isabs(path):
-            import public_tokenizers
-            path = public_tokenizers.path(vocabulary)
+        path = _path(vocabulary)
         if path.endswith(".model"):
             import sentencepiece
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -106,10 +115,7 @@ def separator(vocabulary: str):
 
 
 def _special_tokens(vocabulary: str):
-    path = vocabulary
-    if not os.path.isabs(path):
-        import public_tokenizers
-        path = public_tokenizers.path(vocabulary)
+    path = _path(vocabulary)
     if path.endswith(".json"):
         from tokenizers import Tokenizer
         for number, token in Tokenizer.from_file(path).get_added_tokens_decoder().items():
@@ -129,11 +135,57 @@ def boundary_of(vocabulary: str) -> str | None:
     return _LOADED[key]
 
 
+#: Printable ASCII and the letters of Latin-1: NFC leaves them, they lower one to one, none is white space.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PLAIN_RUN = re.compile(PLAIN.pattern.replace("[", "[\\n"))
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\n|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\n]+")
+STEPS = ({"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+
+
+def piece_encoder(vocabulary: str):
+    """``(encode, special)``: the library's model for one piece of a word (as ``PLAIN_PIECE``
+    cuts lowered ``PLAIN`` words, one a line), and the strings that no such word may hold.
+
+    None unless the file's normalizer and splitter are ``STEPS``: what they do to a plain word
+    is lowering and that cut, so the library's slow part, tracing every character, is spared."""
+    key = (vocabulary, "pieces")
+    if key not in _LOADED:
+        _LOADED[key] = None
+        path = _path(vocabulary)
+        if path.endswith(".json"):
+            with open(path, encoding="utf-8") as f:
+                file = json.load(f)
+            model = file["model"]
+            if (file["normalizer"], file["pre_tokenizer"]) == STEPS and model["type"] == "BPE" and not model["dropout"]:
+                _LOADED[key] = _piece_encoder(path)
+    return _LOADED[key]
+
+
+def _piece_encoder(path: str):
+    from tokenizers import Tokenizer, pre_tokenizers
+    tk = Tokenizer.from_file(path)
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    chars = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+    tokenize = tk.model.tokenize
+
+    def encode(piece: str) -> bytes:
+        if piece == "\n":                              # the end of a word
+            return b""
+        return array("I", [t.id for t in tokenize(piece if piece.isascii() else piece.translate(chars))]).tobytes()
+
+    return encode, [t.content for t in tk.get_added_tokens_decoder().values()]
+
+
 class WordTable(dict):
     """word -> its ids as bytes (32-bit), for the words of the run at hand and recent ones."""
 
     def __init__(self, vocabulary: str):
-        self.vocabulary, self.old = vocabulary, {}
+        self.vocabulary, self.old, self.pieces = vocabulary, {}, {}
 
     def values_of(self, words: list[str]) -> list[bytes]:
         if len(self) > KEPT_WORDS:
@@ -148,12 +200,42 @@ class WordTable(dict):
                 new.append(i)
             else:
                 got[i] = self[words[i]] = v
-        for i, v in zip(new, self._encoded([words[i] for i in new])):
+        rest = self._by_piece(words, new, got)
+        for i, v in zip(rest, self._encoded([words[i] for i in rest])):
             got[i] = v
-            if len(words[i]) <= LONG_WORD:
-                self[words[i]] = v
+        self.update([(words[i], got[i]) for i in new if len(words[i]) <= LONG_WORD])
         return got
 
+    def _by_piece(self, words: list[str], new: list[int], got: list) -> list[int]:
+        """Fills in the plain ones of the words ``new`` and returns the others."""
+        plain = piece_encoder(self.vocabulary)
+        if plain is None:
+            return new
+        encode, special = plain
+        run = "\n".join([words[i] for i in new])
+        rest = []
+        if not PLAIN_RUN.fullmatch(run) or any(t in run for t in special):
+            rest = [i for i in new if not PLAIN.fullmatch(words[i]) or any(t in words[i] for t in special)]
+            other = set(rest)
+            new = [i for i in new if i not in other]
+            run = "\n".join([words[i] for i in new])
+        if not new:
+            return rest
+        cut, pieces = PLAIN_PIECE.findall(run.lower()), self.pieces
+        values = list(map(pieces.get, cut))
+        made = {p: encode(p) for p in {p for p, v in zip(cut, values) if v is None}}
+        values = [made[p] if v is None else v for p, v in zip(cut, values)]
+        if len(pieces) > KEPT_WORDS:
+            pieces.clear()
+        pieces.update(made if max(map(len, made), default=0) <= LONG_WORD else
+                      {p: v for p, v in made.items() if len(p) <= LONG_WORD})
+        raw, end = b"".join(values), np.cumsum(np.fromiter(map(len, values), np.int64, len(values)))
+        at = 0
+        for i, e in zip(new, [*end[[k for k, p in enumerate(cut) if p == "\n"]].tolist(), len(raw)]):
+            got[i] = raw[at:e]
+            at = e
+        return rest
+
     def _encoded(self, words: list[str]):
         encode, sep = load(self.vocabulary), separator(self.vocabulary)
         for run in batches(words, WORD_BYTES):
