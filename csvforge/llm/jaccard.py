@@ -153,10 +153,13 @@ def verified(docs: DataFrame, k: int, pairs: DataFrame, ws: Workspace, name: str
 
     fine = gather(docs, k, pairs, ws, f"{name}-fine", True)
     likely = ws.stage(beside(fine, pairs).mapInArrow(tidy(screen), "a long, b long"), f"{name}-likely")
+    ws.drop(fine)
     sets = gather(docs, k, likely, ws, f"{name}-sets", False)
     inter = F.size(F.array_intersect("sa", "sb"))
     links = beside(sets, likely).where(inter * F.lit(den) >= (F.col("na") + F.col("nb") - inter) * F.lit(num))
-    return ws.stage(links.select("a", "b"), f"{name}-links")
+    out = ws.stage(links.select("a", "b"), f"{name}-links")
+    ws.drop(likely, sets)
+    return out
 
 
 def block_pairs(blocks: DataFrame, num: int, den: int, first_only: bool) -> DataFrame:
@@ -253,6 +256,7 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
            .agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("low")).where("c > 1"))
     met = ws.stage(met, "keys")
     shared = ws.stage(possible_entries(reps, spark.sparkContext.broadcast(key_filter(met))).join(met, "key"), "blocks")
+    ws.drop(met)
     facts = reps.select("id", "n", "bits")
 
     # linear pass: each member with one partner, every class its own label
@@ -280,6 +284,7 @@ def linked_components(docs: DataFrame, ws: Workspace, k: int, num: int, den: int
                       F.when(F.col("p") == F.col("q"), 0).when(F.col("p") < F.col("q"), 1).otherwise(2).alias("side"),
                       "id", "label", "n", "bits"))
     rest = ws.stage(block_pairs(blocks, num, den, False).join(first, ["a", "b"], "left_anti"), "pairs-2")
+    ws.drop(shared, first, reps)
     more = verified(docs, k, rest, ws, "rest", num, den)
     roots = components(links.unionAll(more), ws, "cc2")
     return sigs, classes, roots
